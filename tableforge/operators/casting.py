@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from tableforge.functions.casts import DATE_FORMAT, TIME_OF_DAY_FORMAT, cast_column
 from tableforge.names import Columns, column
+from tableforge.session import bad_casts_give_null
 
 
 def cast_to_columns(
@@ -20,11 +21,11 @@ def cast_to_columns(
     columns that ``target`` lacks are kept as they are. The order stays.
     """
     wanted = dict(target)
-    return df.select(
-        *(
-            cast_column(
-                column(name), type_name, wanted.get(name, type_name), date_format, timestamp_format
-            ).alias(name)
-            for name, type_name in df.dtypes
-        )
-    )
+    casts = [
+        cast_column(
+            column(name), type_name, wanted.get(name, type_name), date_format, timestamp_format
+        ).alias(name)
+        for name, type_name in df.dtypes
+    ]
+    with bad_casts_give_null(df.sparkSession):
+        return df.select(*casts)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import threading
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -41,3 +43,23 @@ def build_session(
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+ANSI_MODE = "spark.sql.ansi.enabled"
+_one_at_a_time = threading.RLock()
+
+
+@contextmanager
+def bad_casts_give_null(spark: SparkSession) -> Iterator[None]:
+    """Build DataFrames inside whose casts give NULL instead of an error.
+
+    The mode of a cast is fixed when the DataFrame is built, so it holds for
+    every later use of the frame, whatever the session says then.
+    """
+    with _one_at_a_time:
+        before = spark.conf.get(ANSI_MODE)
+        spark.conf.set(ANSI_MODE, "false")
+        try:
+            yield
+        finally:
+            spark.conf.set(ANSI_MODE, before)

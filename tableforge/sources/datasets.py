@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tableforge.functions.casts import read_declared
 from tableforge.names import column, column_list
+from tableforge.session import bad_casts_give_null
 from tableforge.sources.catalog import TableDescription, describe_table
 from tableforge.sources.text import TextFormat, scan_text, scan_text_by_position
 
@@ -32,7 +33,9 @@ def scan_catalog_table(
 
 def declared_types(text: DataFrame, entry: TableDescription) -> DataFrame:
     """Text columns of a raw table under the types the table declares."""
-    return text.select(*(read_declared(column(n), t).alias(n) for n, t in entry.columns))
+    casts = [read_declared(column(name), t).alias(name) for name, t in entry.columns]
+    with bad_casts_give_null(text.sparkSession):
+        return text.select(*casts)
 
 
 def scan_dataset(

@@ -1,0 +1,149 @@
+from __future__ import annotations
+
+import gzip
+import logging
+from pathlib import Path
+
+import pytest
+from conftest import plan_of, values, write_lines
+from pyspark.errors import AnalysisException
+
+from tableforge import (
+    TextFormat,
+    declare_parquet_table,
+    declare_text_table,
+    scan_catalog_table,
+    scan_dataset,
+    scan_text,
+)
+from tableforge.sources.text import RAW_TABLE_FORMAT
+
+PIPES = TextFormat(sep="|")
+
+
+def test_generated_names_and_text_columns(spark, folder):
+    write_lines(folder, ["1,a", "2,b"])
+    rows = scan_text(spark, folder)
+    assert rows.dtypes == [("_c0", "string"), ("_c1", "string")]
+    assert values(rows) == [("1", "a"), ("2", "b")]
+
+
+def test_header_names_columns(spark, folder):
+    write_lines(folder, ["id,name", "1,a"])
+    write_lines(folder, ["id,name", "2,b"], "part-1.txt")
+    rows = scan_text(spark, folder, TextFormat(header=True))
+    assert rows.columns == ["id", "name"]
+    assert sorted(values(rows)) == [("1", "a"), ("2", "b")]
+
+
+def test_another_header_is_an_error(spark, folder):
+    write_lines(folder, ["id,name", "1,a"])
+    write_lines(folder, ["name,id", "b,2"], "part-1.txt")
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_text(spark, folder, TextFormat(header=True)).collect()
+
+
+def test_delimiter_quote_and_escape(spark, folder):
+    write_lines(folder, ['1|"a|b"|x', r'2|"say \"no\""|y'])
+    assert values(scan_text(spark, folder, PIPES)) == [
+        ("1", "a|b", "x"),
+        ("2", 'say "no"', "y"),
+    ]
+    other = write_lines(f"{folder}/other", ["1;'a;b';x", "2;'it^'s';y"])
+    rows = scan_text(spark, other, TextFormat(sep=";", quote="'", escape="^"))
+    assert values(rows) == [("1", "a;b", "x"), ("2", "it's", "y")]
+
+
+def test_quoting_turned_off(spark, folder):
+    write_lines(folder, ['2|"B|y', '3|C"|z'])
+    assert values(scan_text(spark, folder, RAW_TABLE_FORMAT)) == [
+        ("2", '"B', "y"),
+        ("3", 'C"', "z"),
+    ]
+
+
+def test_trailing_delimiter_and_short_rows(spark, folder):
+    write_lines(folder, ["1|AAA|x|", "2|BBB", "3||"])
+    rows = scan_text(spark, folder, RAW_TABLE_FORMAT, ["a", "b", "c"])
+    assert values(rows) == [("1", "AAA", "x"), ("2", "BBB", None), ("3", None, None)]
+
+
+def test_null_marker(spark, folder):
+    write_lines(folder, [r"1|\N", "2|x"])
+    text_format = TextFormat(sep="|", quote="", null_value=r"\N")
+    assert values(scan_text(spark, folder, text_format)) == [("1", None), ("2", "x")]
+
+
+def test_nested_folders_and_compressed_files(spark, folder):
+    write_lines(f"{folder}/a/k=1", ["1,a"])
+    write_lines(f"{folder}/b", ["2,b"])
+    with gzip.open(Path(folder) / "c.csv.gz", "wt") as file:
+        file.write("3,c\n")
+    rows = scan_text(spark, folder)
+    assert rows.columns == ["_c0", "_c1"]
+    assert sorted(values(rows)) == [("1", "a"), ("2", "b"), ("3", "c")]
+
+
+def test_long_values_are_whole(spark, folder):
+    long = "x" * 1_500_000
+    write_lines(folder, [f"1|{long}"])
+    assert values(scan_text(spark, folder, RAW_TABLE_FORMAT)) == [("1", long)]
+
+
+def test_catalog_scan_has_declared_types_and_reads_the_given_path(spark, folder, database):
+    declare_text_table(
+        spark, f"{database}.t", "id INT, name STRING, price DECIMAL(7,2)", f"{folder}/declared"
+    )
+    write_lines(f"{folder}/declared", ["1|a|1.5|"])
+    write_lines(f"{folder}/given/deep", ["2.9|b|x|", " 3 |c|2"])
+    assert values(scan_catalog_table(spark, f"{database}.t"))[0][0] == 1
+    rows = scan_catalog_table(spark, f"{database}.t", f"{folder}/given")
+    assert rows.dtypes == [("id", "int"), ("name", "string"), ("price", "decimal(7,2)")]
+    assert [r[:2] for r in values(rows)] == [(2, "b"), (3, "c")]
+    assert [str(r[2]) for r in values(rows)] == ["None", "2.00"]
+
+
+def test_catalog_scan_uses_the_tables_format(spark, folder, database):
+    declare_text_table(
+        spark, f"{database}.t", "a INT, b STRING", folder, TextFormat(sep=";", quote="'")
+    )
+    write_lines(f"{folder}/rows", ["1;'x;y'"])
+    assert values(scan_catalog_table(spark, f"{database}.t", f"{folder}/rows")) == [(1, "x;y")]
+
+
+def test_catalog_scan_of_a_parquet_table(spark, folder, database):
+    spark.range(3).write.parquet(f"{folder}/p")
+    declare_parquet_table(spark, f"{database}.p", "id BIGINT", f"{folder}/p")
+    assert sorted(values(scan_catalog_table(spark, f"{database}.p"))) == [(0,), (1,), (2,)]
+
+
+def test_formats_of_hive_text_tables():
+    found = TextFormat.from_table_options({"field.delim": "\t", "serialization.null.format": r"\N"})
+    assert found == TextFormat(sep="\t", quote="", null_value=r"\N")
+    assert TextFormat.from_table_options({}) == RAW_TABLE_FORMAT
+
+
+def test_fallback_to_plain_text_only_without_a_table(spark, folder, database, caplog):
+    write_lines(f"{folder}/t", ["1,a"])
+    with caplog.at_level(logging.WARNING):
+        rows = scan_dataset(spark, "t", f"{folder}/t", database)
+    assert rows.columns == ["_c0", "_c1"]
+    assert "plain text" in caplog.text
+    declare_text_table(spark, f"{database}.t", "id INT", folder)
+    assert scan_dataset(spark, "t", f"{folder}/t", database).columns == ["id"]
+    with pytest.raises(AnalysisException):
+        scan_dataset(spark, "t", f"{folder}/absent", database)
+
+
+def test_names_by_position_keep_further_columns(spark, folder):
+    write_lines(folder, ["1,a,x"])
+    assert scan_dataset(spark, "t", folder, names=["id", "name"]).columns == ["id", "name", "_c2"]
+    wide = scan_dataset(spark, "t", folder, names=["a", "b", "c", "d"])
+    assert values(wide) == [("1", "a", "x", None)]
+
+
+def test_only_needed_columns_are_read(spark, folder, database):
+    declare_text_table(spark, f"{database}.t", "a INT, b INT, c STRING", folder)
+    write_lines(f"{folder}/t", ["1|2|x"])
+    plan = plan_of(scan_catalog_table(spark, f"{database}.t", f"{folder}/t").select("b"))
+    assert "ReadSchema: struct<b:string>" in plan
