@@ -103,9 +103,9 @@ def convert_database(
     names = list(datasets) if datasets is not None else list_datasets(spark, source_db)
     keys = {name: split_keys(_keys_of(partition_keys, name)) for name in names}
     for name in names:
-        source = f"{source_db}.{name}"
-        if keys[name] and spark.catalog.tableExists(source):
-            require_keys(keys[name], [c.name for c in spark.catalog.listColumns(source)], name)
+        source = describe_table(spark, f"{source_db}.{name}") if keys[name] else None
+        if source is not None:
+            require_keys(keys[name], [column_name for column_name, _ in source.columns], name)
     report = []
     for name in names:
         done = convert_dataset(

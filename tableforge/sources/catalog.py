@@ -60,14 +60,16 @@ def describe_table(spark: SparkSession, table: str) -> TableDescription | None:
     """Catalog entry of ``database.table``; None only if there is no such table."""
     if not spark.catalog.tableExists(table):
         return None
+    name = quoted_path(table)
     entry = json.loads(
-        spark.sql(f"DESCRIBE TABLE EXTENDED {quoted_path(table)} AS JSON").first()["json_metadata"]
+        spark.sql(f"DESCRIBE TABLE EXTENDED {name} AS JSON").first()["json_metadata"]
     )
-    columns = spark.catalog.listColumns(table)
+    rows = spark.sql(f"DESCRIBE TABLE {name}").select("col_name", "data_type").collect()
     return TableDescription(
         name=table,
-        columns=tuple((c.name, c.dataType) for c in columns),
-        partition_columns=tuple(c.name for c in columns if c.isPartition),
+        # Partition columns come again in a section of their own.
+        columns=tuple(map(tuple, rows[: len(entry["columns"])])),
+        partition_columns=tuple(entry.get("partition_columns", ())),
         provider=entry.get("provider", "").lower(),
         location=entry.get("location"),
         options=entry.get("storage_properties", {}),

@@ -38,7 +38,7 @@ def convert_new_files(
     target: Columns | None = None,
     partition_keys: str | Sequence[str] | None = None,
     options: ConversionOptions = ConversionOptions(),
-    max_bytes_per_batch: str | None = None,
+    max_bytes_per_batch: int = 1 << 40,
 ) -> IncrementalRun:
     """Convert the files of ``in_path/<dataset>`` no earlier run has seen.
 
@@ -48,7 +48,7 @@ def convert_new_files(
     The checkpoint remembers files, and the sink's log makes each file appear
     exactly once even after a failed run. Give incremental output a folder of
     its own: readers of a folder with such a log see only the files in it.
-    ``max_bytes_per_batch`` (such as "500g") bounds what a failure repeats.
+    ``max_bytes_per_batch`` bounds what a failure repeats.
     """
     entry = describe_table(spark, f"{source_db}.{dataset}")
     if entry is None or not entry.is_text:
@@ -64,9 +64,8 @@ def convert_new_files(
         .options(**entry.text_format.options())
         .option("recursiveFileLookup", True)
         .option("maxFileAge", ANY_AGE)
+        .option("maxBytesPerTrigger", max_bytes_per_batch)
     )
-    if max_bytes_per_batch is not None:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_batch)
     rows = declared_types(reader.csv(read_path), entry)
     typed = cast_to_columns(rows, target or (), options.date_format, options.timestamp_format)
     keys = split_keys(partition_keys)

@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+from conftest import values
+
+from tableforge import BatchOptions, StatementFailed, run_batch, run_script_folder
+from tableforge.plans.batch import DOUBLE_QUOTED_NAMES
+
+
+def test_report_and_results(spark, folder, database):
+    report = run_batch(
+        spark,
+        [
+            "CREATE TABLE t (id INT, name STRING) USING parquet",
+            "INSERT INTO t VALUES (1, 'test'), (2, NULL)",
+            "SELECT id, name FROM t ORDER BY id",
+            "SHOW TABLES",
+        ],
+        f"{folder}/out",
+        BatchOptions(database=database),
+    )
+    assert values(report.select("statement_no", "has_results", "row_count")) == [
+        (1, False, None),
+        (2, False, 2),
+        (3, True, 2),
+        (4, True, 1),
+    ]
+    read = spark.read.csv(f"{folder}/out/3", header=True)
+    assert sorted(values(read)) == [("1", "test"), ("2", None)]
+    assert sorted(p.name for p in Path(f"{folder}/out").iterdir()) == ["3", "4"]
+
+
+def test_rows_inserted_by_each_form(spark, folder, database):
+    name = f"{database}.t"
+    forms = [
+        (f"CREATE TABLE {name} (id INT, k STRING DEFAULT 'd') USING parquet PARTITIONED BY (k)", None),
+        (f"INSERT INTO {name} VALUES (1, 'a')", 1),
+        (f"insert into table `{database}`.`t` (k, id)\nSELECT 'b', id FROM range(5)", 5),
+        (f"INSERT INTO {name} PARTITION (k = 'c') SELECT 7 UNION ALL SELECT 8", 2),
+        (f"INSERT INTO {name} WITH x AS (SELECT 9 AS id) SELECT id, 'e' FROM x", None),
+        (f"INSERT INTO {name} VALUES (10, DEFAULT)", None),
+        (f"INSERT OVERWRITE {name} PARTITION (k = 'a') VALUES (2), (3)", 2),
+        (f"INSERT INTO {name} SELECT id, 'none' FROM range(3) WHERE id > 9", 0),
+    ]
+    report = run_batch(spark, [text for text, _ in forms])
+    assert values(report.select("row_count")) == [(count,) for _, count in forms]
+    stored = sorted(values(spark.table(name).select("id", "k")))
+    assert stored == sorted(
+        [(2, "a"), (3, "a"), *((i, "b") for i in range(5)), (7, "c"), (8, "c"), (9, "e"), (10, "d")]
+    )
+
+
+def test_first_failure_stops_the_run(spark, folder, database):
+    with pytest.raises(StatementFailed, match="statement 2 failed: SELECT 1 / 0") as failure:
+        run_batch(
+            spark,
+            ["SELECT 1", "SELECT 1 / 0", f"CREATE TABLE {database}.never (a INT) USING parquet"],
+            f"{folder}/out",
+        )
+    assert failure.value.statement_no == 2
+    assert failure.value.report == [(1, "SELECT 1", True, 1)]
+    assert failure.value.__cause__ is not None
+    assert not spark.catalog.tableExists(f"{database}.never")
+
+
+def test_failing_insert_keeps_its_error(spark, database):
+    with pytest.raises(StatementFailed) as failure:
+        run_batch(spark, ["INSERT INTO not_there VALUES (1)"], options=BatchOptions(database))
+    assert "not_there" in str(failure.value.__cause__)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("inserted_")]
+
+
+def test_session_comes_back_after_a_failure(spark, database):
+    before = spark.catalog.currentDatabase(), spark.conf.get(DOUBLE_QUOTED_NAMES)
+    with pytest.raises(StatementFailed):
+        run_batch(spark, ["SELECT"], options=BatchOptions(database, double_quoted_names=True))
+    assert (spark.catalog.currentDatabase(), spark.conf.get(DOUBLE_QUOTED_NAMES)) == before
+
+
+def test_names_in_double_quotes(spark, database):
+    spark.sql(f"CREATE TABLE {database}.t AS SELECT 5 AS id")
+    text = f'SELECT "id" FROM "{database}"."t" LIMIT 10'
+    report = run_batch(spark, [text], options=BatchOptions(double_quoted_names=True))
+    assert values(report) == [(1, text, True, 1)]
+    with pytest.raises(StatementFailed):
+        run_batch(spark, [text])
+
+
+def test_long_statements_are_cut_in_the_report(spark):
+    text = "SELECT '" + "x" * 200 + "'"
+    assert values(run_batch(spark, [text]).select("preview")) == [(text[:100] + "...",)]
+
+
+def test_typed_results(spark, folder):
+    run_batch(spark, ["SELECT 1 AS a, DATE'2024-01-01' AS d"], folder, BatchOptions(result_format="parquet"))
+    assert spark.read.parquet(f"{folder}/1").dtypes == [("a", "int"), ("d", "date")]
+
+
+def test_scripts_of_a_folder_in_order(spark, folder, database):
+    scripts = Path(folder) / "scripts"
+    scripts.mkdir()
+    (scripts / "2.sql").write_text("INSERT INTO t VALUES (1);\n-- end\nSELECT * FROM t;")
+    (scripts / "1.sql").write_text("/* start */ CREATE TABLE t (a INT) USING parquet;")
+    report = run_script_folder(spark, str(scripts), f"{folder}/out", BatchOptions(database))
+    assert values(report) == [
+        (1, "CREATE TABLE t (a INT) USING parquet", False, None),
+        (2, "INSERT INTO t VALUES (1)", False, 1),
+        (3, "SELECT * FROM t", True, 1),
+    ]
+
+
+def test_empty_batch(spark):
+    assert values(run_batch(spark, [])) == []
