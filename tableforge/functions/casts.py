@@ -31,7 +31,21 @@ def text_to_whole_number(text: Column, type_name: str) -> Column:
 
 
 def text_to_date(text: Column, date_format: str = DATE_FORMAT) -> Column:
-    return F.try_to_date(text, date_format)
+    """Text to date by a pattern, which the whole text must match.
+
+    The default pattern is checked on the bytes, and a cast reads the value: the
+    cast alone would also take ``2024-1-5``, and a pattern parser is four times
+    slower for good values and far more so for bad ones.
+    """
+    if date_format != DATE_FORMAT:
+        return F.try_to_date(text, date_format)
+    strict = (
+        (F.octet_length(text) == 10)
+        & (F.substring(text, 5, 1) == "-")
+        & (F.substring(text, 8, 1) == "-")
+        & F.substring(text, 10, 1).between("0", "9")
+    )
+    return F.when(strict, text.cast("date"))
 
 
 def text_to_timestamp(text: Column, timestamp_format: str = TIME_OF_DAY_FORMAT) -> Column:
@@ -79,4 +93,4 @@ def read_declared(text: Column, declared_type: str) -> Column:
         return text
     if declared in INT_TYPES + LONG_TYPES:
         return text_to_whole_number(text, "int" if declared in INT_TYPES else "bigint")
-    return text.try_cast(declared)
+    return text.cast(declared)

@@ -10,17 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Patterns that decide what a comment, an end and a blank is.
-LINE_END = r"\r\n?"
+# What a comment, a separator and a blank is.
 LINE_COMMENT = r"(?m)^--.*$"
 BLOCK_COMMENT = r"(?s)/\*.*?\*/"
-OUTER_BLANKS = r"^[\x00-\x20]+|[\x00-\x20]+$"
+BLANKS = "".join(map(chr, range(0x21)))
 SEPARATOR = ";"
 PREVIEW_LENGTH = 100
 
 
 def normalize_line_ends(text: Column) -> Column:
-    return F.regexp_replace(text, LINE_END, "\n")
+    return F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
 def strip_line_comments(text: Column) -> Column:
@@ -37,7 +36,7 @@ def strip_comments(text: Column) -> Column:
 
 def trim_blanks(text: Column) -> Column:
     """Drop every leading and trailing character up to U+0020."""
-    return F.regexp_replace(text, OUTER_BLANKS, "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def statements(text: Column) -> Column:

@@ -178,3 +178,22 @@ def test_whole_numbers_against_the_rule(spark, texts):
     for text, i, l in values(typed):
         assert i == expected(text, -(2**31), 2**31 - 1), text
         assert l == expected(text, -(2**63), 2**63 - 1), text
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.one_of(
+            st.dates().map(str),
+            st.text(alphabet=" 0123456789+-T:", min_size=8, max_size=12),
+            st.from_regex(r"[ +-]?[0-9]{3,5}-[ 0-9]{1,2}-[ 0-9T]{1,3}", fullmatch=True),
+        ),
+        min_size=40,
+        max_size=40,
+    )
+)
+def test_dates_against_the_pattern_parser(spark, texts):
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    typed = cast_to_columns(rows, [("text", "date")])
+    expected = rows.select(F.try_to_date("text", "yyyy-MM-dd").cast("string"))
+    assert values(typed.select(F.col("text").cast("string"))) == values(expected)
