@@ -9,8 +9,10 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tableforge.functions.casts import DATE_FORMAT, TIME_OF_DAY_FORMAT
 from tableforge.names import Columns, column
@@ -42,8 +44,14 @@ class ConvertedDataset:
     dataset: str
     rows_read: int
     path: str
-    frame: DataFrame
-    """The Parquet files at ``path``, under the types they were written with."""
+    schema: StructType
+    spark: SparkSession = field(repr=False, compare=False)
+
+    @cached_property
+    def frame(self) -> DataFrame:
+        """The Parquet files at ``path``, under the types they were written with."""
+        files = self.spark.read.schema(self.schema).parquet(self.path)
+        return files.select(*map(column, self.schema.names))
 
 
 def convert_dataset(
@@ -80,8 +88,7 @@ def convert_dataset(
     logger.info("%s: %d rows", dataset, count)
     if table is not None:
         _announce(spark, table)
-    frame = spark.read.schema(typed.schema).parquet(write_path)
-    return ConvertedDataset(dataset, count, write_path, frame.select(*map(column, typed.columns)))
+    return ConvertedDataset(dataset, count, write_path, typed.schema, spark)
 
 
 def convert_database(

@@ -128,7 +128,7 @@ def _two_arrivals(spark: SparkSession, sf_dir: str, **kwargs) -> tuple[DataFrame
     raw = new_database(spark, "raw")
     declare_database(spark, "raw", raw, {"orders": TEXT_TABLES["orders"]}, landing)
     orders = as_text(table(spark, sf_dir, "orders"))
-    finished = F.col("o_orderstatus") == "F"
+    finished = F.col("o_orderstatus").eqNullSafe("F")
     counts = []
     for arrival in (orders.filter(finished), orders.filter(~finished), None):
         if arrival is not None:

@@ -246,13 +246,13 @@ def convert_quote_escape(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def convert_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One folder per order status, nested below the dataset's folder."""
+    """Files in folders of different depth below the dataset's folder."""
 
     def write(folder: str) -> None:
         orders = as_text(table(spark, sf_dir, "orders"))
-        for status in ("O", "F", "P"):
-            rows = orders.filter(F.col("o_orderstatus") == status)
-            write_text(rows, f"{folder}/orders/year/{status}", PLAIN)
+        finished = F.col("o_orderstatus").eqNullSafe("F")
+        write_text(orders.filter(finished), f"{folder}/orders/finished", PLAIN)
+        write_text(orders.filter(~finished), f"{folder}/orders/other/open", PLAIN)
 
     base = staged(spark, sf_dir, "nested", write)
     return comparable(convert_declared(spark, base, "orders"))
@@ -269,6 +269,7 @@ def _with_codec(spark: SparkSession, sf_dir: str, codec: str) -> DataFrame:
         target=columns_of(TEXT_TABLES["orders"]),
         options=ConversionOptions(text_format=PLAIN, compression=codec),
     )
+    # One of three codecs per file name, so three rows at most.
     suffix = F.regexp_extract("file_name", r"\.(snappy|gz)\.parquet$", 1)
     codecs = file_names(spark, done.path).select(
         F.when(suffix == "", "none").otherwise(suffix).alias("codec")
