@@ -39,12 +39,20 @@ def converted(
     return convert_dataset(spark, dataset, in_path, out, target=columns, **kwargs).frame
 
 
-def convert_declared(spark: SparkSession, in_path: str, dataset: str, **kwargs) -> DataFrame:
+def convert_declared(
+    spark: SparkSession,
+    in_path: str,
+    dataset: str,
+    text_format: TextFormat = RAW_TABLE_FORMAT,
+    **kwargs,
+) -> DataFrame:
     """Rows of ``dataset`` after conversion through a declared raw table."""
     database = new_database(spark, "raw")
     typed = columns_of(TEXT_TABLES[dataset])
     location = f"{in_path}/{dataset}"
-    declare_text_table(spark, f"{database}.{dataset}", raw_columns(typed), location)
+    declare_text_table(
+        spark, f"{database}.{dataset}", raw_columns(typed), location, text_format
+    )
     return converted(spark, in_path, dataset, typed, source_db=database, **kwargs)
 
 
@@ -258,6 +266,23 @@ def convert_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(convert_declared(spark, base, "orders"))
 
 
+def convert_trailing_delimiter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that end with the delimiter, with ``NULL`` written as a marker."""
+
+    def write(folder: str) -> None:
+        orders = as_text(table(spark, sf_dir, "orders"))
+        values = [F.col(name) for name in orders.columns if name != "o_orderpriority"]
+        marked = F.when(F.col("o_orderpriority") == "1-URGENT", r"\N").otherwise(
+            F.col("o_orderpriority")
+        )
+        lines = orders.select(F.concat_ws("|", *values, marked, F.lit("")).alias("value"))
+        lines.write.text(f"{folder}/orders")
+
+    base = staged(spark, sf_dir, "trailing", write)
+    text_format = TextFormat(sep="|", quote="", null_value=r"\N")
+    return comparable(convert_declared(spark, base, "orders", text_format=text_format))
+
+
 def _with_codec(spark: SparkSession, sf_dir: str, codec: str) -> DataFrame:
     """Order count and value, with the codec that the file names show."""
     base, out = staged_tables(spark, sf_dir), new_folder(spark, "parquet")
@@ -331,6 +356,7 @@ QUERIES = {
     "convert_headerless": convert_headerless,
     "convert_quote_escape": convert_quote_escape,
     "convert_recursive": convert_recursive,
+    "convert_trailing_delimiter": convert_trailing_delimiter,
     "convert_snappy": convert_snappy,
     "convert_gzip": convert_gzip,
     "convert_uncompressed": convert_uncompressed,
@@ -430,6 +456,9 @@ ORACLES = {
         FROM documents
     """,
     "convert_recursive": ORDERS_SQL,
+    "convert_trailing_delimiter": ORDERS_SQL.replace(
+        "o_orderpriority", "nullif(o_orderpriority, '1-URGENT') AS o_orderpriority"
+    ),
     "convert_snappy": _codec_oracle("snappy"),
     "convert_gzip": _codec_oracle("gz"),
     "convert_uncompressed": _codec_oracle("none"),

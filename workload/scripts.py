@@ -6,9 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableforge import BatchOptions, read_scripts, run_batch, run_script_folder, statement_table
-from tableforge.functions.script_text import strip_block_comments, strip_line_comments
+from tableforge.functions.script_text import (
+    preview,
+    strip_block_comments,
+    strip_line_comments,
+)
+from tableforge.names import column_list
+from tableforge.sources.catalog import raw_columns
 from tableforge.workspace import new_folder
-from workload.staging import new_database, staged, table
+from workload.staging import TEXT_TABLES, new_database, staged, staged_tables, table
 
 # Scripts around whole texts: line and block comments, separators, empty statements.
 DOCUMENT_SCRIPT = (
@@ -29,6 +35,18 @@ def script_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statement_table(scripts)
 
 
+def script_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scripts = table(spark, sf_dir, "pages").selectExpr(
+        "page_id AS script_id", f"{PAGE_SCRIPT} AS script"
+    )
+    return statement_table(scripts).select(
+        "script_id",
+        "statement_no",
+        preview(F.col("statement")).alias("preview"),
+        F.length("statement").alias("statement_length"),
+    )
+
+
 def script_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each kind of comment removed by itself."""
     scripts = table(spark, sf_dir, "documents").selectExpr(
@@ -54,6 +72,76 @@ def script_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(page_id.alias("page_id"), "statement_no", "statement")
 
 
+SAMPLE_SCRIPT = """-- how many rows
+SELECT COUNT(*) AS total_records
+FROM orders_of_sample;
+
+/* rows of one status
+   from a date on */
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate
+FROM orders_of_sample
+WHERE o_orderdate >= '1997-01-01'
+  AND o_orderstatus = 'F';
+
+-- groups
+SELECT o_orderpriority, COUNT(*) AS count, AVG(o_totalprice) AS avg_amount
+FROM orders_of_sample
+GROUP BY o_orderpriority
+ORDER BY count DESC;
+
+-- a join
+SELECT t.o_orderkey, t.o_totalprice, c.c_name, c.c_mktsegment
+FROM orders_of_sample t
+JOIN customer_of_sample c
+  ON t.o_custkey = c.c_custkey
+WHERE t.o_orderdate >= '1997-01-01';
+
+-- a subquery
+SELECT p_name, p_retailprice,
+    (SELECT AVG(p_retailprice) FROM part_of_sample) AS avg_price
+FROM part_of_sample
+WHERE p_retailprice > (SELECT AVG(p_retailprice) FROM part_of_sample);
+"""
+
+
+def sample_script(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five sample queries as one script; the numbers of rows they wrote."""
+
+    def write(folder: str) -> None:
+        spark.createDataFrame([(SAMPLE_SCRIPT,)], "value string").coalesce(1).write.text(folder)
+
+    folder, out = staged(spark, sf_dir, "samples", write), new_folder(spark, "results")
+    for name in ("orders", "customer", "part"):
+        table(spark, sf_dir, name).createOrReplaceTempView(f"{name}_of_sample")
+    report = run_script_folder(spark, f"{folder}/*.txt", out)
+    return report.select("statement_no", "has_results", "row_count")
+
+
+def declare_between_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count with quoted names, declare a table over text, count that."""
+    database, out = new_database(spark, "between"), new_folder(spark, "results")
+    columns = column_list(raw_columns(TEXT_TABLES["orders"]))
+    location = f"{staged_tables(spark, sf_dir)}/orders"
+    table(spark, sf_dir, "customer").write.saveAsTable(f"{database}.customer")
+    run_batch(
+        spark,
+        [
+            f'SELECT count(*) AS row_count FROM "{database}"."customer" LIMIT 10',
+            f"CREATE TABLE IF NOT EXISTS {database}.orders ({columns.replace('`', '')}) USING csv "
+            f"OPTIONS (sep '|', quote '') LOCATION '{location}' "
+            "TBLPROPERTIES ('classification' = 'csv')",
+            f'SELECT count(*) AS row_count FROM "{database}"."orders" LIMIT 10',
+        ],
+        out,
+        BatchOptions(result_format="parquet", double_quoted_names=True),
+    )
+    first, second = (
+        spark.read.parquet(f"{out}/{n}").select(F.lit(n).alias("statement_no"), "row_count")
+        for n in (1, 3)
+    )
+    return first.unionByName(second)
+
+
 BATCH_SCRIPT = """-- totals of the day
 SELECT count(*) AS order_count FROM orders_in_batch;
 /* by priority,
@@ -119,6 +207,9 @@ QUERIES = {
     "script_statements": script_statements,
     "script_comments": script_comments,
     "script_files": script_files,
+    "script_previews": script_previews,
+    "sample_script": sample_script,
+    "declare_between_counts": declare_between_counts,
     "sql_batch_report": sql_batch_report,
     "sql_batch_result": sql_batch_result,
     "sql_batch_result_typed": sql_batch_result_typed,
@@ -170,6 +261,29 @@ ORACLES = {
         FROM (SELECT doc_id, replace({DOCUMENT_SCRIPT}, chr(13), '') AS script FROM documents)
     """,
     "script_files": _statements_oracle("pages", "page_id", "page_id", PAGE_SCRIPT),
+    "script_previews": f"""
+        SELECT script_id, statement_no,
+               CASE WHEN length(statement) > 100 THEN substr(statement, 1, 100) || '...'
+                    ELSE statement END AS preview,
+               CAST(length(statement) AS INTEGER) AS statement_length
+        FROM ({_statements_oracle("pages", "page_id", "script_id", PAGE_SCRIPT)})
+    """,
+    "sample_script": """
+        SELECT CAST(statement_no AS INTEGER) AS statement_no, true AS has_results,
+               CAST(row_count AS BIGINT) AS row_count
+        FROM (SELECT 1 AS statement_no, 1 AS row_count
+              UNION ALL SELECT 2, count(*) FROM orders
+                        WHERE o_orderdate >= '1997-01-01' AND o_orderstatus = 'F'
+              UNION ALL SELECT 3, count(DISTINCT o_orderpriority) FROM orders
+              UNION ALL SELECT 4, count(*) FROM orders JOIN customer ON o_custkey = c_custkey
+                        WHERE o_orderdate >= '1997-01-01'
+              UNION ALL SELECT 5, count(*) FROM part
+                        WHERE p_retailprice > (SELECT avg(p_retailprice) FROM part))
+    """,
+    "declare_between_counts": """
+        SELECT CAST(1 AS INTEGER) AS statement_no, count(*) AS row_count FROM customer
+        UNION ALL SELECT CAST(3 AS INTEGER), count(*) FROM orders
+    """,
     "sql_batch_report": _batch_rows(
         [
             ("SELECT count(*) AS order_count FROM orders_in_batch", True, "1"),
