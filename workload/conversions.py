@@ -111,29 +111,41 @@ def _number_casts(spark: SparkSession, sf_dir: str, type_name: str) -> DataFrame
     return converted(spark, base, "numbers", target)
 
 
+def _printed_numbers(rows: DataFrame) -> DataFrame:
+    """The numbers as text, with their type: columns of whole numbers have NULLs here."""
+    return rows.select(
+        *NUMBER_KEY,
+        *(F.col(name).cast("string").alias(name) for name in NUMBER_TEXTS),
+        F.typeof("plain").alias("number_type"),
+    )
+
+
 def convert_cast_int(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _number_casts(spark, sf_dir, "INT")
+    return _printed_numbers(_number_casts(spark, sf_dir, "INT"))
 
 
 def convert_cast_bigint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _number_casts(spark, sf_dir, "long")
+    return _printed_numbers(_number_casts(spark, sf_dir, "long"))
 
 
 def convert_cast_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _number_casts(spark, sf_dir, "float")
 
 
-def _whole_number_oracle(type_name: str) -> str:
+def _whole_number_oracle(type_name: str, number_type: str) -> str:
     """The number rule, in SQL: cut off a fraction, everything else NULL."""
     casts = ",\n".join(
-        rf"""CASE WHEN regexp_matches({name}, '^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*$')
+        rf"""CAST(CASE WHEN regexp_matches({name}, '^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*$')
              THEN TRY_CAST(CASE WHEN regexp_extract({name}, '^\s*([+-]?[0-9]*)(\.[0-9]*)?\s*$', 1)
                                      IN ('', '+', '-') THEN '0'
                            ELSE regexp_extract({name}, '^\s*([+-]?[0-9]*)(\.[0-9]*)?\s*$', 1) END
-                  AS {type_name}) END AS {name}"""
+                  AS {type_name}) END AS VARCHAR) AS {name}"""
         for name in NUMBER_TEXTS
     )
-    return f"SELECT l_orderkey, l_linenumber, {casts} FROM ({_number_texts()})"
+    return f"""
+        SELECT l_orderkey, l_linenumber, {casts}, '{number_type}' AS number_type
+        FROM ({_number_texts()})
+    """
 
 
 def _number_texts() -> str:
@@ -431,8 +443,8 @@ ORACLES = {
         FROM orders GROUP BY o_orderpriority ORDER BY order_count DESC
     """,
     "convert_lineitem": LINEITEM_SQL,
-    "convert_cast_int": _whole_number_oracle("INTEGER"),
-    "convert_cast_bigint": _whole_number_oracle("BIGINT"),
+    "convert_cast_int": _whole_number_oracle("INTEGER", "int"),
+    "convert_cast_bigint": _whole_number_oracle("BIGINT", "bigint"),
     "convert_cast_double": _double_oracle(),
     "convert_cast_decimal": _decimal_oracle(),
     "convert_cast_date": _date_oracle(),

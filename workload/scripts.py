@@ -169,8 +169,13 @@ def _run_batch_script(spark: SparkSession, sf_dir: str, **kwargs) -> tuple[DataF
     return run_script_folder(spark, f"{folder}/*.txt", out, options), out
 
 
+def _printed(report: DataFrame) -> DataFrame:
+    """The report with its counts as text; a statement without rows has none."""
+    return report.withColumn("row_count", F.col("row_count").cast("string"))
+
+
 def sql_batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run_batch_script(spark, sf_dir)[0]
+    return _printed(_run_batch_script(spark, sf_dir)[0])
 
 
 def sql_batch_result(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,7 +193,7 @@ def sql_batch_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statements of a corpus run in order: each sees what the one before it did."""
     database = new_database(spark, "ordered")
     table(spark, sf_dir, "part").createOrReplaceTempView("part_in_batch")
-    return run_batch(
+    report = run_batch(
         spark,
         [
             "CREATE TABLE sizes USING parquet AS SELECT p_size FROM part_in_batch",
@@ -201,6 +206,7 @@ def sql_batch_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         ],
         options=BatchOptions(database=database),
     )
+    return _printed(report)
 
 
 QUERIES = {
@@ -246,7 +252,7 @@ def _preview(text: str) -> str:
 def _batch_rows(rows: list[tuple[str, bool, str]]) -> str:
     return " UNION ALL ".join(
         f"SELECT CAST({number} AS INTEGER) AS statement_no, {_preview(text)} AS preview, "
-        f"{str(has_results).lower()} AS has_results, CAST(({count}) AS BIGINT) AS row_count"
+        f"{str(has_results).lower()} AS has_results, CAST(({count}) AS VARCHAR) AS row_count"
         for number, (text, has_results, count) in enumerate(rows, start=1)
     )
 
