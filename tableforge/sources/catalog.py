@@ -52,8 +52,12 @@ def raw_columns(typed: str | StructType | Columns) -> list[tuple[str, str]]:
 
 
 def list_datasets(spark: SparkSession, database: str) -> list[str]:
-    """Names of the tables of a database, by name."""
-    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+    """Names of the tables of a database, by name. Views have no files and are no datasets."""
+    return sorted(
+        t.name
+        for t in spark.catalog.listTables(database)
+        if not t.isTemporary and t.tableType != "VIEW"
+    )
 
 
 def describe_table(spark: SparkSession, table: str) -> TableDescription | None:

@@ -117,6 +117,14 @@ def test_raw_table_properties(spark, folder, database):
     assert ("classification", "csv") in values(spark.sql(f"SHOW TBLPROPERTIES {database}.t"))
 
 
+def test_views_are_no_datasets(spark, folder, database):
+    declare_text_table(spark, f"{database}.b", "a INT", folder)
+    declare_text_table(spark, f"{database}.a", "a INT", folder)
+    spark.sql(f"CREATE VIEW {database}.v AS SELECT 1 AS a")
+    spark.range(1).createOrReplaceTempView("temporary_view")
+    assert list_datasets(spark, database) == ["a", "b"]
+
+
 def test_default_database(spark, database):
     before = spark.catalog.currentDatabase()
     with use_database(spark, database):
