@@ -1,9 +1,11 @@
 """Registered queries of this subpackage."""
 
-from tableforge.llm import line_dedup
+from tableforge.llm import line_dedup, quality_rules, simhash
 
 QUERIES = {
+    "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op3_simhash": simhash.op3_simhash,
 }
 ORACLES = {
     "op2_line_dedup": line_dedup.ORACLE,
