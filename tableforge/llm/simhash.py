@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tableforge.llm.common import documents, fresh_name, whole_text, written
 from tableforge.llm.components import components
@@ -58,7 +59,7 @@ def fingerprint(text: bytes) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(rows)).tobytes(), "big")
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(LongType())
 def fingerprints(texts: pa.Array) -> pa.Array:
     found = [fingerprint(text) for text in texts.cast(pa.binary()).to_pylist()]
     return pa.array(np.array(found, np.uint64).view(np.int64))
