@@ -1,11 +1,13 @@
 """Registered queries of this subpackage."""
 
-from tableforge.llm import line_dedup, quality_rules, simhash
+from tableforge.llm import bpe, line_dedup, packing, quality_rules, simhash
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_simhash": simhash.op3_simhash,
+    "op6_best_fit_packing": packing.op6_best_fit_packing,
+    "op7_bpe": bpe.op7_bpe,
 }
 ORACLES = {
     "op2_line_dedup": line_dedup.ORACLE,
