@@ -1,6 +1,6 @@
 """Registered queries of this subpackage."""
 
-from tableforge.llm import bpe, line_dedup, packing, quality_rules, simhash, warc
+from tableforge.llm import bpe, classifier, line_dedup, packing, quality_rules, simhash, warc
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_simhash": simhash.op3_simhash,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_bpe": bpe.op7_bpe,
+    "op8_quality_classifier": classifier.op8_quality_classifier,
     "op9_warc": warc.op9_warc,
 }
 ORACLES = {
