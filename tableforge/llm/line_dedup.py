@@ -59,7 +59,8 @@ def dropped_line_bitmaps(
     Documents and words without a dropped line are absent; the set bits are dropped.
     """
     found = written(_occurrences(docs, min_chars), "lines")
-    owners = repeated_lines(found, min_documents)
+    # As a table of its own, the join reads both sides from shuffles and can split a hot key.
+    owners = written(repeated_lines(found, min_documents), "owners")
     lost = found.join(owners, ["key", "key2"]).where(~F.col("doc_id").eqNullSafe(F.col("owner")))
     words = lost.groupBy("doc_id", "text_hash", (F.expr("pos div 64").cast("int")).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits")
