@@ -7,9 +7,9 @@ each labeller votes which way on fit and unfit documents; the posterior probabil
 the labels a logistic scorer over hashed features learns from, by sparse online updates
 (follow the regularised leader). A document is kept if neither score finds it unfit.
 
-The scorer is fitted on a bounded sample, ``SAMPLE_LABELLED`` labelled documents and
-``SAMPLE_OTHERS`` of all, drawn by a hash of the id and each taken whole; it is fitted in
-one task, and its weights (two arrays of ``WIDTH`` numbers) go to the tasks that score.
+The scorer is fitted on a bounded sample of about ``SAMPLE`` labelled documents (of all, if
+none has a label), drawn by a hash of the id and each taken whole; it is fitted in one
+task, and its weights (two arrays of ``WIDTH`` numbers) go to the tasks that score.
 Documents whose id leaves remainder 0 by ``HELD_OUT`` are never in the sample, so that the
 labels of these measure it. All documents are scored, in place, without a shuffle.
 
@@ -32,8 +32,7 @@ from pyspark.sql.types import StructType
 
 from tableforge.llm.common import documents, whole_text, written
 
-SAMPLE_LABELLED = 12_000
-SAMPLE_OTHERS = 3_000
+SAMPLE = 12_000
 HELD_OUT = 5
 WIDTH = 1 << 18
 EPOCHS = 6
@@ -198,15 +197,15 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
     usable = (F.col("doc_id") % HELD_OUT != 0) & F.col("doc_id").isNotNull()
     given = labels.where(usable).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    n_given, n_docs = max(1, labels.count()), max(1, docs.count())
-    given = given.where(share < 1_000_000 * SAMPLE_LABELLED // n_given)
+    n_given = given.count()
     texts = docs.where(usable).select("doc_id", whole_text(F.col("text")).alias("text"))
-    columns = ["text", "quality", "toxic"]
-    # At most about SAMPLE_LABELLED rows of three numbers: a bound that does not grow.
-    labelled = texts.join(F.broadcast(given), "doc_id").select(*columns)
-    others = texts.where(share >= 1_000_000 - 1_000_000 * SAMPLE_OTHERS // n_docs)
-    nothing = F.lit(None).cast("int")
-    return labelled.union(others.select("text", nothing.alias("quality"), nothing.alias("toxic")))
+    if not n_given:
+        nothing = F.lit(None).cast("int")
+        others = texts.where(share < 1_000_000 * SAMPLE // max(1, docs.count()))
+        return others.select("text", nothing.alias("quality"), nothing.alias("toxic"))
+    given = given.where(share < 1_000_000 * SAMPLE // n_given)
+    # About SAMPLE rows of three numbers: a bound that does not grow with the corpus.
+    return texts.join(F.broadcast(given), "doc_id").select("text", "quality", "toxic")
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame) -> dict[str, bytes]:
