@@ -1,6 +1,6 @@
 """Registered queries of this subpackage."""
 
-from tableforge.llm import bpe, classifier, line_dedup, packing, quality_rules, simhash, warc
+from tableforge.llm import bpe, classifier, licenses, line_dedup, packing, quality_rules, simhash, warc
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -10,6 +10,7 @@ QUERIES = {
     "op7_bpe": bpe.op7_bpe,
     "op8_quality_classifier": classifier.op8_quality_classifier,
     "op9_warc": warc.op9_warc,
+    "op10_license_scan": licenses.op10_license_scan,
 }
 ORACLES = {
     "op2_line_dedup": line_dedup.ORACLE,
