@@ -1,12 +1,13 @@
 """Registered queries of this subpackage."""
 
-from tableforge.llm import bpe, classifier, digests, licenses, line_dedup, packing, quality_rules, simhash, warc
+from tableforge.llm import bpe, classifier, digests, katz, licenses, line_dedup, packing, quality_rules, simhash, warc
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_simhash": simhash.op3_simhash,
     "op4_document_fingerprints": digests.op4_document_fingerprints,
+    "op5_katz_scores": katz.op5_katz_scores,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_bpe": bpe.op7_bpe,
     "op8_quality_classifier": classifier.op8_quality_classifier,
