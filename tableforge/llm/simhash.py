@@ -245,6 +245,15 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
         masks = [deep for mask in masks for deep in refined(mask)]
 
 
+def component_names(marked: DataFrame) -> DataFrame:
+    """``fp, component_id`` for each fingerprint in the columns ``doc_id, fp`` of ``marked``."""
+    ids = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    roots = components(fingerprint_links(ids.select("fp"))).withColumnRenamed("node", "fp")
+    joined = ids.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    heads = joined.groupBy("root").agg(F.min("least").alias("component_id"))
+    return joined.join(heads, "root").select("fp", "component_id")
+
+
 def near_duplicates(docs: DataFrame, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``docs`` with ``fingerprint`` and ``component_id``.
 
@@ -254,16 +263,28 @@ def near_duplicates(docs: DataFrame, keep: list[str]) -> DataFrame:
     fp = fresh_name(keep, "fp")
     marked = docs.select(*keep, fingerprints(whole_text(F.col("text"))).alias(fp))
     marked = written(marked, "fingerprints")
-    ids = marked.groupBy(F.col(fp).alias("fp")).agg(F.min("doc_id").alias("least"))
-    ids = written(ids, "distinct")
-    roots = components(fingerprint_links(ids.select("fp"))).withColumnRenamed("node", "fp")
-    joined = ids.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    heads = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = joined.join(heads, "root").select(F.col("fp").alias("__fp"), "component_id")
+    names = component_names(marked.select("doc_id", F.col(fp).alias("fp")))
+    names = names.withColumnRenamed("fp", "__fp")
     named = marked.join(names, F.col(fp) == F.col("__fp"), "left")
     shown = F.lower(F.lpad(F.hex(fp), 16, "0")).alias("fingerprint")
     return named.select(*keep, shown, "component_id")
 
 
+def keep_representatives(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each component: that with the smallest ``doc_id``.
+
+    Rows of equal text that share this id are one document and stay.
+    """
+    fp = fresh_name(docs.columns, "fp")
+    marked = docs.select("*", fingerprints(whole_text(F.col("text"))).alias(fp))
+    marked = written(marked, "marked")
+    rows = marked.select("doc_id", F.col(fp).alias("fp"))
+    names = component_names(rows)
+    first = rows.join(names, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = first.select(F.col("doc_id").alias("__doc"), F.col("fp").alias("__fp")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col(fp) == F.col("__fp"))
+    return marked.join(first, same, "left_semi").drop(fp)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), ["doc_id"])
