@@ -183,12 +183,11 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 places.extend(word_places(word))
             rows.append(np.array(places, np.int32))
     weights = []
+    if not rows:
+        return
     for kind in KINDS:
-        if rows:
-            _, _, fit = fit_labellers(kind, np.array(votes[kind]))
-            weights.append(train_scorer(rows, fit, SPARSENESS[kind]).astype("<f4").tobytes())
-        else:
-            weights.append(np.zeros(WIDTH, "<f4").tobytes())
+        _, _, fit = fit_labellers(kind, np.array(votes[kind]))
+        weights.append(train_scorer(rows, fit, SPARSENESS[kind]).astype("<f4").tobytes())
     yield pa.RecordBatch.from_arrays([pa.array(KINDS), pa.array(weights, pa.binary())], ["kind", "weights"])
 
 
@@ -215,7 +214,8 @@ def fit_classifier(docs: DataFrame, labels: DataFrame) -> dict[str, bytes]:
     # The sample is bounded, so one task can hold it; sorted, it is fitted alike each time.
     one = sample.repartition(1).sortWithinPartitions(F.xxhash64("text"), "text", "quality", "toxic")
     fitted = written(one.mapInArrow(_train, "kind string, weights binary"), "weights")
-    return {row.kind: bytes(row.weights) for row in fitted.collect()}
+    nothing = {kind: np.zeros(WIDTH, "<f4").tobytes() for kind in KINDS}
+    return nothing | {row.kind: bytes(row.weights) for row in fitted.collect()}
 
 
 def _score(weights: dict[str, bytes], at: int, keep: list[int]) -> Callable:

@@ -241,8 +241,9 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
             ]
         )
         rows = rows.join(large, ["mask", "pattern"]).select("fp", F.explode(deeper[F.col("mask")]).alias("mask"))
-        rows = rows.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("pattern"), "fp")
-        masks = [deep for mask in masks for deep in refined(mask)]
+        # Blocks added in another order may give the same mask.
+        rows = rows.distinct().select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("pattern"), "fp")
+        masks = list(dict.fromkeys(deep for mask in masks for deep in refined(mask)))
 
 
 def component_names(marked: DataFrame) -> DataFrame:
