@@ -7,9 +7,10 @@ asks for beyond that: a record identifier, a timestamp, a type and a payload dig
 Records whose payloads are equal are written once as ``response``; the others are
 ``revisit`` records that name it and hold only its HTTP header.
 
-Spark's writer of text files writes the archives, a record at a time, and its reader of
-whole files reads them; files are kept to ``FILE_BYTES`` or one record. Payload digests
-alone are shuffled to find equal payloads.
+Spark's writer of text files writes the archives with gzip, a record at a time, and its
+reader of whole files reads them. A file holds so many records as have ``FILE_BYTES`` on
+average. Digests alone are shuffled to find equal payloads, and payloads once, packed, to
+meet the decision on them.
 
 A null html is an empty payload. A null url is ``-``. Rows with the same id have the same
 record identifier; of equal payloads with the smallest id one is the response. Rows
@@ -21,8 +22,10 @@ from __future__ import annotations
 
 import base64
 import datetime
+import gzip
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -36,6 +39,7 @@ MIN_REVISIT_BYTES = 0
 FILE_BYTES = 64 << 20
 ARCHIVED_AT = "20240101000000"
 NO_URL = "-"
+GZIP_MARK = b"\x1f\x8b"
 
 #: Fields of the header line of an ARC record, by version (fixed values of the format).
 ARC_FIELDS = {
@@ -134,27 +138,44 @@ def _files(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("binaryFile").load(folder).select("content")
 
 
+def _content(file: pa.Scalar) -> bytes:
+    content = file.as_py()
+    return gzip.decompress(content) if content[:2] == GZIP_MARK else content
+
+
+def _records_in_file(sizes: DataFrame) -> int:
+    """Number of records that have ``FILE_BYTES`` on average; ``sizes`` has one column."""
+    mean = sizes.agg(F.avg(sizes.columns[0])).first()[0] or 0
+    return max(1, int(FILE_BYTES // (mean + 512)))
+
+
+def _write(records: DataFrame, folder: str, separator: str, in_file: int) -> None:
+    options = {"lineSep": separator, "compression": "gzip", "maxRecordsPerFile": in_file}
+    records.write.options(**options).text(folder)
+
+
 def write_arc(pages: DataFrame, folder: str, version: int = 1) -> None:
     """``pages`` as ARC files: an HTTP response for each row."""
+    html = F.coalesce(F.col("html").cast("string"), F.lit(""))
+    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), html.alias("html"))
+    in_file = _records_in_file(rows.select(F.octet_length("html")))
 
     def records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opening = arc_version_block(version).decode()
-        first = True
+        count = 0
         for batch in batches:
-            rows = []
+            found = []
             ids, urls = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for page_id, url, html in zip(ids, urls, batch.column(2).cast(pa.binary()).to_pylist(), strict=True):
                 block = http_header("200 OK", page_id, "text/html", len(html)) + html
                 fields = {"url": url or NO_URL, "ip": "0.0.0.0", "date": ARCHIVED_AT, "type": "text/html"}
-                rows.append((opening if first else "") + (arc_line(version, fields, len(block)) + block).decode())
-                first = False
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["record"])
+                # The writer begins a file with each ``in_file``-th record of a task.
+                head = opening if count % in_file == 0 else ""
+                found.append(head + (arc_line(version, fields, len(block)) + block).decode())
+                count += 1
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["record"])
 
-    html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), html.alias("html"))
-    total = rows.agg(F.sum(F.octet_length("html").cast("long"))).first()[0] or 0
-    parts = max(rows.sparkSession.sparkContext.defaultParallelism, -(-2 * int(total) // FILE_BYTES))
-    rows.repartition(parts).mapInArrow(records, "record string").write.option("lineSep", "\n").text(folder)
+    _write(rows.mapInArrow(records, "record string"), folder, "\n", in_file)
 
 
 def read_arc(spark: SparkSession, folder: str) -> DataFrame:
@@ -163,9 +184,9 @@ def read_arc(spark: SparkSession, folder: str) -> DataFrame:
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
         for batch in batches:
-            for content in batch.column(0):
+            for file in batch.column(0):
                 found = []
-                for fields, block in parse_arc(content.as_py()):
+                for fields, block in parse_arc(_content(file)):
                     header, body = parse_http(block)
                     page = header.get(PAGE_HEADER.lower())
                     found.append((page and int(page), fields["url"], fields["date"], fields["type"], body))
@@ -195,29 +216,27 @@ def convert_arc(spark: SparkSession, arc_folder: str, warc_folder: str, min_byte
 
     def digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [base32_sha1(payload) for payload in batch.column(4).to_pylist()]
-            ids = [
-                record_id(page, url, digest)
-                for page, url, digest in zip(
-                    batch.column(0).to_pylist(), batch.column(1).to_pylist(), found, strict=True
-                )
+            *fields, payload = (column.to_pylist() for column in batch.columns)
+            found = [base32_sha1(value) for value in payload]
+            ids = [record_id(page, url, digest) for page, url, digest in zip(*fields[:2], found, strict=True)]
+            columns = [
+                *batch.columns[:4],
+                pa.array([zlib.compress(value, 1) for value in payload], pa.binary()),
+                pa.array([len(value) for value in payload], pa.int64()),
+                pa.array(found, pa.string()),
+                pa.array(ids, pa.string()),
             ]
-            columns = [*batch.columns, pa.array(found, pa.string()), pa.array(ids, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "digest", "record_id"])
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "length", "digest", "record_id"])
 
-    schema = f"{ARC_RECORD}, digest string, record_id string"
-    read = written(read_arc(spark, arc_folder).mapInArrow(digests, schema), "records")
+    schema = f"{ARC_RECORD}, length long, digest string, record_id string"
+    read = read_arc(spark, arc_folder).mapInArrow(digests, schema)
     # The smallest page of each payload, a null id last, and its record.
     key = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "record_id")
-    firsts = read.select("digest", key.alias("key")).groupBy("digest").agg(F.min("key").alias("first"))
-    firsts = written(firsts, "responses")
-    joined = read.join(firsts, "digest").withColumn(
-        "revisits",
-        F.when(
-            (F.octet_length("payload") >= min_bytes) & (F.col("first.record_id") != F.col("record_id")),
-            F.col("first.record_id"),
-        ),
-    )
+    firsts = read.groupBy("digest").agg(F.min(key).alias("first"), F.avg("length").alias("mean"))
+    firsts = written(firsts.select("digest", "first.record_id", "mean"), "responses")
+    firsts = firsts.withColumnRenamed("record_id", "first_id")
+    other = (F.col("length") >= min_bytes) & (F.col("first_id") != F.col("record_id"))
+    joined = read.join(firsts.drop("mean"), "digest").withColumn("revisits", F.when(other, F.col("first_id")))
 
     def records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,18 +244,15 @@ def convert_arc(spark: SparkSession, arc_folder: str, warc_folder: str, min_byte
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["record"])
 
     payload = F.when(F.col("revisits").isNull(), F.col("payload")).alias("payload")
-    length = F.octet_length("payload").cast("long").alias("length")
-    fields = ["page_id", "url", "date", "mime", "digest", "record_id", "revisits"]
-    total = read.agg(F.sum(F.octet_length("payload").cast("long"))).first()[0] or 0
-    parts = max(spark.sparkContext.defaultParallelism, -(-2 * int(total) // FILE_BYTES))
-    rows = joined.select(*fields, length, payload).repartition(parts)
-    rows.mapInArrow(records, "record string").write.option("lineSep", "\r\n\r\n").text(warc_folder)
+    fields = ["page_id", "url", "date", "mime", "digest", "record_id", "revisits", "length"]
+    in_file = _records_in_file(firsts.select("mean"))
+    _write(joined.select(*fields, payload).mapInArrow(records, "record string"), warc_folder, "\r\n\r\n", in_file)
 
 
 def _warc_record(row: dict) -> str:
     kind = "revisit" if row["revisits"] else "response"
     head = http_header("200 OK", row["page_id"], row["mime"], row["length"])
-    block = head + (row["payload"] or b"")
+    block = head + (zlib.decompress(row["payload"]) if row["payload"] else b"")
     fields = {
         "WARC-Type": kind,
         "WARC-Record-ID": row["record_id"],
@@ -261,9 +277,9 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), *[pa.string()] * 5, pa.int64(), pa.string(), pa.binary()]
         for batch in batches:
-            for content in batch.column(0):
+            for file in batch.column(0):
                 found = []
-                for fields, block in parse_warc(content.as_py()):
+                for fields, block in parse_warc(_content(file)):
                     header, body = parse_http(block)
                     kind, digest = fields["warc-type"], fields["warc-payload-digest"].removeprefix("sha1:")
                     if kind == "response" and base32_sha1(body) != digest:
