@@ -5,8 +5,8 @@ place; the root is then the leftmost pair of lowest rank. A merge changes three
 the nodes above them, so a word of n symbols takes n log n steps, also if it is a line of
 100,000 characters without a blank.
 
-Words are independent of each other. A worker remembers the words it has met, up to a
-fixed number, and then starts anew. Rows are independent too: nothing is shuffled.
+Words are independent of each other. A worker remembers the words it has met last, up to a
+fixed number. Rows are independent too: nothing is shuffled.
 
 A null text is empty and has no ids. Strings of special tokens in a text become their
 ids. Rows with the same id are encoded each by its own text; an empty table gives an empty
@@ -32,6 +32,7 @@ from tableforge.llm.common import documents, whole_text
 VOCABULARY = "word_bpe_49k.json"
 CACHE_WORDS = 200_000
 NO_PAIR = 1 << 62
+GONE = -1
 PLACE = (1 << 32) - 1
 
 #: White space of Unicode (fixed values).
@@ -51,7 +52,8 @@ class Vocabulary:
 
     ids: dict[str, int]
     tokens: dict[int, str]
-    merges: dict[tuple[int, int], tuple[int, int]]
+    ranks: dict[tuple[int, int], int]
+    results: list[int]
     words: regex.Pattern
     special: regex.Pattern | None
     suffix: str
@@ -64,16 +66,15 @@ def read_vocabulary(path: str) -> Vocabulary:
     model = content["model"]
     ids = model["vocab"]
     pairs = [pair if isinstance(pair, list) else pair.split(" ") for pair in model["merges"]]
-    merges = {
-        (ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(pairs)
-    }
+    ranks = {(ids[a], ids[b]): rank for rank, (a, b) in enumerate(pairs)}
     pattern = content["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
     added = {token["content"]: token["id"] for token in content["added_tokens"]}
     special = "|".join(map(regex.escape, sorted(added, key=len, reverse=True)))
     return Vocabulary(
         ids | added,
         {number: token for token, number in (ids | added).items()},
-        merges,
+        ranks,
+        [ids[a + b] for a, b in pairs],
         regex.compile(pattern.replace(r"\s", UNICODE_BLANKS)),
         regex.compile(f"({special})") if special else None,
         model["end_of_word_suffix"] or "",
@@ -81,76 +82,89 @@ def read_vocabulary(path: str) -> Vocabulary:
     )
 
 
-def merge_symbols(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+def merge_symbols(
+    symbols: list[int], ranks: dict[tuple[int, int], int], results: list[int]
+) -> list[int]:
     """``symbols`` with merges applied, the leftmost of lowest rank first, until none is left."""
     count = len(symbols)
     if count < 2:
         return symbols
-    size = 1 << (count - 2).bit_length() if count > 2 else 1
+    leaves = count - 1
+    size = 1 << (leaves - 1).bit_length()
+    rank_of = ranks.get
     tree = [NO_PAIR] * (2 * size)
-    for at in range(count - 1):
-        found = merges.get((symbols[at], symbols[at + 1]))
-        if found:
-            tree[size + at] = found[0] << 32 | at
+    for at in range(leaves):
+        rank = rank_of((symbols[at], symbols[at + 1]))
+        if rank is not None:
+            tree[size + at] = rank << 32 | at
     for node in range(size - 1, 0, -1):
         left, right = tree[2 * node], tree[2 * node + 1]
         tree[node] = left if left < right else right
     after = list(range(1, count + 1))
-    before = list(range(-1, count - 1))
-    alive = [True] * count
-
-    def put(at: int, value: int) -> None:
-        node = size + at
-        tree[node] = value
-        node >>= 1
-        while node:
-            left, right = tree[2 * node], tree[2 * node + 1]
-            least = left if left < right else right
-            if tree[node] == least:
-                return
-            tree[node] = least
-            node >>= 1
-
-    def rank_at(at: int) -> int:
-        other = after[at]
-        found = merges.get((symbols[at], symbols[other])) if other < count else None
-        return found[0] << 32 | at if found else NO_PAIR
-
-    while tree[1] != NO_PAIR:
-        at = tree[1] & PLACE
+    before = list(range(-1, leaves))
+    while (least := tree[1]) != NO_PAIR:
+        at = least & PLACE
         gone = after[at]
-        symbols[at] = merges[symbols[at], symbols[gone]][1]
-        alive[gone] = False
-        after[at] = after[gone]
-        if after[at] < count:
-            before[after[at]] = at
-        if gone < count - 1:
-            put(gone, NO_PAIR)
-        if at < count - 1:
-            put(at, rank_at(at))
-        if before[at] >= 0:
-            put(before[at], rank_at(before[at]))
-    return [symbol for symbol, here in zip(symbols, alive, strict=True) if here]
+        symbols[at] = results[least >> 32]
+        symbols[gone] = GONE
+        after[at] = following = after[gone]
+        # The pairs at ``at`` and before it are new, and the pair at ``gone`` is no more.
+        tree[size + at] = NO_PAIR
+        last = at
+        if gone < leaves:
+            tree[size + gone] = NO_PAIR
+            last = gone
+        if following < count:
+            before[following] = at
+            rank = rank_of((symbols[at], symbols[following]))
+            if rank is not None:
+                tree[size + at] = rank << 32 | at
+        first = before[at]
+        if first >= 0:
+            rank = rank_of((symbols[first], symbols[at]))
+            tree[size + first] = NO_PAIR if rank is None else rank << 32 | first
+        else:
+            first = at
+        low, high = size + first >> 1, size + last >> 1
+        while low:
+            for node in range(low, high + 1):
+                left, right = tree[2 * node], tree[2 * node + 1]
+                tree[node] = left if left < right else right
+            low >>= 1
+            high >>= 1
+    return [symbol for symbol in symbols if symbol != GONE]
+
+
+class Memory(dict):
+    """Results by word, in two generations: when the younger is full, the older goes."""
+
+    def __init__(self, make: Callable, size: int):
+        super().__init__()
+        self.make, self.size, self.older = make, size, {}
+
+    def __missing__(self, word):
+        found = self.older.get(word)
+        if found is None:
+            found = self.make(word)
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[word] = found
+        return found
 
 
 class Codec:
     """Encoder and decoder over one vocabulary, with a bounded memory of words."""
 
     def __init__(self, vocabulary: Vocabulary, cache_words: int = CACHE_WORDS):
-        self.vocabulary, self.cache_words = vocabulary, cache_words
-        self._pieces: dict[str, list[int]] = {}
+        self.vocabulary = vocabulary
+        self.pieces = Memory(self._encode_piece, cache_words)
 
-    def encode_piece(self, piece: str) -> list[int]:
-        found = self._pieces.get(piece)
-        if found is None:
-            v = self.vocabulary
-            letters = [v.letters[byte] for byte in piece.encode()]
-            letters[-1] += v.suffix
-            found = merge_symbols([v.ids[letter] for letter in letters], v.merges)
-            if len(self._pieces) >= self.cache_words:
-                self._pieces.clear()
-            self._pieces[piece] = found
-        return found
+    def _encode_piece(self, piece: str) -> list[int]:
+        v = self.vocabulary
+        letters = [v.letters[byte] for byte in piece.encode()]
+        letters[-1] += v.suffix
+        return merge_symbols([v.ids[letter] for letter in letters], v.ranks, v.results)
 
     def encode(self, text: str) -> list[int]:
         v, found = self.vocabulary, []
@@ -159,9 +173,12 @@ class Codec:
             if k % 2:
                 found.append(v.ids[part])
                 continue
-            lowered = "".join(map(str.lower, unicodedata.normalize("NFC", part)))
+            if part.isascii():
+                lowered = part.lower()
+            else:  # letter by letter: the case of a letter never depends on its neighbours here
+                lowered = "".join(map(str.lower, unicodedata.normalize("NFC", part)))
             for piece in v.words.findall(lowered):
-                found.extend(self.encode_piece(piece))
+                found.extend(self.pieces[piece])
         return found
 
     def decode(self, ids: list[int]) -> str:
@@ -171,21 +188,17 @@ class Codec:
 def _codes(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(read_vocabulary(path))
-        known: dict[bytes, tuple[int, str, str]] = {}
 
         def code(word: bytes) -> tuple[int, str, str]:
             ids = codec.encode(word.decode())
-            found = (len(ids), " ".join(map(str, ids)), codec.decode(ids))
-            if len(known) >= CACHE_WORDS:
-                known.clear()
-            known[word] = found
-            return found
+            return len(ids), " ".join(map(str, ids)), codec.decode(ids)
 
+        known = Memory(code, CACHE_WORDS)
         for batch in batches:
             rows = []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 # No token spans white space; words without a token leave nothing.
-                words = [known.get(word) or code(word) for word in text.split()]
+                words = list(map(known.__getitem__, text.split()))
                 n_tokens = sum([word[0] for word in words])
                 if 0 in [word[0] for word in words]:
                     words = [word for word in words if word[0]]
