@@ -2,6 +2,7 @@
 
 from tableforge.operators.casting import cast_to_columns
 from tableforge.operators.conversion import (
+    ConversionFailed,
     ConversionOptions,
     ConvertedDataset,
     convert_database,
@@ -21,14 +22,16 @@ from tableforge.sources.catalog import (
     list_datasets,
     use_database,
 )
-from tableforge.sources.datasets import scan_catalog_table, scan_dataset
+from tableforge.sources.datasets import ExtraValues, scan_catalog_table, scan_dataset
 from tableforge.sources.text import TextFormat, scan_text
 from tableforge.streaming.incremental import IncrementalRun, convert_new_files
 
 __all__ = [
     "BatchOptions",
+    "ConversionFailed",
     "ConversionOptions",
     "ConvertedDataset",
+    "ExtraValues",
     "IncrementalRun",
     "StatementFailed",
     "TextFormat",

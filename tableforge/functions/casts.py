@@ -18,6 +18,9 @@ TIMESTAMP_TYPES = ("timestamp", "timestamp with time zone")
 INT_TYPES = ("int", "integer")
 LONG_TYPES = ("bigint", "long")
 DOUBLE_TYPES = ("double", "float", "decimal")
+SMALL_TYPES = ("smallint", "short", "tinyint", "byte")
+PLAIN_TYPES = ("boolean", "binary", "string", "double")
+
 
 def text_to_whole_number(text: Column, type_name: str) -> Column:
     """Text to ``int`` or ``bigint``; a decimal fraction is cut off, not rounded.
@@ -39,11 +42,13 @@ def text_to_date(text: Column, date_format: str = DATE_FORMAT) -> Column:
     """
     if date_format != DATE_FORMAT:
         return F.try_to_date(text, date_format)
+    # A year before 0 has a sign.
+    body = F.when(F.startswith(text, F.lit("-")), F.substring(text, 2, 11)).otherwise(text)
     strict = (
-        (F.octet_length(text) == 10)
-        & (F.substring(text, 5, 1) == "-")
-        & (F.substring(text, 8, 1) == "-")
-        & F.substring(text, 10, 1).between("0", "9")
+        (F.octet_length(body) == 10)
+        & (F.substring(body, 5, 1) == "-")
+        & (F.substring(body, 8, 1) == "-")
+        & F.substring(body, 10, 1).between("0", "9")
     )
     return F.when(strict, text.cast("date"))
 
@@ -86,6 +91,39 @@ def cast_column(
     return column
 
 
+def cast_to_declared(
+    column: Column,
+    source_type: str,
+    target_type: str,
+    date_format: str = DATE_FORMAT,
+    timestamp_format: str = TIME_OF_DAY_FORMAT,
+) -> Column:
+    """Expression of exactly the type a catalog table declares, so that it can be read.
+
+    Types that no cast of one value reaches (arrays, maps, structures) are an error.
+    """
+    source = source_type.strip().lower()
+    target = target_type.strip().lower()
+    text_alike = target.startswith(("char(", "varchar("))
+    if source == target or (text_alike and source == "string"):
+        return column
+    if target in SMALL_TYPES and source == "string":
+        number = text_to_whole_number(column, "int")
+        return number.try_cast(target)
+    if target == "float":
+        return column.try_cast("double").cast("float")
+    if target == "timestamp_ntz" and source == "string":
+        return text_to_timestamp(column, timestamp_format).cast("timestamp_ntz")
+    known = DATE_TYPES + TIMESTAMP_TYPES + INT_TYPES + LONG_TYPES + DOUBLE_TYPES
+    if target in known or target.startswith("decimal("):
+        return cast_column(column, source, target, date_format, timestamp_format)
+    if target in SMALL_TYPES + PLAIN_TYPES + ("timestamp_ntz",):
+        return column.try_cast(target)
+    if text_alike:
+        return column.cast("string")
+    raise ValueError(f"no cast from {source_type} to {target_type}")
+
+
 def read_declared(text: Column, declared_type: str) -> Column:
     """Text of a raw table under the type its catalog entry declares."""
     declared = declared_type.strip().lower()

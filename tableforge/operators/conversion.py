@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tableforge.functions.casts import DATE_FORMAT, TIME_OF_DAY_FORMAT
@@ -19,8 +20,8 @@ from tableforge.names import Columns, column
 from tableforge.operators.casting import cast_to_columns
 from tableforge.sinks.parquet import DEFAULT_CODEC, require_keys, split_keys, write_parquet
 from tableforge.sources.catalog import TableDescription, describe_table, list_datasets
-from tableforge.sources.datasets import scan_dataset
-from tableforge.sources.text import TextFormat
+from tableforge.sources.datasets import TOO_MANY_VALUES, ExtraValues, scan_dataset
+from tableforge.sources.text import EXTRA_VALUES, TextFormat
 
 logger = logging.getLogger(__name__)
 
@@ -29,7 +30,12 @@ REPORT_SCHEMA = "dataset string, rows_read bigint"
 
 @dataclass(frozen=True)
 class ConversionOptions:
-    """``text_format`` is for plain text; catalog tables bring their own."""
+    """``text_format`` is for plain text; catalog tables bring their own.
+
+    ``extra_values`` says what happens to values beyond the columns of a row: "error"
+    writes nothing, "keep" adds a column ``extra_values`` with the list of them, "ignore"
+    does not look (and reads no more columns than it must).
+    """
 
     text_format: TextFormat = field(default_factory=TextFormat)
     compression: str = DEFAULT_CODEC
@@ -37,6 +43,16 @@ class ConversionOptions:
     date_format: str = DATE_FORMAT
     timestamp_format: str = TIME_OF_DAY_FORMAT
     rebalance: bool = True
+    extra_values: str = "error"
+
+
+class ConversionFailed(RuntimeError):
+    """A dataset failed. ``report`` has the rows of the datasets converted before it."""
+
+    def __init__(self, dataset: str, report: list[tuple[str, int]]):
+        super().__init__(f"{dataset} failed after {len(report)} converted datasets")
+        self.dataset = dataset
+        self.report = report
 
 
 @dataclass(frozen=True)
@@ -76,15 +92,35 @@ def convert_dataset(
         table = find_target(spark, target_db, dataset)
         target = table.columns if table is not None else None
     names = None if target is None else [name for name, _ in target]
+    keys = keys_of_target(dataset, table, split_keys(partition_keys))
     if table is not None and table.partition_columns:
         _require_known_order(spark, dataset, source_db, options.text_format)
-    rows = scan_dataset(spark, dataset, read_path, source_db, options.text_format, names)
-    typed = cast_to_columns(rows, target or (), options.date_format, options.timestamp_format)
-    keys = split_keys(partition_keys)
-    require_keys(keys, typed.columns, dataset)
-    count = write_parquet(
-        typed, write_path, options.compression, keys, options.mode, options.rebalance
+
+    def scan(extra_values: str) -> DataFrame:
+        return scan_dataset(
+            spark, dataset, read_path, source_db, options.text_format, names, extra_values
+        )
+
+    typed = cast_to_columns(
+        scan(options.extra_values),
+        target or (),
+        options.date_format,
+        options.timestamp_format,
+        declared=table is not None,
     )
+    require_keys(keys, typed.columns, dataset)
+    try:
+        count = write_parquet(
+            typed, write_path, options.compression, keys, options.mode, options.rebalance
+        )
+    except Exception as error:
+        if TOO_MANY_VALUES not in str(error):
+            raise
+        # Nothing was written; say how many rows there are before anyone mends them.
+        rows = scan("keep")
+        # All columns are read, as Spark compares the width with the columns it reads.
+        counts = rows.agg(F.count(EXTRA_VALUES), *(F.count(column(name)) for name in rows.columns))
+        raise ExtraValues(dataset, counts.first()[0]) from error
     logger.info("%s: %d rows", dataset, count)
     if table is not None:
         _announce(spark, table)
@@ -105,7 +141,8 @@ def convert_database(
 
     Returns the report ``(dataset, rows_read)``. ``partition_keys`` apply to all
     datasets, or to the ones a mapping names. Keys of catalog tables are checked
-    before the first dataset is read.
+    before the first dataset is read. A failure raises ``ConversionFailed`` with the
+    report so far; give the other ``datasets`` to go on without converting any twice.
     """
     names = list(datasets) if datasets is not None else list_datasets(spark, source_db)
     keys = {name: split_keys(_keys_of(partition_keys, name)) for name in names}
@@ -113,18 +150,23 @@ def convert_database(
         source = describe_table(spark, f"{source_db}.{name}") if keys[name] else None
         if source is not None:
             require_keys(keys[name], [column_name for column_name, _ in source.columns], name)
-    report = []
+        if keys[name]:
+            keys_of_target(name, describe_table(spark, f"{target_db}.{name}"), keys[name])
+    report: list[tuple[str, int]] = []
     for name in names:
-        done = convert_dataset(
-            spark,
-            name,
-            in_path,
-            out_path,
-            source_db=source_db,
-            target_db=target_db,
-            partition_keys=keys[name],
-            options=options,
-        )
+        try:
+            done = convert_dataset(
+                spark,
+                name,
+                in_path,
+                out_path,
+                source_db=source_db,
+                target_db=target_db,
+                partition_keys=keys[name],
+                options=options,
+            )
+        except Exception as error:
+            raise ConversionFailed(name, report) from error
         report.append((done.dataset, done.rows_read))
     logger.info("%d datasets converted", len(report))
     return spark.createDataFrame(report, REPORT_SCHEMA)
@@ -138,6 +180,22 @@ def find_target(spark: SparkSession, target_db: str, dataset: str) -> TableDescr
     return table
 
 
+def keys_of_target(
+    dataset: str, table: TableDescription | None, keys: list[str]
+) -> list[str]:
+    """Partition keys of the output: those the target table declares, if there is one.
+
+    Files under other keys would not be seen through the table, or in another order.
+    """
+    if table is None:
+        return keys
+    declared = list(table.partition_columns)
+    if keys and keys != declared:
+        by = ", ".join(declared) or "nothing"
+        raise ValueError(f"{dataset}: {table.name} is partitioned by {by}, not by {', '.join(keys)}")
+    return declared
+
+
 def _keys_of(keys: str | Sequence[str] | Mapping | None, dataset: str) -> str | Sequence[str] | None:
     return keys.get(dataset) if isinstance(keys, Mapping) else keys
 

@@ -23,13 +23,46 @@ logger = logging.getLogger(__name__)
 REPORT_SCHEMA = "statement_no int, preview string, has_results boolean, row_count bigint"
 DOUBLE_QUOTED_NAMES = "spark.sql.ansi.doubleQuotedIdentifiers"
 
-# An INSERT whose source is a query of its own: what stands before it, and the query.
+# What Spark's INSERT has before the query, and words where that query cannot be observed.
 _NAME = r'(?:`[^`]*`|"[^"]*"|\w+)'
-_INSERT = re.compile(
-    rf"(insert\s+(?:into|overwrite)\s+(?:table\s+)?{_NAME}(?:\.{_NAME})*\s*"
-    r"(?:partition\s*\([^)]*\)\s*)?(?:\([^)]*\)\s*)?)\b((?:values|select)\b.*)",
-    re.IGNORECASE | re.DOTALL,
+_TARGET = re.compile(
+    rf"insert\s+(?:into|overwrite)\s+(?:table\s+)?{_NAME}(?:\s*\.\s*{_NAME})*"
+    r"(?:\s+partition\s*\([^)]*\))?(?:\s+if\s+not\s+exists)?"
+    rf"(?:\s+by\s+name|\s*\(\s*(?!select\b|with\b|from\b|table\b|values\b){_NAME}(?:\s*,\s*{_NAME})*\s*\))?"
+    r"(?=[\s(])",
+    re.IGNORECASE,
 )
+# Blanks and comments; quoted text; brackets; words.
+_LEADING = re.compile(r"(?:\s+|--[^\n]*(?:\n|$)|/\*.*?\*/)*", re.DOTALL)
+_TOKEN = re.compile(
+    r"--[^\n]*|/\*.*?\*/|'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|[()]|\w+", re.DOTALL
+)
+
+
+def split_insert(statement: str) -> tuple[str, str] | None:
+    """What stands before the query of an INSERT, and the query; None for other statements.
+
+    A ``WITH`` before the INSERT belongs to the query.
+    """
+    text = statement[_LEADING.match(statement).end() :]
+    if re.match(r"with\b", text, re.IGNORECASE):
+        depth = 0
+        for token in _TOKEN.finditer(text):
+            depth += {"(": 1, ")": -1}.get(token[0], 0)
+            if not depth and token[0].lower() == "insert":
+                break
+        else:
+            return None
+        common, text = text[: token.start()], text[token.start() :]
+    else:
+        common = ""
+    target = _TARGET.match(text)
+    if target is None:
+        return None
+    query = text[target.end() :]
+    if common and re.match(r"\s*with\b", query, re.IGNORECASE):
+        return None
+    return target[0], common + query
 
 
 @dataclass(frozen=True)
@@ -98,9 +131,9 @@ def _run(
     output_path: str | None,
     options: BatchOptions,
 ) -> tuple[bool, int | None]:
-    insert = _INSERT.fullmatch(statement)
+    insert = split_insert(statement)
     if insert is not None:
-        return False, _insert(spark, statement, *insert.groups())
+        return False, _insert(spark, statement, *insert)
     result = spark.sql(statement)
     if not result.columns:
         return False, None
@@ -114,12 +147,13 @@ def _insert(spark: SparkSession, statement: str, target: str, query: str) -> int
     """Run an INSERT from an observed view of its query; returns the rows inserted.
 
     A query that means something only inside the INSERT (``VALUES (DEFAULT)``)
-    runs as written, without a count.
+    runs as written, and its count is not known.
     """
     try:
         rows = spark.sql(query)
     except AnalysisException:
         spark.sql(statement)
+        logger.warning("Number of inserted rows not known: %s", preview(statement))
         return None
     counter, view = Observation(), f"inserted_{uuid.uuid4().hex}"
     rows.observe(counter, F.count(F.lit(1)).alias("rows")).createTempView(view)

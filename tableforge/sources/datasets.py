@@ -6,18 +6,62 @@ import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tableforge.functions.casts import read_declared
 from tableforge.names import column, column_list
 from tableforge.session import bad_casts_give_null
 from tableforge.sources.catalog import TableDescription, describe_table
-from tableforge.sources.text import TextFormat, scan_text, scan_text_by_position
+from tableforge.sources.text import (
+    EXTRA_VALUES,
+    UNEVEN_LINE,
+    TextFormat,
+    scan_text,
+    scan_text_by_position,
+    values_beyond,
+)
 
 logger = logging.getLogger(__name__)
 
 
+#: What to do with values beyond the columns: not look, fail, or keep them.
+EXTRA_VALUES_RULES = ("ignore", "error", "keep")
+TOO_MANY_VALUES = "row with more values than columns"
+
+
+class ExtraValues(ValueError):
+    """Rows of text have values beyond the columns; ``rows`` is their number."""
+
+    def __init__(self, dataset: str, rows: int | None = None):
+        many = "some" if rows is None else str(rows)
+        super().__init__(f"{dataset}: {many} rows have values beyond the columns")
+        self.rows = rows
+
+
+def with_extra_values(text: DataFrame, text_format: TextFormat, rule: str) -> DataFrame:
+    """``text`` of an uneven scan after ``rule``, without the helper column.
+
+    An error stops the job that reads the text, so nothing of it is written.
+    """
+    if rule not in EXTRA_VALUES_RULES:
+        raise ValueError(f"extra values: one of {', '.join(EXTRA_VALUES_RULES)}, not {rule!r}")
+    if UNEVEN_LINE not in text.columns:
+        return text
+    line = column(UNEVEN_LINE)
+    beyond = values_beyond(line, len(text.columns) - 1, text_format)
+    if rule == "keep":
+        extra = F.when(line.isNotNull() & (F.size(beyond) > 0), beyond)
+        return text.withColumn(EXTRA_VALUES, extra).drop(UNEVEN_LINE)
+    fine = line.isNull() | (F.size(beyond) == 0)
+    stop = F.raise_error(F.lit(TOO_MANY_VALUES)).cast("boolean")
+    return text.where(F.when(fine, True).otherwise(stop)).drop(UNEVEN_LINE)
+
+
 def scan_catalog_table(
-    spark: SparkSession, table: str | TableDescription, path: str | None = None
+    spark: SparkSession,
+    table: str | TableDescription,
+    path: str | None = None,
+    extra_values: str = "ignore",
 ) -> DataFrame:
     """Rows of a catalog table under its declared types, read from ``path`` where given."""
     entry = describe_table(spark, table) if isinstance(table, str) else table
@@ -27,13 +71,16 @@ def scan_catalog_table(
     if not entry.is_text:
         reader = spark.read.format(entry.provider).schema(column_list(entry.columns))
         return reader.option("recursiveFileLookup", True).load(location)
-    text = scan_text(spark, location, entry.text_format, [name for name, _ in entry.columns])
-    return declared_types(text, entry)
+    names = [name for name, _ in entry.columns]
+    text = scan_text(spark, location, entry.text_format, names, extra_values != "ignore")
+    return declared_types(with_extra_values(text, entry.text_format, extra_values), entry)
 
 
 def declared_types(text: DataFrame, entry: TableDescription) -> DataFrame:
     """Text columns of a raw table under the types the table declares."""
     casts = [read_declared(column(name), t).alias(name) for name, t in entry.columns]
+    if EXTRA_VALUES in text.columns and EXTRA_VALUES not in dict(entry.columns):
+        casts.append(column(EXTRA_VALUES))
     with bad_casts_give_null(text.sparkSession):
         return text.select(*casts)
 
@@ -45,6 +92,7 @@ def scan_dataset(
     source_db: str | None = None,
     text_format: TextFormat = TextFormat(),
     names: Sequence[str] | None = None,
+    extra_values: str = "ignore",
 ) -> DataFrame:
     """The dataset's catalog table read from ``path``, or plain text without one.
 
@@ -54,8 +102,11 @@ def scan_dataset(
     if source_db is not None:
         entry = describe_table(spark, f"{source_db}.{dataset}")
         if entry is not None:
-            return scan_catalog_table(spark, entry, path)
+            return scan_catalog_table(spark, entry, path, extra_values)
         logger.warning("No table %s.%s, reading %s as plain text", source_db, dataset, path)
+    uneven = extra_values != "ignore"
     if names is not None and not text_format.header:
-        return scan_text_by_position(spark, path, names, text_format)
-    return scan_text(spark, path, text_format)
+        text = scan_text_by_position(spark, path, names, text_format, uneven)
+    else:
+        text = scan_text(spark, path, text_format, uneven=uneven)
+    return with_extra_values(text, text_format, extra_values)

@@ -10,19 +10,25 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
 @dataclass(frozen=True)
 class TextFormat:
-    """How rows are written in text files. An empty ``quote`` turns quoting off."""
+    """How rows are written in text files. An empty ``quote`` turns quoting off.
+
+    With ``multi_line`` quoted values may hold line breaks; such files cannot be split
+    over tasks.
+    """
 
     sep: str = ","
     quote: str = '"'
     escape: str = "\\"
     header: bool = False
     null_value: str | None = None
+    multi_line: bool = False
 
     def options(self) -> dict[str, str]:
         options = {
@@ -31,6 +37,8 @@ class TextFormat:
             "escape": self.escape,
             "header": str(self.header).lower(),
         }
+        if self.multi_line:
+            options["multiLine"] = "true"
         if self.null_value is not None:
             options["nullValue"] = self.null_value
         return options
@@ -46,6 +54,7 @@ class TextFormat:
             escape=given.get("escape") or RAW_TABLE_FORMAT.escape,
             header=given.get("header", "false").lower() == "true",
             null_value=given.get("nullvalue") or given.get("serialization.null.format"),
+            multi_line=given.get("multiline", "false").lower() == "true",
         )
 
 
@@ -57,30 +66,73 @@ def text_schema(names: Sequence[str]) -> StructType:
     return StructType([StructField(name, StringType()) for name in names])
 
 
+#: Column with the line of each row that has more or fewer values than there are columns.
+UNEVEN_LINE = "__uneven_line"
+#: Name of the column for values beyond the others, where they are kept.
+EXTRA_VALUES = "extra_values"
+
+
+def values_beyond(line: Column, width: int, text_format: TextFormat) -> Column:
+    """Array of the values of ``line`` after the first ``width``, without quotes.
+
+    Empty values count for nothing, as at a delimiter that ends the line.
+    """
+    apart = "\\Q" + text_format.sep + "\\E"
+    if text_format.quote:
+        mark = "\\Q" + text_format.quote + "\\E"
+        # A delimiter separates where an even number of quotes follows it.
+        apart += f"(?=(?:(?:(?!{mark})[\\s\\S])*{mark}(?:(?!{mark})[\\s\\S])*{mark})*(?:(?!{mark})[\\s\\S])*$)"
+    values = F.split(line, apart, -1)
+    beyond = F.slice(values, width + 1, F.greatest(F.size(values) - width, F.lit(0)))
+    if text_format.quote:
+        beyond = F.transform(beyond, lambda value: F.btrim(value, F.lit(text_format.quote)))
+    return F.filter(beyond, lambda value: F.length(F.btrim(value)) > 0)
+
+
 def scan_text(
     spark: SparkSession,
     path: str,
     text_format: TextFormat = TextFormat(),
     names: Sequence[str] | None = None,
+    uneven: bool = False,
 ) -> DataFrame:
     """All text files below ``path``, every column a string, named ``names``.
 
     Without ``names`` the columns are named by the header, or ``_c0``, ``_c1``, …
-    A file whose header differs from the first one's is an error; it is not
-    read into the wrong columns.
+    A file whose header differs from the first one's is an error; it is not read into
+    the wrong columns. Only a header with equal names is not compared, as Spark numbers
+    these. With ``uneven`` a last column has the whole line of each row whose number of
+    values differs from the number of columns; such a scan reads all columns.
     """
     reader = spark.read.options(**text_format.options()).option("recursiveFileLookup", True)
-    if names is not None:
-        return reader.schema(text_schema(names)).csv(path)
-    found = reader.csv(path)
-    if text_format.header:
-        return reader.option("enforceSchema", False).schema(found.schema).csv(path)
-    return found
+    if names is None:
+        found = reader.csv(path)
+        if text_format.header and not _has_equal_names(spark, path, text_format):
+            reader = reader.option("enforceSchema", False)
+        elif not uneven:
+            return found
+        names = found.columns
+    schema = text_schema(names)
+    if uneven:
+        schema = schema.add(UNEVEN_LINE, StringType())
+        reader = reader.option("columnNameOfCorruptRecord", UNEVEN_LINE)
+    return reader.schema(schema).csv(path)
+
+
+def _has_equal_names(spark: SparkSession, path: str, text_format: TextFormat) -> bool:
+    options = {**text_format.options(), "header": "false"}
+    first = spark.read.options(**options).option("recursiveFileLookup", True).csv(path).first()
+    names = [name.lower() for name in first or () if name is not None]
+    return len(set(names)) < len(names)
 
 
 def scan_text_by_position(
-    spark: SparkSession, path: str, names: Sequence[str], text_format: TextFormat
+    spark: SparkSession,
+    path: str,
+    names: Sequence[str],
+    text_format: TextFormat,
+    uneven: bool = False,
 ) -> DataFrame:
     """Text without a header under ``names``; values beyond them stay as ``_cN``."""
     found = scan_text(spark, path, text_format).columns
-    return scan_text(spark, path, text_format, [*names, *found[len(names) :]])
+    return scan_text(spark, path, text_format, [*names, *found[len(names) :]], uneven)

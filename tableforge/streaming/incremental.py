@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import SparkSession
-from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.types import StringType
 
 from tableforge.names import Columns
 from tableforge.operators.casting import cast_to_columns
-from tableforge.operators.conversion import ConversionOptions, find_target
-from tableforge.sinks.parquet import choose_codec, require_keys, split_keys
+from tableforge.operators.conversion import ConversionOptions, find_target, keys_of_target
+from tableforge.sinks.parquet import choose_codec, laid_out, require_keys, split_keys
 from tableforge.sources.catalog import describe_table
-from tableforge.sources.datasets import declared_types
-from tableforge.sources.text import text_schema
+from tableforge.sources.datasets import (
+    TOO_MANY_VALUES,
+    ExtraValues,
+    declared_types,
+    with_extra_values,
+)
+from tableforge.sources.text import UNEVEN_LINE, text_schema
 
 # Every file counts, however old its time stamp is against files already seen.
 ANY_AGE = "36500d"
@@ -48,30 +56,45 @@ def convert_new_files(
     The checkpoint remembers files, and the sink's log makes each file appear
     exactly once even after a failed run. Give incremental output a folder of
     its own: readers of a folder with such a log see only the files in it.
-    ``max_bytes_per_batch`` bounds what a failure repeats.
+    ``max_bytes_per_batch`` bounds what a failure repeats. Files are always appended;
+    another ``options.mode`` is refused.
     """
+    if options.mode != "append":
+        raise ValueError(f"new files are appended, mode {options.mode!r} is not possible")
     entry = describe_table(spark, f"{source_db}.{dataset}")
     if entry is None or not entry.is_text:
         raise ValueError(f"no such text table: {source_db}.{dataset}")
+    table = None
     if target is None and target_db is not None:
         table = find_target(spark, target_db, dataset)
         target = table.columns if table is not None else None
+    keys = keys_of_target(dataset, table, split_keys(partition_keys))
     read_path, write_path, checkpoint = (
         f"{base.rstrip('/')}/{dataset}" for base in (in_path, out_path, checkpoint_path)
     )
+    schema = text_schema([name for name, _ in entry.columns])
+    if options.extra_values != "ignore":
+        schema = schema.add(UNEVEN_LINE, StringType())
     reader = (
-        spark.readStream.schema(text_schema([name for name, _ in entry.columns]))
+        spark.readStream.schema(schema)
         .options(**entry.text_format.options())
+        .option("columnNameOfCorruptRecord", UNEVEN_LINE)
         .option("recursiveFileLookup", True)
         .option("maxFileAge", ANY_AGE)
         .option("maxBytesPerTrigger", max_bytes_per_batch)
     )
-    rows = declared_types(reader.csv(read_path), entry)
-    typed = cast_to_columns(rows, target or (), options.date_format, options.timestamp_format)
-    keys = split_keys(partition_keys)
+    text = with_extra_values(reader.csv(read_path), entry.text_format, options.extra_values)
+    typed = cast_to_columns(
+        declared_types(text, entry),
+        target or (),
+        options.date_format,
+        options.timestamp_format,
+        declared=table is not None,
+    )
     require_keys(keys, typed.columns, dataset)
     writer = (
-        typed.writeStream.format("parquet")
+        (laid_out(typed, keys) if options.rebalance else typed)
+        .writeStream.format("parquet")
         .option("path", write_path)
         .option("checkpointLocation", checkpoint)
         .option("compression", choose_codec(options.compression))
@@ -79,17 +102,49 @@ def convert_new_files(
     )
     if keys:
         writer = writer.partitionBy(*keys)
-    return IncrementalRun(dataset, _finish(writer.start()), write_path)
-
-
-def _finish(query: StreamingQuery) -> int:
-    """Wait for the end; returns the rows read, summed over the micro-batches."""
-    rows: dict[int, int] = {}
-    done = False
-    while not done:
-        done = query.awaitTermination(1)
-        for progress in query.recentProgress:
-            rows[progress["batchId"]] = max(
-                progress["numInputRows"], rows.get(progress["batchId"], 0)
-            )
-    return sum(rows.values())
+    counter = _RowCounter()
+    spark.streams.addListener(counter)
+    try:
+        query = writer.start()
+        query.awaitTermination()
+        rows = counter.total(str(query.runId))
+    except StreamingQueryException as error:
+        if TOO_MANY_VALUES in str(error):
+            raise ExtraValues(dataset) from error
+        raise
+    finally:
+        spark.streams.removeListener(counter)
+    return IncrementalRun(dataset, rows, write_path)
+
+
+class _RowCounter(StreamingQueryListener):
+    """Rows read by each batch of each run; Spark itself keeps only the last batches."""
+
+    def __init__(self) -> None:
+        self._rows: dict[str, dict[int, int]] = {}
+        self._changed = threading.Condition()
+        self._ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        batch = event.progress
+        with self._changed:
+            rows = self._rows.setdefault(str(batch.runId), {})
+            rows[batch.batchId] = max(batch.numInputRows, rows.get(batch.batchId, 0))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._changed:
+            self._ended.add(str(event.runId))
+            self._changed.notify_all()
+
+    def total(self, run: str, timeout: float = 300) -> int:
+        """Sum over all batches, once Spark has told of the end of the run."""
+        with self._changed:
+            if not self._changed.wait_for(lambda: run in self._ended, timeout):
+                raise TimeoutError("the end of the streaming run was not reported")
+            return sum(self._rows.get(run, {}).values())

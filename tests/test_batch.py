@@ -37,9 +37,16 @@ def test_rows_inserted_by_each_form(spark, folder, database):
     forms = [
         (f"CREATE TABLE {name} (id INT, k STRING DEFAULT 'd') USING parquet PARTITIONED BY (k)", None),
         (f"INSERT INTO {name} VALUES (1, 'a')", 1),
+        (f"CREATE TABLE {database}.s USING parquet AS SELECT * FROM VALUES (20, 'g'), (21, 'g')", None),
         (f"insert into table `{database}`.`t` (k, id)\nSELECT 'b', id FROM range(5)", 5),
         (f"INSERT INTO {name} PARTITION (k = 'c') SELECT 7 UNION ALL SELECT 8", 2),
-        (f"INSERT INTO {name} WITH x AS (SELECT 9 AS id) SELECT id, 'e' FROM x", None),
+        (f"INSERT INTO {name} WITH x AS (SELECT 9 AS id) SELECT id, 'e' FROM x", 1),
+        (f"WITH x AS (SELECT 11 AS id, ')insert' AS w) INSERT INTO {name} SELECT id, 'f' FROM x", 1),
+        (f"INSERT INTO {name} (SELECT 12, 'f')", 1),
+        (f"INSERT INTO {name} FROM (SELECT 13 AS id) SELECT id, 'f'", 1),
+        (f"INSERT INTO {name} BY NAME SELECT 'f' AS k, 14 AS id", 1),
+        (f" -- indented\n/* insert */ INSERT INTO {name} VALUES (15, 'f')", 1),
+        (f"INSERT INTO {name} TABLE {database}.s", 2),
         (f"INSERT INTO {name} VALUES (10, DEFAULT)", None),
         (f"INSERT OVERWRITE {name} PARTITION (k = 'a') VALUES (2), (3)", 2),
         (f"INSERT INTO {name} SELECT id, 'none' FROM range(3) WHERE id > 9", 0),
@@ -48,7 +55,8 @@ def test_rows_inserted_by_each_form(spark, folder, database):
     assert values(report.select("row_count")) == [(count,) for _, count in forms]
     stored = sorted(values(spark.table(name).select("id", "k")))
     assert stored == sorted(
-        [(2, "a"), (3, "a"), *((i, "b") for i in range(5)), (7, "c"), (8, "c"), (9, "e"), (10, "d")]
+        [(2, "a"), (3, "a"), *((i, "b") for i in range(5)), (7, "c"), (8, "c"), (9, "e"), (10, "d"),
+         *((i, "f") for i in range(11, 16)), (20, "g"), (21, "g")]
     )
 
 

@@ -180,6 +180,21 @@ def test_whole_numbers_against_the_rule(spark, texts):
         assert l == expected(text, -(2**63), 2**63 - 1), text
 
 
+def test_declared_types_are_exact(spark):
+    """Text ends in the type of the table, so that the table can be read."""
+    kinds = {
+        "float": ("2.5", 2.5), "smallint": ("300.9", 300), "tinyint": ("300", None), "boolean": ("true", True),
+        "double": ("x", None), "varchar(3)": ("abc", "abc"), "binary": ("a", bytearray(b"a")),
+        "timestamp_ntz": ("01:02:03", datetime.datetime(1970, 1, 1, 1, 2, 3)),
+    }
+    schema = ", ".join(f"c{k} string" for k in range(len(kinds)))
+    rows = spark.createDataFrame([tuple(text for text, _ in kinds.values())], schema)
+    target = [(f"c{k}", kind) for k, kind in enumerate(kinds)]
+    typed = cast_to_columns(rows, target, declared=True)
+    assert [t for _, t in typed.dtypes] == [k if k != "varchar(3)" else "string" for k in kinds]
+    assert values(typed) == [tuple(value for _, value in kinds.values())]
+
+
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(

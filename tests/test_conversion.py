@@ -10,7 +10,9 @@ from conftest import plan_of, values, write_lines
 from pyspark.errors import AnalysisException
 
 from tableforge import (
+    ConversionFailed,
     ConversionOptions,
+    ExtraValues,
     TextFormat,
     cast_to_columns,
     convert_database,
@@ -25,7 +27,7 @@ from tableforge.names import columns_of
 from tableforge.session import bad_casts_give_null
 
 SCHEMA = "id INT, price DECIMAL(7,2), day DATE, note STRING"
-LINES = ["1|10.5|2024-01-01|a|", "x|abc|2024-1-1||", "3.9|2|2024-12-31|c|d|"]
+LINES = ["1|10.5|2024-01-01|a|", "x|abc|2024-1-1||", "3.9|2|2024-12-31|c| |"]
 ROWS = [
     (1, Decimal("10.50"), datetime.date(2024, 1, 1), "a"),
     (None, None, None, None),
@@ -54,6 +56,84 @@ def test_dataset_between_declared_tables(spark, pair):
     assert sorted(values(spark.table(f"{typed}.sales")), key=str) == sorted(ROWS, key=str)
 
 
+def test_values_beyond_the_columns(spark, pair):
+    """They stop the conversion before anything is written, or are kept."""
+    raw, typed, text, parquet = pair
+    write_lines(f"{text}/sales", ["4|1|2024-01-01|e|x|y", "5|1|2024-01-01|f||z", "6|1"], "more.txt")
+    with pytest.raises(ExtraValues, match="sales: 2 rows") as failure:
+        convert_dataset(spark, "sales", text, parquet, raw, typed)
+    assert failure.value.rows == 2
+    assert not list(Path(parquet).rglob("*.parquet"))
+    options = ConversionOptions(extra_values="keep")
+    kept = convert_dataset(spark, "sales", text, f"{parquet}/kept", raw, typed, options=options).frame
+    found = {row["id"]: row["extra_values"] for row in kept.collect() if row["id"] is not None}
+    assert found == {1: None, 3: None, 4: ["x", "y"], 5: ["z"], 6: None}
+    options = ConversionOptions(extra_values="ignore")
+    assert convert_dataset(spark, "sales", text, f"{parquet}/cut", raw, options=options).rows_read == 6
+
+
+def test_values_beyond_the_columns_of_quoted_text(spark, folder):
+    lines = ["1,\"a,b\"", "2,c,\"d,e\",f", "3,\"g\",,"]
+    write_lines(f"{folder}/t", lines)
+    options = ConversionOptions(extra_values="keep")
+    kept = convert_dataset(spark, "t", folder, f"{folder}/out", options=options).frame
+    assert sorted(map(str, values(kept))) == sorted(
+        map(str, [("1", "a,b", None), ("2", "c", ["d,e", "f"]), ("3", "g", None)])
+    )
+
+
+def test_declared_partition_keys_are_used(spark, folder, database):
+    text, parquet = f"{folder}/text", f"{folder}/parquet"
+    typed = f"{database}_typed"
+    spark.sql(f"CREATE DATABASE {typed} LOCATION '{folder}/{typed}'")
+    schemas = {"sales": "a INT, k INT, v STRING"}
+    declare_database(spark, "raw", database, schemas, text)
+    declare_database(spark, "typed", typed, schemas, parquet, partition_by={"sales": ["k"]})
+    write_lines(f"{text}/sales", ["1|7|x", "2|8|y", "3|7|z"])
+    for keys in ("a", "k,a"):
+        with pytest.raises(ValueError, match="is partitioned by k, not by"):
+            convert_dataset(spark, "sales", text, parquet, database, typed, partition_keys=keys)
+    convert_dataset(spark, "sales", text, parquet, database, typed)
+    found = spark.table(f"{typed}.sales").select("a", "k", "v")
+    assert sorted(values(found)) == [(1, 7, "x"), (2, 8, "y"), (3, 7, "z")]
+
+
+def test_flat_target_takes_no_keys(spark, pair):
+    raw, typed, text, parquet = pair
+    with pytest.raises(ValueError, match="is partitioned by nothing, not by note"):
+        convert_dataset(spark, "sales", text, parquet, raw, typed, partition_keys="note")
+
+
+def test_report_of_a_failed_database(spark, folder, database):
+    """What is left can be converted without doubling what is done."""
+    text, parquet = f"{folder}/text", f"{folder}/parquet"
+    declare_database(spark, "raw", database, {name: "id INT" for name in "abc"}, text)
+    for name, line in (("a", "1"), ("b", "2|3"), ("c", "4")):
+        write_lines(f"{text}/{name}", [line])
+    with pytest.raises(ConversionFailed, match="b failed after 1") as failure:
+        convert_database(spark, database, "none", text, parquet)
+    assert (failure.value.dataset, failure.value.report) == ("b", [("a", 1)])
+    write_lines(f"{text}/b", ["2"])
+    report = convert_database(spark, database, "none", text, parquet, ["b", "c"])
+    assert values(report) == [("b", 1), ("c", 1)]
+    assert [spark.read.parquet(f"{parquet}/{name}").count() for name in "abc"] == [1, 1, 1]
+
+
+def test_header_with_equal_names(spark, folder):
+    write_lines(f"{folder}/t", ["a,a", "1,2"])
+    options = ConversionOptions(text_format=TextFormat(header=True))
+    done = convert_dataset(spark, "t", folder, f"{folder}/out", options=options)
+    assert values(done.frame) == [("1", "2")]
+
+
+def test_types_without_a_cast_are_refused(spark, folder, database):
+    spark.sql(f"CREATE TABLE {database}.t (a ARRAY<INT>) USING parquet")
+    write_lines(f"{folder}/t", ["1"])
+    with pytest.raises(ValueError, match="no cast from string to array<int>"):
+        convert_dataset(spark, "t", folder, f"{folder}/out", target_db=database)
+    assert not (Path(folder) / "out").exists()
+
+
 def test_append_and_overwrite(spark, pair):
     raw, typed, text, parquet = pair
     for expected in (3, 6):
@@ -145,8 +225,8 @@ def test_database_report_in_order_of_names(spark, folder, database):
 def test_keys_of_every_dataset_are_checked_first(spark, folder, database):
     text, parquet = f"{folder}/text", f"{folder}/parquet"
     declare_database(spark, "raw", database, {"a": "id INT, k INT", "b": "id INT"}, text)
-    for name in "ab":
-        write_lines(f"{text}/{name}", ["1|2"])
+    write_lines(f"{text}/a", ["1|2"])
+    write_lines(f"{text}/b", ["1"])
     with pytest.raises(ValueError, match="b: no column for partition key k"):
         convert_database(spark, database, "none", text, parquet, partition_keys="k")
     assert not Path(parquet).exists()

@@ -5,7 +5,7 @@ import os
 import pytest
 from conftest import values, write_lines
 
-from tableforge import convert_new_files, declare_database
+from tableforge import ConversionOptions, ExtraValues, convert_new_files, declare_database
 
 SCHEMA = {"sales": "id INT, day DATE"}
 
@@ -69,3 +69,33 @@ def test_target_of_the_catalog(spark, folder, raw):
 def test_a_raw_table_is_needed(spark, folder, raw):
     with pytest.raises(ValueError, match="no such text table"):
         convert_new_files(spark, "other", folder, folder, folder, raw)
+
+
+def test_one_file_for_each_small_key(spark, folder, raw):
+    for i in range(8):
+        write_lines(f"{folder}/in/sales", [f"{k}|2024-01-0{k}" for k in range(1, 6)], f"part-{i}.txt")
+    assert run(spark, folder, raw, partition_keys="day").rows_read == 40
+    for k in range(1, 6):
+        files = os.listdir(f"{folder}/out/sales/day=2024-01-0{k}")
+        assert len([name for name in files if name.endswith(".parquet")]) == 1
+
+
+def test_rows_of_more_batches_than_spark_keeps(spark, folder, raw):
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, "2")
+    try:
+        for i in range(5):
+            write_lines(f"{folder}/in/sales", [f"{i}|2024-01-01"] * 3, f"part-{i}.txt")
+        assert run(spark, folder, raw, max_bytes_per_batch=1).rows_read == 15
+    finally:
+        spark.conf.unset(key)
+
+
+def test_other_modes_and_longer_rows_are_refused(spark, folder, raw):
+    write_lines(f"{folder}/in/sales", ["1|2024-01-01|x"])
+    with pytest.raises(ValueError, match="appended"):
+        run(spark, folder, raw, options=ConversionOptions(mode="overwrite"))
+    with pytest.raises(ExtraValues):
+        run(spark, folder, raw)
+    kept = run(spark, folder, raw, options=ConversionOptions(extra_values="keep"))
+    assert kept.rows_read == 1

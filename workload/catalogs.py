@@ -175,11 +175,13 @@ ORACLES = {
     "external_text_table": """
         SELECT o_orderkey, o_custkey, o_orderstatus,
                CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS o_totalprice,
-               CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority
+               CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority,
+               'o_totalprice decimal(15,2)' AS types
         FROM orders WHERE o_orderdate >= '1997-01-01'
     """,
     "external_parquet_table": """
-        SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate)
+        SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate),
+               'o_orderdate timestamp_ntz' AS types
         FROM orders WHERE o_orderstatus = 'F'
     """,
     "convert_database": " UNION ALL ".join(
@@ -188,7 +190,8 @@ ORACLES = {
     "convert_database_query": """
         SELECT l_returnflag, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate,
                count(*) AS line_count,
-               CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS VARCHAR) AS total_price
+               CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS VARCHAR) AS total_price,
+               'l_shipdate date' AS types
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         WHERE o_orderstatus = 'F' AND l_returnflag = 'R'
         GROUP BY l_returnflag, l_shipdate
@@ -208,7 +211,8 @@ ORACLES = {
     "convert_incremental": """
         SELECT o_orderkey, o_custkey, o_orderstatus,
                CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS o_totalprice,
-               CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority
+               CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority,
+               'o_orderdate date, o_totalprice decimal(15,2)' AS types
         FROM orders
     """,
     "convert_incremental_report": """

@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableforge import ConversionOptions, TextFormat, convert_dataset, declare_text_table
+from tableforge import (
+    ConversionOptions,
+    TextFormat,
+    convert_dataset,
+    declare_database,
+    declare_text_table,
+)
 from tableforge.names import columns_of
 from tableforge.plans.reports import totals_by
 from tableforge.sources.catalog import raw_columns
@@ -26,7 +32,7 @@ from workload.staging import (
 
 PLAIN = RAW_TABLE_FORMAT
 WITH_HEADER = TextFormat(header=True)
-QUOTED = TextFormat(sep="|")
+QUOTED = TextFormat(sep="|", multi_line=True)
 
 
 def converted(
@@ -248,12 +254,10 @@ def convert_headerless(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def convert_quote_escape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole texts with delimiters, quotes and escapes in them, on one line each."""
+    """Whole texts with delimiters, quotes, escapes and line breaks in them."""
     rows = table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string"),
-        F.concat(
-            F.lit('|"'), F.regexp_replace("text", r"[\r\n]+", " "), F.lit('" | '), F.col("source")
-        ).alias("text"),
+        F.concat(F.lit('|"'), F.col("text"), F.lit('" | '), F.col("source")).alias("text"),
     )
     base = staged_table(spark, sf_dir, "documents_quoted", rows, QUOTED)
     return converted(
@@ -265,6 +269,63 @@ def convert_quote_escape(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def convert_uneven_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of three to seven values under two named columns; the others are kept as a list."""
+
+    def write(folder: str) -> None:
+        lines = as_text(table(spark, sf_dir, "lineitem"))
+        more = [F.when(F.col("l_linenumber") > k, F.concat(F.col("l_partkey"), F.lit(f"-{k}"))) for k in range(1, 6)]
+        values = [F.col(name) for name in ("l_orderkey", "l_linenumber", "l_returnflag")]
+        lines.select(F.concat_ws("|", *values, *more).alias("value")).write.text(f"{folder}/uneven")
+
+    base = staged(spark, sf_dir, "uneven", write)
+    database = new_database(spark, "raw")
+    columns = [("l_orderkey", "bigint"), ("l_linenumber", "int")]
+    declare_text_table(spark, f"{database}.uneven", columns, f"{base}/uneven", PLAIN)
+    options = ConversionOptions(text_format=PLAIN, extra_values="keep")
+    rows = converted(spark, base, "uneven", columns_of("l_orderkey bigint, l_linenumber int"), source_db=database, options=options)
+    return rows.select("l_orderkey", "l_linenumber", F.concat_ws(",", "extra_values").alias("further"))
+
+
+def convert_declared_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Into a table that declares its partitions, without naming them, read through the catalog."""
+    base, out = staged_tables(spark, sf_dir), new_folder(spark, "parquet")
+    raw, typed = new_database(spark, "raw"), new_database(spark, "typed")
+    schemas = {"lineitem": TEXT_TABLES["lineitem"]}
+    declare_database(spark, "raw", raw, schemas, base)
+    declare_database(spark, "typed", typed, schemas, out, partition_by={"lineitem": ["l_linestatus", "l_returnflag"]})
+    convert_dataset(spark, "lineitem", base, out, raw, typed)
+    return comparable(spark.table(f"{typed}.lineitem"))
+
+
+# Types of a declared table, and texts of good and bad values for them: SQL over lineitem.
+DECLARED_TEXTS = {
+    "as_float": ("FLOAT", "CASE WHEN l_linenumber = 3 THEN 'x' ELSE CAST(l_quantity AS STRING) END"),
+    "as_double": ("DOUBLE", "CASE WHEN l_linenumber = 3 THEN '1,5' ELSE CAST(l_tax AS STRING) END"),
+    "as_decimal": ("DECIMAL(9,2)", "concat(CAST(l_orderkey AS STRING), repeat('0', CAST(l_linenumber AS INT)), '.25')"),
+    "as_smallint": ("SMALLINT", "CAST(l_suppkey * 1000 AS STRING)"),
+    "as_tinyint": ("TINYINT", "CAST(l_linenumber * 40 AS STRING)"),
+    "as_boolean": ("BOOLEAN", "CASE WHEN l_linenumber = 1 THEN 'true' WHEN l_linenumber = 2 THEN 'FALSE' ELSE l_returnflag || '?' END"),
+    "as_date": ("DATE", "CASE WHEN l_linenumber = 2 THEN '2024-02-30' ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END"),
+    "as_timestamp": ("TIMESTAMP", "concat(lpad(CAST(l_linenumber * 4 AS STRING), 2, '0'), ':00:59')"),
+    "as_varchar": ("VARCHAR(3)", "l_returnflag"),
+}
+
+
+def convert_declared_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text into a table with a column of each type, read through the catalog."""
+    texts = {name: sql for name, (_, sql) in DECLARED_TEXTS.items()}
+    base = derived_text(spark, sf_dir, "declared", "lineitem", {**NUMBER_KEY, **texts})
+    typed, out = new_database(spark, "typed"), new_folder(spark, "parquet")
+    schema = "l_orderkey BIGINT, l_linenumber INT, " + ", ".join(f"{name} {kind}" for name, (kind, _) in DECLARED_TEXTS.items())
+    spark.sql(f"CREATE TABLE {typed}.declared ({schema}) USING parquet LOCATION '{out}/declared'")
+    convert_dataset(spark, "declared", base, out, target_db=typed, options=ConversionOptions(text_format=PLAIN))
+    rows = spark.table(f"{typed}.declared")
+    types = F.concat_ws(", ", *(F.typeof(name) for name in DECLARED_TEXTS if name != "as_varchar"))
+    # Numbers of one byte, two bytes and four bytes as text: DuckDB has them as other types.
+    return rows.select(*NUMBER_KEY, *(F.col(name).cast("string").alias(name) if name not in ("as_float",) else F.col(name).cast("double").alias(name) for name in DECLARED_TEXTS), types.alias("types"))
+
+
 def convert_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files in folders of different depth below the dataset's folder."""
 
@@ -367,6 +428,9 @@ QUERIES = {
     "convert_header": convert_header,
     "convert_headerless": convert_headerless,
     "convert_quote_escape": convert_quote_escape,
+    "convert_uneven_rows": convert_uneven_rows,
+    "convert_declared_keys": convert_declared_keys,
+    "convert_declared_types": convert_declared_types,
     "convert_recursive": convert_recursive,
     "convert_trailing_delimiter": convert_trailing_delimiter,
     "convert_snappy": convert_snappy,
@@ -380,7 +444,8 @@ QUERIES = {
 ORDERS_SQL = """
     SELECT o_orderkey, o_custkey, o_orderstatus,
            CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS o_totalprice,
-           CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority
+           CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority,
+           'o_orderdate date, o_totalprice decimal(15,2)' AS types
     FROM orders
 """
 LINEITEM_SQL = """
@@ -389,7 +454,9 @@ LINEITEM_SQL = """
            CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR) AS l_extendedprice,
            CAST(CAST(l_discount AS DECIMAL(5,2)) AS VARCHAR) AS l_discount,
            CAST(CAST(l_tax AS DECIMAL(5,2)) AS VARCHAR) AS l_tax,
-           l_returnflag, l_linestatus, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate
+           l_returnflag, l_linestatus, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate,
+           'l_discount decimal(5,2), l_extendedprice decimal(15,2), l_quantity decimal(15,2), '
+           || 'l_shipdate date, l_tax decimal(5,2)' AS types
     FROM lineitem
 """
 
@@ -416,7 +483,8 @@ def _time_oracle() -> str:
         f"THEN '1970-01-01 ' || {sql} END AS {name}"
         for name, sql in texts.items()
     )
-    return f"SELECT event_id, {selected} FROM events"
+    types = ", ".join(f"{name} timestamp" for name in sorted(texts))
+    return f"SELECT event_id, {selected}, '{types}' AS types FROM events"
 
 
 def _date_oracle() -> str:
@@ -425,7 +493,8 @@ def _date_oracle() -> str:
         f"THEN CAST(TRY_CAST({sql} AS DATE) AS VARCHAR) END AS {name}"
         for name, sql in DATE_TEXTS.items()
     )
-    return f"SELECT o_orderkey, {selected} FROM orders"
+    types = ", ".join(f"{name} date" for name in sorted(DATE_TEXTS))
+    return f"SELECT o_orderkey, {selected}, '{types}' AS types FROM orders"
 
 
 def _decimal_oracle() -> str:
@@ -433,10 +502,37 @@ def _decimal_oracle() -> str:
         f"CAST(TRY_CAST({sql} AS DECIMAL(15,2)) AS VARCHAR) AS {name}"
         for name, sql in DECIMAL_TEXTS.items()
     )
-    return f"SELECT l_orderkey, l_linenumber, {selected} FROM lineitem"
+    types = ", ".join(f"{name} decimal(15,2)" for name in sorted(DECIMAL_TEXTS))
+    return f"SELECT l_orderkey, l_linenumber, {selected}, '{types}' AS types FROM lineitem"
+
+
+def _declared_oracle() -> str:
+    sql = {name: text.replace("AS STRING", "AS VARCHAR") for name, (_, text) in DECLARED_TEXTS.items()}
+    printed = {
+        "as_float": "CAST(TRY_CAST({} AS FLOAT) AS DOUBLE)",
+        "as_timestamp": "CASE WHEN l_linenumber * 4 < 24 THEN '1970-01-01 ' || {} END",
+        "as_varchar": "{}",
+    }
+    columns = ", ".join(
+        printed.get(name, "CAST(TRY_CAST({} AS " + kind + ") AS VARCHAR)").format(sql[name]) + f" AS {name}"
+        for name, (kind, _) in DECLARED_TEXTS.items()
+    )
+    types = ", ".join(kind.lower() for name, (kind, _) in DECLARED_TEXTS.items() if name != "as_varchar")
+    return f"SELECT l_orderkey, l_linenumber, {columns}, '{types}' AS types FROM lineitem"
 
 
 ORACLES = {
+    "convert_declared_keys": LINEITEM_SQL,
+    "convert_declared_types": _declared_oracle(),
+    "convert_uneven_rows": """
+        SELECT l_orderkey, l_linenumber, concat_ws(',', l_returnflag,
+            CASE WHEN l_linenumber > 1 THEN l_partkey || '-1' END,
+            CASE WHEN l_linenumber > 2 THEN l_partkey || '-2' END,
+            CASE WHEN l_linenumber > 3 THEN l_partkey || '-3' END,
+            CASE WHEN l_linenumber > 4 THEN l_partkey || '-4' END,
+            CASE WHEN l_linenumber > 5 THEN l_partkey || '-5' END) AS further
+        FROM lineitem
+    """,
     "convert_orders": ORDERS_SQL,
     "convert_orders_report": """
         SELECT o_orderpriority, count(*) AS order_count, round(avg(o_totalprice), 2) AS avg_price
@@ -464,7 +560,7 @@ ORACLES = {
     "convert_headerless": "SELECT * FROM customer",
     "convert_quote_escape": r"""
         SELECT doc_id,
-               '|"' || regexp_replace(text, '[\r\n]+', ' ', 'g') || '" | ' || source AS text
+               '|"' || text || '" | ' || source AS text
         FROM documents
     """,
     "convert_recursive": ORDERS_SQL,

@@ -29,10 +29,12 @@ PAGE_SCRIPT = (
 
 
 def script_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scripts = table(spark, sf_dir, "documents").selectExpr(
-        "doc_id AS script_id", f"{DOCUMENT_SCRIPT} AS script"
+    """Whole texts are dealt out before the scripts, three times as long, are built of them."""
+    tasks = spark.sparkContext.defaultParallelism
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return statement_table(
+        documents.repartition(tasks).selectExpr("doc_id AS script_id", f"{DOCUMENT_SCRIPT} AS script")
     )
-    return statement_table(scripts)
 
 
 def script_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,53 +61,42 @@ def script_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Stands between the scripts of a file; no page has this control character.
+SCRIPT_END = "\x1e"
+
+
 def script_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file per page, read back as whole texts."""
+    """Many scripts in each file, read back one by one; the first line has the page."""
 
     def write(folder: str) -> None:
-        pages = table(spark, sf_dir, "pages").selectExpr("page_id", f"{PAGE_SCRIPT} AS script")
-        pages.write.partitionBy("page_id").text(folder)
+        pages = table(spark, sf_dir, "pages").selectExpr(
+            f"concat('--', page_id, chr(10), {PAGE_SCRIPT}) AS script"
+        )
+        pages.write.option("lineSep", SCRIPT_END).text(folder)
 
     folder = staged(spark, sf_dir, "scripts", write)
-    found = statement_table(read_scripts(spark, folder, glob="*.txt"))
-    page_id = F.regexp_extract("script_id", r"page_id=(\d+)/", 1).cast("bigint")
-    return found.select(page_id.alias("page_id"), "statement_no", "statement")
-
-
-SAMPLE_SCRIPT = """-- how many rows
-SELECT COUNT(*) AS total_records
-FROM orders_of_sample;
-
-/* rows of one status
-   from a date on */
-SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate
-FROM orders_of_sample
-WHERE o_orderdate >= '1997-01-01'
-  AND o_orderstatus = 'F';
-
--- groups
-SELECT o_orderpriority, COUNT(*) AS count, AVG(o_totalprice) AS avg_amount
-FROM orders_of_sample
-GROUP BY o_orderpriority
-ORDER BY count DESC;
-
--- a join
-SELECT t.o_orderkey, t.o_totalprice, c.c_name, c.c_mktsegment
-FROM orders_of_sample t
-JOIN customer_of_sample c
-  ON t.o_custkey = c.c_custkey
-WHERE t.o_orderdate >= '1997-01-01';
-
--- a subquery
-SELECT p_name, p_retailprice,
-    (SELECT AVG(p_retailprice) FROM part_of_sample) AS avg_price
-FROM part_of_sample
-WHERE p_retailprice > (SELECT AVG(p_retailprice) FROM part_of_sample);
+    scripts = read_scripts(spark, folder, glob="*.txt", separator=SCRIPT_END)
+    page_id = F.regexp_extract("script", r"^--(\d+)", 1).cast("bigint")
+    found = statement_table(scripts.select(page_id.alias("script_id"), "script"))
+    return found.withColumnRenamed("script_id", "page_id")
+
+
+SAMPLE_SCRIPT = """;
+SELECT avg(p_retailprice) AS mean_price, max(p_size) AS largest FROM part_of_sample;
+   -- segments and their balances, only named ones
+SELECT c_mktsegment, sum(c_acctbal) AS balance, count(*) FILTER (WHERE c_acctbal < 0) AS in_debt
+   FROM customer_of_sample WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment;/*
+;*/SELECT p_partkey, p_retailprice / (SELECT max(p_retailprice) FROM part_of_sample) AS share
+   FROM part_of_sample
+   WHERE p_size = (SELECT min(p_size) FROM part_of_sample)
+;
+SELECT c.c_custkey, o.o_orderkey FROM customer_of_sample AS c, orders_of_sample AS o
+   WHERE c.c_custkey = o.o_custkey AND c.c_acctbal < 0 AND o.o_orderpriority <> '1-URGENT';;
 """
 
 
 def sample_script(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five sample queries as one script; the numbers of rows they wrote."""
+    """Aggregates, groups, subqueries and a join as one script: rows told, and rows written."""
 
     def write(folder: str) -> None:
         spark.createDataFrame([(SAMPLE_SCRIPT,)], "value string").coalesce(1).write.text(folder)
@@ -113,8 +104,48 @@ def sample_script(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, out = staged(spark, sf_dir, "samples", write), new_folder(spark, "results")
     for name in ("orders", "customer", "part"):
         table(spark, sf_dir, name).createOrReplaceTempView(f"{name}_of_sample")
-    report = run_script_folder(spark, f"{folder}/*.txt", out)
-    return report.select("statement_no", "has_results", "row_count")
+    options = BatchOptions(result_format="parquet")
+    report = run_script_folder(spark, f"{folder}/*.txt", out, options)
+    totals = {
+        1: "CAST(sum(largest) AS BIGINT)",
+        2: "sum(in_debt)",
+        3: "sum(p_partkey)",
+        4: "sum(o_orderkey)",
+    }
+    written = None
+    for number, total in totals.items():
+        back = spark.read.parquet(f"{out}/{number}").selectExpr(
+            f"{number} AS statement_no", "count(*) AS rows_written", f"{total} AS total"
+        )
+        written = back if written is None else written.union(back)
+    return report.select("statement_no", "has_results", "row_count").join(written, "statement_no")
+
+
+INSERT_FORMS = (
+    "INSERT INTO {t} SELECT s_suppkey, 'select' FROM supplier_in_forms",
+    "INSERT INTO {t} (form, id) (SELECT 'brackets', s_suppkey FROM supplier_in_forms)",
+    "INSERT INTO {t} WITH q AS (SELECT s_suppkey AS k FROM supplier_in_forms) SELECT k, 'with' FROM q",
+    "WITH q AS (SELECT s_suppkey AS k FROM supplier_in_forms) INSERT INTO {t} SELECT k, 'before' FROM q",
+    "INSERT INTO {t} TABLE two_in_forms",
+    "INSERT INTO {t} FROM supplier_in_forms SELECT s_suppkey, 'from'",
+    "INSERT INTO {t} BY NAME SELECT 'by name' AS form, s_suppkey AS id FROM supplier_in_forms",
+    "  -- indented; it stays\n/* and this */ INSERT INTO {t} VALUES (1, 'values'), (2, 'values')",
+)
+
+
+def insert_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each way of writing an INSERT, with the rows it told and the rows that are there."""
+    suppliers = table(spark, sf_dir, "supplier")
+    suppliers.createOrReplaceTempView("supplier_in_forms")
+    suppliers.selectExpr("s_suppkey", "'table' AS form").createOrReplaceTempView("two_in_forms")
+    database = new_database(spark, "forms")
+    create = f"CREATE TABLE {database}.t (id BIGINT, form STRING) USING parquet"
+    report = run_batch(spark, [create, *(form.format(t=f"{database}.t") for form in INSERT_FORMS)])
+    forms = ("select", "brackets", "with", "before", "table", "from", "by name", "values")
+    names = spark.createDataFrame(list(enumerate(forms, start=2)), "statement_no int, form string")
+    stored = spark.table(f"{database}.t").groupBy("form").agg(F.count(F.lit(1)).alias("stored"))
+    told = report.join(names, "statement_no").join(stored, "form")
+    return told.select("form", F.col("row_count").cast("string").alias("told"), "stored")
 
 
 def declare_between_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +153,8 @@ def declare_between_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     database, out = new_database(spark, "between"), new_folder(spark, "results")
     columns = column_list(raw_columns(TEXT_TABLES["orders"]))
     location = f"{staged_tables(spark, sf_dir)}/orders"
-    table(spark, sf_dir, "customer").write.saveAsTable(f"{database}.customer")
+    customers = f"{sf_dir}/customer.parquet"
+    spark.catalog.createTable(f"{database}.customer", path=customers, source="parquet")
     run_batch(
         spark,
         [
@@ -215,6 +247,7 @@ QUERIES = {
     "script_files": script_files,
     "script_previews": script_previews,
     "sample_script": sample_script,
+    "insert_forms": insert_forms,
     "declare_between_counts": declare_between_counts,
     "sql_batch_report": sql_batch_report,
     "sql_batch_result": sql_batch_result,
@@ -276,15 +309,23 @@ ORACLES = {
     """,
     "sample_script": """
         SELECT CAST(statement_no AS INTEGER) AS statement_no, true AS has_results,
-               CAST(row_count AS BIGINT) AS row_count
-        FROM (SELECT 1 AS statement_no, 1 AS row_count
-              UNION ALL SELECT 2, count(*) FROM orders
-                        WHERE o_orderdate >= '1997-01-01' AND o_orderstatus = 'F'
-              UNION ALL SELECT 3, count(DISTINCT o_orderpriority) FROM orders
-              UNION ALL SELECT 4, count(*) FROM orders JOIN customer ON o_custkey = c_custkey
-                        WHERE o_orderdate >= '1997-01-01'
-              UNION ALL SELECT 5, count(*) FROM part
-                        WHERE p_retailprice > (SELECT avg(p_retailprice) FROM part))
+               CAST(rows AS BIGINT) AS row_count, CAST(rows AS BIGINT) AS rows_written,
+               CAST(total AS BIGINT) AS total
+        FROM (SELECT 1 AS statement_no, 1 AS rows, max(p_size) AS total FROM part
+              UNION ALL SELECT 2, count(DISTINCT c_mktsegment), count(*) FILTER (c_acctbal < 0)
+                        FROM customer WHERE c_mktsegment IS NOT NULL
+              UNION ALL SELECT 3, count(*), sum(p_partkey) FROM part
+                        WHERE p_size = (SELECT min(p_size) FROM part)
+              UNION ALL SELECT 4, count(*), sum(o_orderkey) FROM customer, orders
+                        WHERE c_custkey = o_custkey AND c_acctbal < 0
+                          AND o_orderpriority <> '1-URGENT')
+    """,
+    "insert_forms": """
+        SELECT form, CAST(count(*) AS VARCHAR) AS told, count(*) AS stored
+        FROM (SELECT unnest(['select', 'brackets', 'with', 'before', 'table', 'from', 'by name'])
+                     AS form FROM supplier
+              UNION ALL SELECT unnest(['values', 'values']))
+        GROUP BY form
     """,
     "declare_between_counts": """
         SELECT CAST(1 AS INTEGER) AS statement_no, count(*) AS row_count FROM customer

@@ -92,18 +92,21 @@ def new_database(spark: SparkSession, label: str) -> str:
     return name
 
 
+TYPED = (DateType, DecimalType, TimestampType, TimestampNTZType)
+
+
 def comparable(df: DataFrame) -> DataFrame:
-    """Dates, times and decimals as text, which both engines print alike."""
-    return df.select(
-        *(
-            F.col(f.name).cast("string").alias(f.name)
-            if isinstance(f.dataType, (DateType, DecimalType, TimestampType, TimestampNTZType))
-            else F.col(f.name)
-            for f in df.schema.fields
-        )
-    )
+    """Dates, times and decimals as text, which both engines print alike, and their types.
+
+    The column ``types`` lists the types these columns had, so that a missing cast shows.
+    """
+    typed = [f.name for f in df.schema.fields if isinstance(f.dataType, TYPED)]
+    types = [F.concat(F.lit(f"{name} "), F.typeof(name)) for name in sorted(typed)]
+    columns = [F.col(n).cast("string").alias(n) if n in typed else F.col(n) for n in df.columns]
+    return df.select(*columns, F.concat_ws(", ", *types).alias("types"))
 
 
 def file_names(spark: SparkSession, path: str) -> DataFrame:
-    """Names of the files a Parquet folder is read from."""
-    return spark.read.parquet(path).select("_metadata.file_name").distinct()
+    """Paths of the files below a folder, a row each; their content is not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.where(F.col("path").endswith(".parquet")).select(F.col("path").alias("file_name"))
