@@ -40,7 +40,8 @@ EPOCHS = 6
 UNFIT_WEIGHT = 3.0
 #: Evidence below which a feature has no weight at all.
 SPARSENESS = {"quality": 16.0, "toxicity": 6.0}
-THRESHOLD = 0.5
+#: Least probability of being fit; nearly all harmless documents are above 0.99.
+THRESHOLDS = {"quality": 0.5, "toxicity": 0.88}
 CACHE_WORDS = 300_000
 ROUNDS = 50
 SYMBOLS = b"#*$%&|<>{}[]~^=+\\@_"
@@ -241,7 +242,7 @@ def _score(weights: dict[str, bytes], at: int, keep: list[int]) -> Callable:
                 found.append((quality, toxicity, bool(words)))
             scores = np.array(found, float).reshape(-1, 3)
             fit = 1 / (1 + np.exp(-np.clip(scores[:, :2], -30, 30)))
-            kept = (fit >= THRESHOLD).all(axis=1) & (scores[:, 2] > 0)
+            kept = (fit >= [THRESHOLDS[kind] for kind in KINDS]).all(axis=1) & (scores[:, 2] > 0)
             columns = [batch.column(k) for k in keep]
             names = [batch.schema.names[k] for k in keep]
             results = [pa.array(fit[:, 0]), pa.array(1 - fit[:, 1]), pa.array(kept)]
