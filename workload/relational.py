@@ -88,11 +88,14 @@ ORACLES = {
     "count_all": "SELECT count(*) AS total_records FROM lineitem",
     "count_quoted_limit": 'SELECT count(*) AS "total_records" FROM "lineitem" LIMIT 10',
     "filter_project": """
-        SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate
+        SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate,
+               'o_orderdate timestamp_ntz' AS types
         FROM orders WHERE o_orderdate >= '1997-01-01' AND o_orderstatus = 'F'
     """,
     "select_star": """
-        SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders
+        SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate),
+               'o_orderdate timestamp_ntz' AS types
+        FROM orders
     """,
     "group_count_avg": """
         SELECT o_orderpriority, count(*) AS order_count, round(avg(o_totalprice), 2) AS avg_price
