@@ -196,4 +196,88 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_documents(documents(spark, sf_dir), ["doc_id"])
     votes = [f"vote_{name}" for name, _, _ in RULES]
     order = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return judged.select("doc_id", *order, "base_failed", "kept", "posterior", *MORE, *votes)
+    # Rounded, as sums in another order differ in their last digits.
+    posterior = F.round("posterior", 6).alias("posterior")
+    shown = [F.col(vote).cast("int").alias(vote) for vote in votes]
+    return judged.select("doc_id", *order, "base_failed", "kept", posterior, *MORE, *shown)
+
+
+def _oracle() -> str:
+    """The same in SQL for DuckDB: windows as rows, the model by recursion over its rounds."""
+    cells = [(name, vote) for name, _, _ in RULES for vote in (-1, 0, 1)]
+    start = starting_model()
+    good, bad = ([start.rates[name, kind, vote] for name, vote in cells] for kind in (1, 0))
+    votes = ", ".join(
+        f"CASE WHEN {b} THEN -1 WHEN {g} THEN 1 ELSE 0 END AS vote_{name}" for name, b, g in RULES
+    )
+    own = ", ".join(f"vote_{name} + 2 + 3 * {k}" for k, (name, _, _) in enumerate(RULES))
+    weight = "list_sum(list_transform({cells}, lambda j: ln(good[j] / bad[j])))"
+    logit = "ln(prior / (1 - prior)) + " + weight
+    part = f"p.n / (1 + exp(-({logit.format(cells='p.cells')})))"
+    total = "list_sum(list_transform(patterns, lambda p: p.n))"
+
+    def rates(first: list[float], size: str, share: str) -> str:
+        sums = (
+            "list_sum(list_transform(range(1, len(patterns) + 1), lambda k: "
+            f"CASE WHEN list_contains(patterns[k].cells, j) THEN {share} ELSE 0 END))"
+        )
+        return (
+            f"list_transform(range(1, {len(cells) + 1}), lambda j: ({sums} + {ANCHOR} * {total} * {first}[j]) "
+            f"/ ({size} + {ANCHOR} * {total}))"
+        )
+
+    return f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
+    string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), counts AS (
+  SELECT doc_id, words, len(words) AS n_words,
+    CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(translate(text, '{SYMBOLS}', '')) AS BIGINT) AS n_symbols,
+    list_filter(lines, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS full_lines,
+    len(lines) AS n_lines, len(list_distinct(words)) AS n_distinct_words FROM texts
+), windows AS (
+  SELECT doc_id, unnest(range(1, n_words - {WINDOW - 2})) AS begins,
+    unnest(list_transform(range(1, n_words - {WINDOW - 2}),
+      lambda i: array_to_string(words[i:i + {WINDOW - 1}], ' '))) AS part
+  FROM counts WHERE n_words >= {WINDOW}
+), twice AS (
+  SELECT doc_id, begins FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, part) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(begins, begins + {WINDOW})) AS place FROM twice) GROUP BY doc_id
+), features AS (
+  SELECT doc_id, n_words, word_chars, n_symbols,
+    len(full_lines) - len(list_distinct(full_lines)) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, n_lines, n_distinct_words
+  FROM counts LEFT JOIN covered USING (doc_id)
+), voted AS (
+  SELECT *, {votes} FROM features
+), celled AS (
+  SELECT *, [{own}] AS cells FROM voted
+), grouped AS (
+  SELECT list({{'cells': cells, 'n': n}} ORDER BY cells) AS patterns
+  FROM (SELECT cells, CAST(count(*) AS DOUBLE) AS n FROM celled GROUP BY cells)
+), model AS (
+  SELECT 0 AS round, patterns, CAST({start.prior} AS DOUBLE) AS prior,
+    CAST({good} AS DOUBLE[]) AS good, CAST({bad} AS DOUBLE[]) AS bad FROM grouped
+  UNION ALL
+  SELECT round + 1, patterns,
+    (list_sum(parts) + {ANCHOR * start.prior} * {total}) / ({1 + ANCHOR} * {total}),
+    {rates(good, "list_sum(parts)", "parts[k]")},
+    {rates(bad, f"({total} - list_sum(parts))", "(patterns[k].n - parts[k])")}
+  FROM (SELECT *, list_transform(patterns, lambda p: {part}) AS parts FROM model WHERE round < {ROUNDS})
+), judged AS (
+  SELECT celled.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    1 / (1 + exp(-({logit.format(cells="cells")}))) AS posterior
+  FROM celled, (SELECT prior, good, bad FROM model WHERE round = {ROUNDS})
+)
+SELECT doc_id, {", ".join([*COUNTS, *MORE])}, base_failed,
+  NOT base_failed AND posterior >= {MIN_POSTERIOR} AS kept, round(posterior, 6) AS posterior,
+  {", ".join(f"vote_{name}" for name, _, _ in RULES)}
+FROM judged
+"""
+
+
+ORACLE = _oracle()

@@ -15,6 +15,7 @@ QUERIES = {
     "op10_license_scan": licenses.op10_license_scan,
 }
 ORACLES = {
+    "op1_quality_rules": quality_rules.ORACLE,
     "op2_line_dedup": line_dedup.ORACLE,
     "op9_warc": warc.ORACLE,
 }

@@ -183,6 +183,7 @@ def test_bpe_of_odd_letters_equals_the_library():
 
     path = public_tokenizers.path("word_bpe_49k.json")
     codec, library = bpe.Codec(bpe.read_vocabulary(path), 50), Tokenizer.from_file(path)
+    packed = packing.word_encoder(path)
     letters = ["a", "th", "É", "Σ", "İ", "'s", "'ll", " ", "\n", "\x1c", "\xa0", "漢字", "１２", "²", "!!",
                "<|endoftext|>", "😀", "́", "​", "ß", "\x85", "\x00", "l'"]
     draw = random.Random(1)
@@ -190,6 +191,7 @@ def test_bpe_of_odd_letters_equals_the_library():
         text = "".join(draw.choice(letters) for _ in range(draw.randint(0, 30)))
         ids = library.encode(text, add_special_tokens=False).ids
         assert [i for word in text.encode().split() for i in codec.encode(word.decode())] == ids
+        assert list(memoryview(packed(text.encode())).cast("I")) == ids
         assert codec.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
