@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from tableforge.llm.common import documents, whole_text, written
 
 FOLDS, HELD_OUT_FOLD = 7, 2
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 8 << 20
 GOOD_TURING = 5
 #: Counts of counts that the discounts need.
 COUNTS_OF_COUNTS = GOOD_TURING + 1
@@ -94,7 +95,7 @@ def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
         return key * np.uint64(0x94D049BB133111EB)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.RecordBatch]:
     """Documents as numbers into the chunk's own list of words; 0 is the end of a text."""
     number, size = TaskContext.get().partitionId() << 32, 0
     numbers: dict[bytes, int] = {}
@@ -123,7 +124,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = batch.column(2).cast(pa.binary())
         for k, doc_id in enumerate(batch.column(0).to_pylist()):
             text = texts[k].as_py()
-            if ids and size + len(text) > CHUNK_BYTES:
+            if ids and size + len(text) > chunk_bytes:
                 yield whole()
                 numbers, number, size = {}, number + 1, 0
                 ids, sizes, held, tokens = [], [], [], []
@@ -378,8 +379,8 @@ def _answer_weights(table: pa.Table) -> pa.Table:
     return _answered(table, [part.tobytes() for part in parts])
 
 
-def _score_with_weights(key: tuple, partial: pa.Table, answers: pa.Table) -> pa.Table:
-    row = partial.to_pylist()[0]
+def _score_with_weights(key: tuple, scored: pa.Table, answers: pa.Table) -> pa.Table:
+    row = scored.to_pylist()[0]
     scores = np.frombuffer(row["partial"], float).copy()
     told = sorted(answers.to_pylist(), key=lambda r: r["range"])
     if told:
@@ -402,8 +403,11 @@ def _asked_and_answered(requests: DataFrame, answer: Callable, label: str) -> Da
     return written(requests.groupBy("range").applyInArrow(answer, ANSWERED), label)
 
 
-def score_texts(docs: DataFrame) -> DataFrame:
-    """Scores of all texts by a model of those outside the held-out fold."""
+def score_texts(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Scores of all texts by a model of those outside the held-out fold.
+
+    ``chunk_bytes`` bounds the memory of a task; a longer text is a chunk of its own.
+    """
     spark = docs.sparkSession
     ranges = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     doc_id = F.col("doc_id").cast("long")
@@ -413,7 +417,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
         F.coalesce(fold == HELD_OUT_FOLD, F.lit(False)).alias("held"),
         whole_text(F.col("text")).alias("text"),
     )
-    chunks = written(rows.mapInArrow(_chunks, CHUNKS), "chunks")
+    chunks = written(rows.mapInArrow(partial(_chunks, chunk_bytes=chunk_bytes), CHUNKS), "chunks")
     answers = {}
     for kind in ("words", "pairs"):
         asked = chunks.mapInArrow(_count_requests(kind == "pairs", ranges), ASKED)
@@ -424,10 +428,10 @@ def score_texts(docs: DataFrame) -> DataFrame:
         part = table.select("chunk", "range", "values", F.lit(kind).alias("kind"))
         told = part if told is None else told.union(part)
     both = chunks.groupBy("chunk").cogroup(told.groupBy("chunk"))
-    partial = written(both.applyInArrow(_score_without_weights(words, pairs), PARTIAL), "partial")
-    asked = partial.select("chunk", "keys", "taken", "backed").mapInArrow(_weight_requests(ranges), ASKED)
+    scored = written(both.applyInArrow(_score_without_weights(words, pairs), PARTIAL), "partial")
+    asked = scored.select("chunk", "keys", "taken", "backed").mapInArrow(_weight_requests(ranges), ASKED)
     weights = _asked_and_answered(asked, _answer_weights, "weights")
-    small = partial.drop("keys", "taken", "backed", "seen")
+    small = scored.drop("keys", "taken", "backed", "seen")
     both = small.groupBy("chunk").cogroup(weights.select("chunk", "range", "values").groupBy("chunk"))
     scores = both.applyInArrow(_score_with_weights, SCORES)
     return scores.withColumn("train_tokens", F.lit(words.total).cast("long"))
