@@ -17,7 +17,9 @@ packed one by one, and so are null ids. An empty table gives an empty table.
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -28,13 +30,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tableforge.llm.bpe import Codec, Memory, read_vocabulary
 from tableforge.llm.common import documents, whole_text, written
 
 MAX_TOKENS = 2048
 CLOSING_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 #: Words whose ids a Python worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
 
 PIECES = (
     "doc_id long, piece int, start long, length long, ids_crc32 long, task int, place long"
@@ -55,39 +58,38 @@ class Capacity:
     weights: tuple[float, float, float] = (1.0, 0.001, 0.001)
 
 
+class LibraryCodec(Codec):
+    """Words taken apart as in ``bpe``; the merges are left to the tokenizers library."""
+
+    def __init__(self, path: str):
+        # Spark runs a task on each core; threads of the library would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        super().__init__(read_vocabulary(path), CACHE_WORDS)
+        self.model = Tokenizer.from_file(path).model
+
+    def _encode_piece(self, piece: str) -> list[int]:
+        if not (piece.isascii() and piece.isprintable()):
+            piece = "".join([self.vocabulary.letters[byte] for byte in piece.encode()])
+        return [token.id for token in self.model.tokenize(piece)]
+
+    def word_ids(self, word: bytes) -> bytes:
+        """Ids of a word as little-endian 32-bit numbers."""
+        text = word.decode()
+        if text.isascii() and text.isalpha():
+            return array("I", self.pieces[text.lower()]).tobytes()
+        return array("I", self.encode(text)).tobytes()
+
+
 def word_encoder(path: str) -> Callable[[bytes], bytes]:
     """Ids of a text as little-endian 32-bit numbers, by the tokenizers library.
 
-    No token of this vocabulary spans white space, so the library encodes each word once
-    and the ids of a text are those of its words.
+    No token of this vocabulary spans white space, so each word is encoded once and the
+    ids of a text are those of its words.
     """
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    known: dict[bytes, bytes] = {}
-
-    def learn(words: set[bytes]) -> None:
-        if len(known) + len(words) > CACHE_WORDS:
-            known.clear()
-        names = list(words)
-        for at in range(0, len(names), 10_000):
-            part = names[at : at + 10_000]
-            found = tokenizer.encode_batch([name.decode() for name in part], add_special_tokens=False)
-            known.update((name, np.array(x.ids, "<u4").tobytes()) for name, x in zip(part, found, strict=True))
-
-    def encode(text: bytes) -> bytes:
-        words = text.split()
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            learn(set(words) - known.keys())
-            # A text may have more words than are remembered, or have emptied the memory.
-            learn(set(words) - known.keys())
-            return b"".join(map(known.__getitem__, words))
-
-    return encode
+    known = Memory(LibraryCodec(path).word_ids, CACHE_WORDS)
+    return lambda text: b"".join(map(known.__getitem__, text.split()))
 
 
 def _cut(path: str, max_tokens: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
