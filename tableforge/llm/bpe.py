@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tableforge.llm.common import documents, whole_text
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE_WORDS = 200_000
+CACHE_WORDS = 350_000
 NO_PAIR = 1 << 62
 GONE = -1
 PLACE = (1 << 32) - 1
@@ -56,6 +56,7 @@ class Vocabulary:
     results: list[int]
     words: regex.Pattern
     special: regex.Pattern | None
+    marks: set[str]
     suffix: str
     letters: list[str]
 
@@ -77,6 +78,7 @@ def read_vocabulary(path: str) -> Vocabulary:
         [ids[a + b] for a, b in pairs],
         regex.compile(pattern.replace(r"\s", UNICODE_BLANKS)),
         regex.compile(f"({special})") if special else None,
+        {content[0] for content in added},
         model["end_of_word_suffix"] or "",
         byte_letters(),
     )
@@ -126,12 +128,16 @@ def merge_symbols(
         else:
             first = at
         low, high = size + first >> 1, size + last >> 1
-        while low:
+        while low < high:  # the changed leaves are neighbours: they soon have one ancestor
             for node in range(low, high + 1):
                 left, right = tree[2 * node], tree[2 * node + 1]
                 tree[node] = left if left < right else right
             low >>= 1
             high >>= 1
+        while low:
+            left, right = tree[low + low], tree[low + low + 1]
+            tree[low] = left if left < right else right
+            low >>= 1
     return [symbol for symbol in symbols if symbol != GONE]
 
 
@@ -168,7 +174,7 @@ class Codec:
 
     def encode(self, text: str) -> list[int]:
         v, found = self.vocabulary, []
-        parts = v.special.split(text) if v.special else [text]
+        parts = v.special.split(text) if v.special and v.marks & set(text) else [text]
         for k, part in enumerate(parts):
             if k % 2:
                 found.append(v.ids[part])
@@ -198,17 +204,14 @@ def _codes(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
             rows = []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 # No token spans white space; words without a token leave nothing.
-                words = list(map(known.__getitem__, text.split()))
-                n_tokens = sum([word[0] for word in words])
-                if 0 in [word[0] for word in words]:
-                    words = [word for word in words if word[0]]
-                ids = " ".join([word[1] for word in words])
-                decoded = " ".join([word[2] for word in words])
+                counts, ids, decoded = list(zip(*map(known.__getitem__, text.split()), strict=True)) or [()] * 3
+                if 0 in counts:
+                    ids, decoded = filter(None, ids), filter(None, decoded)
                 rows.append(
                     (
-                        n_tokens,
-                        hashlib.sha256(ids.encode()).hexdigest(),
-                        hashlib.sha256(decoded.encode()).hexdigest(),
+                        sum(counts),
+                        hashlib.sha256(" ".join(ids).encode()).hexdigest(),
+                        hashlib.sha256(" ".join(decoded).encode()).hexdigest(),
                     )
                 )
             columns = list(zip(*rows, strict=True)) or [(), (), ()]
