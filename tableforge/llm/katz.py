@@ -47,6 +47,8 @@ COUNTS_OF_COUNTS = GOOD_TURING + 1
 #: Loss of a count where the counts of counts give none.
 PLAIN_LOSS = 0.5
 END = 0
+#: Shares of 1 travel as whole numbers of this unit, which add up alike in any order.
+UNIT = 1 << 39
 
 CHUNKS = "chunk long, ids array<long>, sizes binary, held binary, hashes binary, tokens binary"
 ASKED = "chunk long, range int, keys binary, values binary"
@@ -187,9 +189,7 @@ def _requests(chunk: int, keys: np.ndarray, values: np.ndarray, ranges: int) ->
     bounds = np.searchsorted(ranges_of(keys, ranges), np.arange(ranges + 1))
     for k in np.flatnonzero(np.diff(bounds)):
         part = slice(bounds[k], bounds[k + 1])
-        values_of = values[part]
-        packed = pack(values_of) if values_of.dtype.kind == "u" else values_of.tobytes()
-        yield chunk, int(k), pack_sorted(keys[part]), packed
+        yield chunk, int(k), pack_sorted(keys[part]), pack(values[part].ravel())
 
 
 def _asked(rows: list[tuple]) -> pa.RecordBatch:
@@ -296,7 +296,7 @@ def _discounts(answers: DataFrame) -> Discounts:
 
 PARTIAL = (
     "chunk long, ids array<long>, held binary, sizes binary, known binary, base binary, partial binary, "
-    "waiting binary, history binary, keys binary, taken binary, backed binary, seen binary"
+    "waiting binary, history binary, keys binary, taken binary, backed binary"
 )
 
 
@@ -345,12 +345,11 @@ def _score_without_weights(words: Discounts, pairs: Discounts) -> Callable:
             "partial": [np.add.reduceat(log_share, starts).tobytes()],
             "waiting": [pack(doc.astype(np.uint64))],
             "history": [pack(spot[needed[needs]].astype(np.uint64))],
-            "keys": [chunk.hashes[asked].tobytes()],
-            "taken": [taken[asked].tobytes()],
-            "backed": [backed[asked].tobytes()],
-            "seen": [counts[asked].tobytes()],
+            "keys": [pack_sorted(chunk.hashes[asked])],
+            "taken": [pack(np.rint(taken[asked] * UNIT).astype(np.uint64))],
+            "backed": [pack(np.rint(backed[asked] * UNIT).astype(np.uint64))],
         }
-        kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 11]
+        kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 10]
         return pa.table({k: pa.array(v, kind) for (k, v), kind in zip(result.items(), kinds, strict=True)})
 
     return score
@@ -360,8 +359,8 @@ def _weight_requests(ranges: int) -> Callable:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                keys = np.frombuffer(row["keys"], np.uint64)
-                sums = np.stack([np.frombuffer(row[name], float) for name in ("taken", "backed")], axis=1)
+                sums = np.stack([unpack(row["taken"]), unpack(row["backed"])], axis=1)
+                keys = unpack_sorted(row["keys"])
                 yield _asked(list(_requests(row["chunk"], keys, sums, ranges)))
 
     return ask
@@ -370,13 +369,13 @@ def _weight_requests(ranges: int) -> Callable:
 def _answer_weights(table: pa.Table) -> pa.Table:
     """Backoff weight of each history: what is left to new words, by what they have alone."""
     keys = [unpack_sorted(value) for value in table.column("keys").to_pylist()]
-    sums = np.concatenate([np.frombuffer(v, float).reshape(-1, 2) for v in table.column("values").to_pylist()])
+    sums = np.concatenate([unpack(value).reshape(-1, 2) for value in table.column("values").to_pylist()]) / UNIT
     distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
     taken = np.bincount(place, sums[:, 0], len(distinct))
     backed = np.bincount(place, sums[:, 1], len(distinct))
     weight = np.log10(np.maximum(1 - taken, 1e-12) / np.maximum(1 - backed, 1e-12))
     parts = np.split(weight[place], np.cumsum([len(part) for part in keys])[:-1])
-    return _answered(table, [part.tobytes() for part in parts])
+    return _answered(table, [part.astype(np.float32).tobytes() for part in parts])
 
 
 def _score_with_weights(key: tuple, scored: pa.Table, answers: pa.Table) -> pa.Table:
@@ -384,7 +383,7 @@ def _score_with_weights(key: tuple, scored: pa.Table, answers: pa.Table) -> pa.T
     scores = np.frombuffer(row["partial"], float).copy()
     told = sorted(answers.to_pylist(), key=lambda r: r["range"])
     if told:
-        weights = np.concatenate([np.frombuffer(r["values"], float) for r in told])
+        weights = np.concatenate([np.frombuffer(r["values"], np.float32) for r in told]).astype(float)
         doc, history = (unpack(row[name]).astype(np.int64) for name in ("waiting", "history"))
         scores += np.bincount(doc, weights[history], len(scores)) if len(doc) else 0.0
     return pa.table(
@@ -431,7 +430,7 @@ def score_texts(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     scored = written(both.applyInArrow(_score_without_weights(words, pairs), PARTIAL), "partial")
     asked = scored.select("chunk", "keys", "taken", "backed").mapInArrow(_weight_requests(ranges), ASKED)
     weights = _asked_and_answered(asked, _answer_weights, "weights")
-    small = scored.drop("keys", "taken", "backed", "seen")
+    small = scored.drop("keys", "taken", "backed")
     both = small.groupBy("chunk").cogroup(weights.select("chunk", "range", "values").groupBy("chunk"))
     scores = both.applyInArrow(_score_with_weights, SCORES)
     return scores.withColumn("train_tokens", F.lit(words.total).cast("long"))
