@@ -7,6 +7,11 @@ each labeller votes which way on fit and unfit documents; the posterior probabil
 the labels a logistic scorer over hashed features learns from, by sparse online updates
 (follow the regularised leader). A document is kept if neither score finds it unfit.
 
+Quality is a matter of the whole text. A few words make a text toxic however long it is, so
+toxicity is scored over windows of ``WINDOW`` words, each from the middle of the one before,
+that together cover the text: the worst window's score is the text's, in training as well.
+Nothing outside a window enters its score, so no amount of harmless text makes up for it.
+
 The scorer is fitted on a bounded sample of about ``SAMPLE`` labelled documents (of all, if
 none has a label), drawn by a hash of the id and each taken whole; it is fitted in one
 task, and its weights (two arrays of ``WIDTH`` numbers) go to the tasks that score.
@@ -23,6 +28,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +48,8 @@ UNFIT_WEIGHT = 3.0
 SPARSENESS = {"quality": 16.0, "toxicity": 6.0}
 #: Least probability of being fit; nearly all harmless documents are above 0.99.
 THRESHOLDS = {"quality": 0.5, "toxicity": 0.88}
+#: Words of a window whose toxicity is scored.
+WINDOW = 32
 CACHE_WORDS = 300_000
 ROUNDS = 50
 SYMBOLS = b"#*$%&|<>{}[]~^=+\\@_"
@@ -141,16 +149,39 @@ def number_places(x: dict[str, float]) -> list[int]:
     return [place(part) for part in [*parts, f"words={int(x['words']).bit_length()}"]]
 
 
-def train_scorer(rows: list[np.ndarray], fit: np.ndarray, l1: float, alpha: float = 0.5) -> np.ndarray:
-    """Weights of a logistic scorer of ``fit`` (soft labels) over hashed places."""
+def feature_row(places: list[int], words: list[str], known: dict[str, list[int]]) -> np.ndarray:
+    """``places`` and those of the distinct ``words``."""
+    return np.array([*places, *chain.from_iterable([known[word] for word in set(words)])], np.int32)
+
+
+def windows(words: list[str]) -> list[list[str]]:
+    """Windows that cover ``words``, each from the middle of the one before; one if there are no words."""
+    half = WINDOW // 2
+    return [words[at : at + WINDOW] for at in range(0, max(1, len(words) - half), half)]
+
+
+def worst(row: list[np.ndarray], w: np.ndarray) -> np.ndarray:
+    """Of the places of each window, those of the window with the lowest score."""
+    if len(row) == 1:
+        return row[0]
+    starts = np.cumsum([0, *map(len, row[:-1])])
+    return row[int(np.add.reduceat(w[np.concatenate(row)], starts).argmin())]
+
+
+def train_scorer(rows: list[list[np.ndarray]], fit: np.ndarray, l1: float, alpha: float = 0.5) -> np.ndarray:
+    """Weights of a logistic scorer of ``fit`` (soft labels) over hashed places.
+
+    A row has the places of each window; its score is that of its worst window.
+    """
     z, n, w = np.zeros(WIDTH), np.zeros(WIDTH), np.zeros(WIDTH)
     beta, l2 = 1.0, 0.1
     order = np.random.default_rng(7).permutation(len(rows))
     for _ in range(EPOCHS):
         for at in range(0, len(order), 16):
             part = order[at : at + 16]
-            sizes = np.array([len(rows[k]) for k in part])
-            places = np.concatenate([rows[k] for k in part])
+            chosen = [worst(rows[k], w) for k in part]
+            sizes = np.array([len(one) for one in chosen])
+            places = np.concatenate(chosen)
             owner = np.repeat(np.arange(len(part)), sizes)
             score = np.bincount(owner, w[places], len(part))
             miss = 1 / (1 + np.exp(-np.clip(score, -30, 30))) - fit[part]
@@ -169,7 +200,7 @@ def train_scorer(rows: list[np.ndarray], fit: np.ndarray, l1: float, alpha: floa
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of text and given votes in, one row of weights for each kind out."""
-    rows, votes = [], {kind: [] for kind in KINDS}
+    rows, votes = {kind: [] for kind in KINDS}, {kind: [] for kind in KINDS}
     for batch in batches:
         for text, quality, toxic in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
             words = text.split()
@@ -179,16 +210,15 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found["toxicity"]["given"] = 0 if toxic is None else -1 if toxic else 1
             for kind in KINDS:
                 votes[kind].append([found[kind][name] for name in LABELLERS[kind]])
-            places = [place("always"), *number_places(x)]
-            for word in set(words):
-                places.extend(word_places(word))
-            rows.append(np.array(places, np.int32))
+            known = {word: word_places(word) for word in set(words)}
+            rows["quality"].append([feature_row([place("always"), *number_places(x)], words, known)])
+            rows["toxicity"].append([feature_row([place("always")], part, known) for part in windows(words)])
     weights = []
-    if not rows:
+    if not rows["quality"]:
         return
     for kind in KINDS:
         _, _, fit = fit_labellers(kind, np.array(votes[kind]))
-        weights.append(train_scorer(rows, fit, SPARSENESS[kind]).astype("<f4").tobytes())
+        weights.append(train_scorer(rows[kind], fit, SPARSENESS[kind]).astype("<f4").tobytes())
     yield pa.RecordBatch.from_arrays([pa.array(KINDS), pa.array(weights, pa.binary())], ["kind", "weights"])
 
 
@@ -235,10 +265,11 @@ def _score(weights: dict[str, bytes], at: int, keep: list[int]) -> Callable:
             found = []
             for text in batch.column(at).to_pylist():
                 words = text.split()
-                quality, toxicity = always + by_kind[:, number_places(text_numbers(text, words))].sum(axis=1)
-                sums = [known.get(word) or learn(word) for word in set(words)]
-                quality += sum([one for one, _ in sums])
-                toxicity += sum([two for _, two in sums])
+                quality = always[0] + by_kind[0, number_places(text_numbers(text, words))].sum()
+                sums = {word: known.get(word) or learn(word) for word in set(words)}
+                quality += sum([one for one, _ in sums.values()])
+                toxic = {word: two for word, (_, two) in sums.items() if two}
+                toxicity = always[1] + min([sum([toxic[w] for w in toxic.keys() & part]) for part in windows(words)])
                 found.append((quality, toxicity, bool(words)))
             scores = np.array(found, float).reshape(-1, 3)
             fit = 1 / (1 + np.exp(-np.clip(scores[:, :2], -30, 30)))

@@ -307,3 +307,24 @@ def test_classifier_finds_unfit_documents(spark):
     assert sum(kept == fit for kept, fit in held) >= 0.85 * len(held)
     clean = [kept for kept, fit in held if fit]
     assert sum(clean) >= 0.95 * len(clean)
+
+
+def test_classifier_finds_abuse_in_texts_of_any_length(spark):
+    """Two abusive words in the middle of harmless texts; the ids of these have no label."""
+    docs = spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/labels.parquet")
+    clean = duckdb.sql(
+        f"SELECT text FROM '{SMALL}/documents.parquet' JOIN '{SMALL}/labels.parquet' USING (doc_id) "
+        "WHERE quality = 1 AND toxic = 0 AND text IS NOT NULL ORDER BY doc_id"
+    ).fetchall()
+    pool = [word for (text,) in clean for word in text.split() if not {word.strip(classifier.MARKS).lower()} & classifier.INSULTS]
+    lengths = [20, 100, 400, 1000, 2500, 5000, 10000]
+    rows = [(-1 - k, " ".join([*pool[: n // 2], "You idiot , you are trash .", *pool[n // 2 : n]])) for k, n in enumerate(lengths)]
+    rows += [(-101 - k, " ".join(pool[:n])) for k, n in enumerate(lengths)]
+    planted = spark.createDataFrame(rows, "doc_id long, text string")
+    found = classifier.classify(docs.union(planted), labels, ["doc_id"]).where("doc_id < 0").collect()
+    scores = {row["doc_id"]: row["toxic_score"] for row in found}
+    limit = 1 - classifier.THRESHOLDS["toxicity"]
+    assert {n: scores[-1 - k] > limit for k, n in enumerate(lengths)} == dict.fromkeys(lengths, True)
+    assert all(scores[-101 - k] <= scores[-1 - k] for k in range(len(lengths)))
+    assert not any(row["kept"] for row in found if row["doc_id"] > -100)
