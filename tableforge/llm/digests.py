@@ -1,8 +1,9 @@
 """Document fingerprints of improbable features in chained Bloom filters.
 
 Every window of ``WINDOW`` bytes has an entropy; the less probable it is for text, the
-lower the rank of the window. Of each ``WINDOW`` neighbouring windows the first of lowest
-rank gets a point, and windows with ``MIN_POINTS`` are the features of the text. A feature
+lower the rank of the window. Of each ``NEIGHBOURS`` neighbouring windows the first of lowest
+rank gets a point, and windows with ``MIN_POINTS`` are the features of the text. Neighbours
+reach beyond both ends of the text, so the rule is the same for short and long texts. A feature
 sets ``BITS`` bits of a Bloom filter; a filter takes ``PER_FILTER`` features, then the next
 one is begun. Two digests are as like as the filters of the shorter one to the best match
 among those of the other, by common bits above what chance gives, from 0 to 1.
@@ -31,56 +32,59 @@ from pyspark.sql import functions as F
 
 from tableforge.llm.common import documents, whole_text
 
-WINDOW = 64
-MIN_POINTS = 16
+WINDOW = 16
+NEIGHBOURS = 16
+MIN_POINTS = 4
 BITS = 5
 FILTER_BITS = 2048
 PER_FILTER = 160
 #: Entropy, in bits a byte, that windows of prose have, and its spread.
-USUAL_ENTROPY = 3.75
-SPREAD = 0.22
+USUAL_ENTROPY = 3.1
+SPREAD = 0.25
 #: Share of the way from chance to all bits in common that counts as chance.
 CHANCE = 0.1
 
 _FILTER_BYTES = FILTER_BITS // 8
 #: Steps in which entropies are counted: sums of whole numbers are the same everywhere.
 _STEPS = 1 << 16
-_COUNTS = np.arange(WINDOW + 2)
+#: Longest window whose entropy is counted.
+_LONGEST = 64
+_COUNTS = np.arange(_LONGEST + 2)
 _LOGS = np.round(_STEPS * _COUNTS * np.log2(np.maximum(_COUNTS, 1))).astype(np.int64)
 
 
-def window_entropies(data: np.ndarray) -> np.ndarray:
-    """Entropy of each window of ``data``, in one pass of array operations.
+def window_entropies(data: np.ndarray, window: int = _LONGEST) -> np.ndarray:
+    """Entropy of each run of ``window`` bytes of ``data``, in one pass of array operations.
 
     Between neighbouring windows one byte goes and one comes, so the entropy changes by
     terms of how often these two are in the window; equal bytes are found by sorting.
     """
-    count = len(data) - WINDOW + 1
+    count = len(data) - window + 1
     if count <= 0:
         return np.zeros(0)
     order = np.argsort(data, kind="stable")
     # One number line: the places of a byte, far from the places of the next byte.
-    keys = data[order].astype(np.int64) * (2 * len(data) + 2 * WINDOW) + order
-    upto = np.searchsorted(keys, keys + WINDOW)
+    keys = data[order].astype(np.int64) * (2 * len(data) + 2 * window) + order
+    upto = np.searchsorted(keys, keys + window)
     rank = np.arange(len(data))
     ahead = np.empty(len(data), np.int64)
     ahead[order] = upto - rank  # of this byte, from here to the end of the window
     back = np.empty(len(data), np.int64)
-    back[order] = rank - np.searchsorted(keys, keys - WINDOW, side="right") + 1
-    first = np.bincount(data[:WINDOW], minlength=1)
+    back[order] = rank - np.searchsorted(keys, keys - window, side="right") + 1
+    first = np.bincount(data[:window], minlength=1)
     total = np.empty(count, np.int64)
     total[0] = _LOGS[first].sum()
-    gone, come = ahead[: count - 1], back[WINDOW:]
+    gone, come = ahead[: count - 1], back[window:]
     # Going takes its byte from n to n - 1 in a window that still lacks the byte to come.
-    same = data[: count - 1] == data[WINDOW:]
+    same = data[: count - 1] == data[window:]
     change = _LOGS[gone - 1] - _LOGS[gone] + _LOGS[come] - _LOGS[come - 1]
     total[1:] = total[0] + np.cumsum(np.where(same, 0, change))
-    return np.log2(WINDOW) - total / (WINDOW * _STEPS)
+    return np.log2(window) - total / (window * _STEPS)
 
 
 def feature_places(data: np.ndarray) -> np.ndarray:
     """First bytes of the windows that are features."""
-    entropy = window_entropies(data)
+    entropy = window_entropies(data, WINDOW)
     if not len(entropy):
         return np.zeros(0, np.int64)
     # Far from the usual entropy is improbable; too little of it says nothing.
@@ -88,15 +92,15 @@ def feature_places(data: np.ndarray) -> np.ndarray:
     rank = 1000 - np.round(odd * 60).astype(np.int64)
     rank[entropy < 1.0] = 1001
     key = rank << 32 | np.arange(len(rank))
-    if len(key) < WINDOW:
-        return np.array([key.min() & 0xFFFFFFFF]) if key.min() >> 32 <= 1000 else np.zeros(0, np.int64)
-    low, width = key, 1
-    while width < WINDOW:
-        low = np.minimum(low[: len(low) - width], low[width:])
-        width *= 2
+    # Neighbours beyond the ends never win, so that the windows near an end get points too.
+    beyond = np.full(NEIGHBOURS - 1, np.iinfo(np.int64).max)
+    low, width = np.concatenate([beyond, key, beyond]), 1
+    while width < NEIGHBOURS:
+        step = min(width, NEIGHBOURS - width)
+        low = np.minimum(low[: len(low) - step], low[step:])
+        width += step
     places, points = np.unique(low & 0xFFFFFFFF, return_counts=True)
-    # At the ends of a short text fewer windows can give points.
-    return places[(points >= min(MIN_POINTS, len(low))) & (rank[places] <= 1000)]
+    return places[(points >= MIN_POINTS) & (rank[places] <= 1000)]
 
 
 def digest(text: bytes, places: np.ndarray | None = None) -> bytes:
@@ -146,12 +150,12 @@ def edited(text: str, following: str) -> str:
 def edited_places(data: bytes, places: np.ndarray, text: bytes, same: int) -> np.ndarray:
     """Features of an edited text, of which the first ``same`` bytes are those of ``text``.
 
-    Whether a window is a feature is settled by ``WINDOW`` windows on each side, so the
+    Whether a window is a feature is settled by ``NEIGHBOURS`` windows on each side, so the
     features before the edit are known, and only the rest is looked at.
     """
-    known = same - 2 * WINDOW - WINDOW
-    begin = known - WINDOW
-    if begin < WINDOW:
+    known = same - WINDOW - NEIGHBOURS
+    begin = known - NEIGHBOURS
+    if begin < NEIGHBOURS:
         return feature_places(np.frombuffer(data, np.uint8))
     rest = feature_places(np.frombuffer(data[begin:], np.uint8)) + begin
     return np.concatenate([places[places < known], rest[rest >= known]])

@@ -328,3 +328,16 @@ def test_classifier_finds_abuse_in_texts_of_any_length(spark):
     assert {n: scores[-1 - k] > limit for k, n in enumerate(lengths)} == dict.fromkeys(lengths, True)
     assert all(scores[-101 - k] <= scores[-1 - k] for k in range(len(lengths)))
     assert not any(row["kept"] for row in found if row["doc_id"] > -100)
+
+
+def test_digests_of_short_texts_show_edits(texts):
+    """Cuts of real texts whose last third is replaced stay like themselves; strangers are not."""
+    long = [text for _, text in sorted(texts.items()) if len(text) >= 1000]
+    for size in (60, 90, 126, 200, 300):
+        cuts = [text[100 : 100 + size] for text in long]
+        own = [digests.digest(cut.encode()) for cut in cuts]
+        after = cuts[1:] + cuts[:1]
+        changed = [digests.edited(cut, other).encode() for cut, other in zip(cuts, after, strict=True)]
+        near = [digests.likeness(one, digests.digest(data)) for one, data in zip(own, changed, strict=True)]
+        assert np.median(near) > 0.4 and np.mean(np.array(near) > 0) > 0.97
+        assert np.median([digests.likeness(a, b) for a, b in zip(own, own[1:], strict=False)]) < 0.1
