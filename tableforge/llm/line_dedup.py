@@ -2,8 +2,9 @@
 
 Lines of at least ``min_chars`` code points become rows of hash, document and
 position. The hashes are range-partitioned with the document as a secondary key, so
-the rows of a hash that fills a third of the corpus lie in many tasks, in order. Each
-task streams its runs of equal hashes and sends on one row per hash: how many
+the rows of a hash that fills a third of the corpus lie in many tasks. Hash aggregates
+stand in for streaming sorted runs: Spark removes the sort below ``distinct``. Each task
+groups its rows by hash and document, then by hash, and sends on one row per hash: how many
 documents it saw and the last of them. The result goes back as a bitmap for each
 document, in words of 64 lines of which those without a dropped line are left out.
 
