@@ -46,3 +46,10 @@ def fresh_name(taken: Iterable[str], wanted: str) -> str:
     while wanted.lower() in used:
         wanted = f"{wanted}_"
     return wanted
+
+
+def word_count(text: Column) -> Column:
+    """Number of words, the runs of other characters than ``BLANKS``; 0 for null."""
+    body = F.btrim(whole_text(text), F.lit(BLANKS))
+    words = F.size(F.split(body, r"[\x20\x09-\x0D]+", -1))
+    return F.when(F.length(body) == 0, 0).otherwise(words).cast("long")

@@ -1,6 +1,18 @@
 """Registered queries of this subpackage."""
 
-from tableforge.llm import bpe, classifier, digests, katz, licenses, line_dedup, packing, quality_rules, simhash, warc
+from tableforge.llm import (
+    bpe,
+    classifier,
+    digests,
+    katz,
+    licenses,
+    line_dedup,
+    mixing,
+    packing,
+    quality_rules,
+    simhash,
+    warc,
+)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -13,9 +25,11 @@ QUERIES = {
     "op8_quality_classifier": classifier.op8_quality_classifier,
     "op9_warc": warc.op9_warc,
     "op10_license_scan": licenses.op10_license_scan,
+    "op11_source_mix": mixing.op11_source_mix,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op2_line_dedup": line_dedup.ORACLE,
     "op9_warc": warc.ORACLE,
+    "op11_source_mix": mixing.ORACLE,
 }
