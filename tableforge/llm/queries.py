@@ -8,6 +8,7 @@ from tableforge.llm import (
     licenses,
     line_dedup,
     mixing,
+    negatives,
     packing,
     quality_rules,
     simhash,
@@ -26,10 +27,12 @@ QUERIES = {
     "op9_warc": warc.op9_warc,
     "op10_license_scan": licenses.op10_license_scan,
     "op11_source_mix": mixing.op11_source_mix,
+    "op12_hard_negatives": negatives.op12_hard_negatives,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op2_line_dedup": line_dedup.ORACLE,
     "op9_warc": warc.ORACLE,
     "op11_source_mix": mixing.ORACLE,
+    "op12_hard_negatives": negatives.ORACLE,
 }
