@@ -5,6 +5,7 @@ from tableforge.llm import (
     classifier,
     digests,
     katz,
+    lexical,
     licenses,
     line_dedup,
     mixing,
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_license_scan": licenses.op10_license_scan,
     "op11_source_mix": mixing.op11_source_mix,
     "op12_hard_negatives": negatives.op12_hard_negatives,
+    "op13_lexical_search": lexical.op13_lexical_search,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
@@ -35,4 +37,5 @@ ORACLES = {
     "op9_warc": warc.ORACLE,
     "op11_source_mix": mixing.ORACLE,
     "op12_hard_negatives": negatives.ORACLE,
+    "op13_lexical_search": lexical.ORACLE,
 }
