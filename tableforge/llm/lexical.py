@@ -23,6 +23,7 @@ and ``text`` of documents and ``item_id`` and ``text`` of items are looked at.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -36,7 +37,7 @@ from tableforge.llm.common import documents, whole_text, written
 
 TOP = 50
 #: A chunk is full from so many postings or documents on; one text adds less than its terms.
-CHUNK_POSTINGS = 1 << 18
+CHUNK_POSTINGS = 1 << 19
 CHUNK_DOCUMENTS = 1 << 16
 #: Terms of the items that are sent to all tasks at once, on average.
 BLOCK_TERMS = 100_000
@@ -80,7 +81,7 @@ class _Chunk:
     terms: int = 0
     ids: list = field(default_factory=list)
     lengths: list = field(default_factory=list)
-    postings: list = field(default_factory=list)
+    postings: tuple[array, array, array] = field(default_factory=lambda: (array("i"), array("i"), array("i")))
 
     def add(self, doc_id: int | None, words: list[bytes], numbers: dict[bytes, int]) -> None:
         if not words:
@@ -93,22 +94,25 @@ class _Chunk:
             place = len(self.ids)
             self.ids.append(NO_ID if doc_id is None else doc_id)
             self.lengths.append(len(words))
-            self.postings.extend([(numbers[term], place, counts[term]) for term in hits])
+            terms, places, often = self.postings
+            terms.extend([numbers[term] for term in hits])
+            places.extend([place] * len(hits))
+            often.extend([counts[term] for term in hits])
 
     def full(self) -> bool:
-        return len(self.postings) >= CHUNK_POSTINGS or len(self.ids) >= CHUNK_DOCUMENTS
+        return len(self.postings[0]) >= CHUNK_POSTINGS or len(self.ids) >= CHUNK_DOCUMENTS
 
     def packed(self) -> pa.RecordBatch:
-        rows = np.array(self.postings, np.int64).reshape(-1, 3)
-        rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-        terms, starts = np.unique(rows[:, 0], return_index=True)
+        numbers, places, often = (np.array(column, np.int32) for column in self.postings)
+        by_term = np.argsort(numbers, kind="stable")  # places come in order
+        terms, starts = np.unique(numbers[by_term], return_index=True)
         parts = [
             np.array(self.ids, np.int64),
             np.array(self.lengths, np.int64),
-            terms.astype(np.int32),
-            np.append(starts, len(rows)).astype(np.int32),
-            rows[:, 1].astype(np.int32),
-            rows[:, 2].astype(np.int32),
+            terms,
+            np.append(starts, len(numbers)).astype(np.int32),
+            places[by_term],
+            often[by_term],
         ]
         columns = [pa.array([self.documents]), pa.array([self.terms])]
         columns += [pa.array([part.tobytes()], pa.binary()) for part in parts]
@@ -155,63 +159,60 @@ class Ranking:
     terms: int
 
 
-class PostingList:
-    """Places with the impacts of a term there, and a sparse table of the largest ones."""
-
-    def __init__(self, places: np.ndarray, impacts: np.ndarray):
-        self.places, self.impacts = places, impacts
-        # Row k: place in the list of the largest impact among 2^k from here on.
-        level = np.arange(len(places), dtype=np.int32)
-        levels = [level]
-        while (step := 1 << len(levels)) <= len(places):
-            left, right = level[: len(places) - step + 1], level[step // 2 :][: len(places) - step + 1]
-            level = np.where(impacts[left] >= impacts[right], left, right)
-            levels.append(level)
-        self.levels = np.zeros((len(levels), len(places)), np.int32)
-        for k, level in enumerate(levels):
-            self.levels[k, : len(level)] = level
-
-    def largest(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Largest impact at places from ``low`` to below ``high`` (0 if none), and its place."""
-        first, end = np.searchsorted(self.places, low), np.searchsorted(self.places, high)
-        size = end - first
-        some = size > 0
-        first, end = np.where(some, first, 0), np.where(some, end, 1)
-        level = np.frexp(np.maximum(size, 1).astype(float))[1] - 1
-        left, right = self.levels[level, first], self.levels[level, end - (1 << level)]
-        best = np.where(self.impacts[left] >= self.impacts[right], left, right)
-        return np.where(some, self.impacts[best], 0), self.places[best]
-
-    def at(self, places: np.ndarray) -> np.ndarray:
-        found = np.minimum(np.searchsorted(self.places, places), len(self.places) - 1)
-        return np.where(self.places[found] == places, self.impacts[found], 0)
-
-
 class Index:
-    """The posting lists of a chunk; a list gets its table when an item first asks for it."""
+    """The posting lists of a chunk, one after another, with their impacts and sparse tables."""
 
     def __init__(self, chunk: dict[str, bytes], ranking: Ranking):
         self.ids = np.frombuffer(chunk["ids"], np.int64)
         lengths, which = np.unique(np.frombuffer(chunk["lengths"], np.int64), return_inverse=True)
         share = [100 - 50 + 50 * n * ranking.documents // ranking.terms for n in lengths.tolist()]
-        self.norms = 20 * np.array(share, np.int64)[which]
+        norms = 20 * np.array(share, np.int64)[which]
         terms = np.frombuffer(chunk["list_terms"], np.int32).tolist()
-        self.slot = {term: k for k, term in enumerate(terms)}
-        self.starts = np.frombuffer(chunk["list_starts"], np.int32)
+        sizes = np.diff(np.frombuffer(chunk["list_starts"], np.int32))
         self.places = np.frombuffer(chunk["places"], np.int32)
-        self.counts = np.frombuffer(chunk["counts"], np.int32)
-        self.weights = ranking.weights
-        self.lists: dict[int, PostingList] = {}
-
-    def list_of(self, term: int) -> PostingList | None:
-        if term not in self.slot or not self.weights[term]:
-            return None
-        if term not in self.lists:
-            part = slice(self.starts[self.slot[term]], self.starts[self.slot[term] + 1])
-            places, tf = self.places[part], self.counts[part].astype(np.int64)
-            impacts = self.weights[term] * (1_000_000_000 * tf // (1000 * tf + self.norms[places]))
-            self.lists[term] = PostingList(places, impacts)
-        return self.lists[term]
+        tf = np.frombuffer(chunk["counts"], np.int32).astype(np.int64)
+        weights = np.repeat(np.array([ranking.weights[term] for term in terms], np.int64), sizes)
+        self.impacts = weights * (1_000_000_000 * tf // (1000 * tf + norms[self.places]))
+        self.lists = {term: k for k, term in enumerate(terms) if ranking.weights[term]}
+        #: Lists follow each other in the order of their numbers, places within a list too.
+        self.keys = np.repeat(np.arange(len(terms)) * len(self.ids), sizes) + self.places
+        self.table = self._table(int(sizes.max(initial=1)))
+
+    def _table(self, longest: int) -> np.ndarray:
+        """Row k: where the largest impact is among 2^k from each posting on."""
+        count = len(self.places)
+        levels = [np.arange(count, dtype=np.int32)]
+        while (step := 1 << len(levels)) <= longest:
+            below, level = levels[-1], levels[-1].copy()
+            left, right = below[: count - step + 1], below[step // 2 : count - step + 1 + step // 2]
+            level[: count - step + 1] = np.where(self.impacts[left] >= self.impacts[right], left, right)
+            levels.append(level)
+        return np.stack(levels)
+
+    def lists_of(self, terms: list[int]) -> np.ndarray:
+        """Numbers of the terms' lists."""
+        return np.array([self.lists[term] for term in terms if term in self.lists], np.int64)
+
+    def bounds(self, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sum of the largest impacts of each interval, and the place of the largest of all.
+
+        An interval is a row: where the postings of each list begin in it, and where they end.
+        """
+        some = end > first
+        level = np.frexp(np.where(some, end - first, 1).astype(float))[1] - 1
+        left = self.table[level, np.where(some, first, 0)]
+        right = self.table[level, np.where(some, end - (1 << level), 0)]
+        impacts, others = self.impacts[left], self.impacts[right]
+        best = np.where(impacts >= others, left, right)
+        impacts = np.where(some, np.maximum(impacts, others), 0)
+        top = impacts.argmax(axis=1)
+        return impacts.sum(axis=1), self.places[best[np.arange(len(best)), top]]
+
+    def postings(self, lists: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where a document stands, or would stand, in each list; and whether it does."""
+        keys = lists[None, :] * len(self.ids) + places[:, None]
+        found = np.searchsorted(self.keys, keys)
+        return found, self.keys[np.minimum(found, len(self.keys) - 1)] == keys
 
 
 class Best:
@@ -235,47 +236,35 @@ class Best:
 
 def search(index: Index, terms: list[int], best: Best) -> int:
     """Add the documents of a chunk that are among the ``best``; returns how many were scored."""
-    lists = [found for found in map(index.list_of, terms) if found is not None]
-    if not lists:
+    lists = index.lists_of(terms)
+    if not len(lists):
         return 0
-    waiting = np.array([[0, len(index.ids)]])
-    bounds, splits = _bounds(lists, waiting)
-    scored, together = 0, 1
+    first, _ = index.postings(lists, np.array([0]))
+    end, _ = index.postings(lists, np.array([len(index.ids)]))
+    bounds, splits = index.bounds(first, end)
+    scored, together = 0, 4
     while True:
         open_ = np.flatnonzero(bounds >= best.least)
         if not len(open_):
             return scored
-        waiting, bounds, splits = waiting[open_], bounds[open_], splits[open_]
-        if len(bounds) > together:
-            now = np.argpartition(bounds, len(bounds) - together)[len(bounds) - together :]
-        else:
-            now = np.arange(len(bounds))
-        at = splits[now]
-        best.add(index.ids[at], sum(found.at(at) for found in lists))
-        scored += len(at)
-        before = np.column_stack([waiting[now, 0], at])
-        after = np.column_stack([at + 1, waiting[now, 1]])
-        parts = np.concatenate([before, after])
-        parts = parts[parts[:, 0] < parts[:, 1]]
-        rest = np.ones(len(bounds), bool)
-        rest[now] = False
-        new_bounds, new_splits = _bounds(lists, parts)
-        waiting = np.concatenate([waiting[rest], parts])
-        bounds = np.concatenate([bounds[rest], new_bounds])
-        splits = np.concatenate([splits[rest], new_splits])
         together = min(2 * together, TOGETHER)
-
-
-def _bounds(lists: list[PostingList], intervals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of the largest impacts in each interval, and the place of the largest of all."""
-    total = np.zeros(len(intervals), np.int64)
-    highest, split = np.zeros(len(intervals), np.int64), intervals[:, 0].copy()
-    for found in lists:
-        impact, place = found.largest(intervals[:, 0], intervals[:, 1])
-        total += impact
-        higher = impact > highest
-        highest, split = np.where(higher, impact, highest), np.where(higher, place, split)
-    return total, split
+        if len(open_) > together:
+            by_bound = np.argpartition(bounds[open_], len(open_) - together)
+            now, rest = open_[by_bound[-together:]], open_[by_bound[:-together]]
+        else:
+            now, rest = open_, open_[:0]
+        at, there = index.postings(lists, splits[now])
+        impacts = np.where(there, index.impacts[np.where(there, at, 0)], 0)
+        best.add(index.ids[splits[now]], impacts.sum(axis=1))
+        scored += len(now)
+        # What lies before the document, and what lies after it.
+        parts = np.concatenate([first[now], at + there]), np.concatenate([at, end[now]])
+        new_bounds, new_splits = index.bounds(*parts)
+        new = new_bounds >= best.least
+        first = np.concatenate([first[rest], parts[0][new]])
+        end = np.concatenate([end[rest], parts[1][new]])
+        bounds = np.concatenate([bounds[rest], new_bounds[new]])
+        splits = np.concatenate([splits[rest], new_splits[new]])
 
 
 def _searched(sent, top: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
