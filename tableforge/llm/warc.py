@@ -1,21 +1,26 @@
 """Legacy web archives (ARC) to WARC, and both formats as files in the shared folder.
 
-ARC is a version block and then records of one header line and a payload of declared
-length; version 1 has five fields in that line, version 2 has ten. Lines and lengths are
-read by the version each file declares. The converter makes of each ARC record what WARC
-asks for beyond that: a record identifier, a timestamp, a type and a payload digest.
-Records whose payloads are equal are written once as ``response``; the others are
-``revisit`` records that name it and hold only its HTTP header.
-
-Spark's writer of text files writes the archives with gzip, a record at a time, and its
-reader of whole files reads them. A file holds so many records as have ``FILE_BYTES`` on
-average. Digests alone are shuffled to find equal payloads, and payloads once, packed, to
-meet the decision on them.
-
-A null html is an empty payload. A null url is ``-``. Rows with the same id have the same
-record identifier; of equal payloads with the smallest id one is the response. Rows
-with a null ``page_id`` are archived and read back with a null id. An empty table gives an
-empty table. Columns of ``pages`` other than ``page_id, url, html`` are not archived.
+ARC is a version block and then records of one header line and a block of declared length;
+version 1 has five fields in that line, version 2 has ten. Lines and lengths are read by the
+version each file declares, from the end of a line, so that a blank in an address harms nothing. The
+converter keeps the bytes of every block and makes what WARC asks for beyond them: an
+identifier (from the file and the place in it, so each record has its own), a timestamp,
+a type, the address in ASCII and digests. A block that begins as an HTTP answer is a
+``response`` with its own status and header; anything else (a name look-up, a plain
+file, nothing at all) is a ``resource`` of the declared type; the version block becomes
+``warcinfo``. Of responses with equal payloads one is written whole; the others are
+``revisit`` records that name it and hold only their own HTTP header.
+
+Spark's writer of text files writes the archives with gzip and its reader of whole files reads
+them. A file is closed at ``FILE_BYTES``, by the bytes in it. Places and digests are
+shuffled to find equal payloads; the files themselves meet what was decided on their records.
+
+A null html is an empty payload. A null url is ``-``. Rows with the same id, or the
+same in all, are records of their own; of equal payloads with the smallest id one is the
+response. Rows with a null ``page_id`` are archived and read back with a null id, after
+all others where payloads are equal. A date that cannot be read is that of the version block.
+An empty table gives no archives and an empty table. Columns of ``pages`` other than
+``page_id, url, html`` are not archived.
 """
 
 from __future__ import annotations
@@ -24,9 +29,10 @@ import base64
 import datetime
 import gzip
 import hashlib
+import urllib.parse
 import uuid
-import zlib
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,22 +42,31 @@ from tableforge.llm.common import written
 from tableforge.workspace import new_folder
 
 MIN_REVISIT_BYTES = 0
-FILE_BYTES = 64 << 20
+#: A file is closed once it has so many bytes before compression.
+FILE_BYTES = 32 << 20
 ARCHIVED_AT = "20240101000000"
 NO_URL = "-"
+NO_ADDRESS = ("-", "0.0.0.0")
 GZIP_MARK = b"\x1f\x8b"
+HTTP_MARK = b"HTTP/"
 
 #: Fields of the header line of an ARC record, by version (fixed values of the format).
 ARC_FIELDS = {
     1: ("url", "ip", "date", "type", "length"),
     2: ("url", "ip", "date", "type", "result", "checksum", "location", "offset", "filename", "length"),
 }
-ARC_RECORD = "page_id long, url string, date string, mime string, payload binary"
+ARC_RECORD = (
+    "page_id long, url string, ip string, date string, mime string, record_type string, "
+    "header binary, payload binary, record_id string"
+)
 WARC_RECORD = (
-    "page_id long, record_id string, record_type string, target_uri string, date string, "
-    "payload_digest string, payload_bytes long, refers_to_id string, payload binary"
+    "page_id long, record_id string, record_type string, target_uri string, ip string, date string, "
+    "content_type string, payload_digest string, payload_bytes long, refers_to_id string, "
+    "header binary, payload binary"
 )
 PAGE_HEADER = "X-Page-Id"
+#: Field of a revisit record with the number of bytes it does not repeat.
+LENGTH_FIELD = "X-Payload-Length"
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -63,10 +78,48 @@ def http_header(status: str, page_id: int | None, mime: str, length: int) -> byt
     return f"HTTP/1.1 {status}\r\n{page}Content-Type: {mime}\r\nContent-Length: {length}\r\n\r\n".encode()
 
 
-def parse_http(block: bytes) -> tuple[dict[str, str], bytes]:
-    head, _, body = block.partition(b"\r\n\r\n")
-    lines = head.decode("utf-8", "replace").split("\r\n")[1:]
-    return {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}, body
+def split_http(block: bytes) -> tuple[bytes, bytes]:
+    """Header of an HTTP answer with the empty line that ends it, and its body."""
+    at = block.find(b"\r\n\r\n")
+    end = len(block) if at < 0 else at + 4
+    at = block.find(b"\n\n", 0, end)
+    end = end if at < 0 else at + 2
+    return block[:end], block[end:]
+
+
+def fields_of(lines: bytes) -> dict[str, str]:
+    """Fields of a header by name in lower case; a name given twice has its first value."""
+    found: dict[str, str] = {}
+    for line in lines.decode("utf-8", "replace").split("\n"):
+        name, colon, value = line.partition(":")
+        if colon:
+            found.setdefault(name.strip().lower(), value.strip())
+    return found
+
+
+def page_of(header: bytes) -> int | None:
+    if PAGE_HEADER.encode() not in header:
+        return None
+    value = fields_of(header)[PAGE_HEADER.lower()]
+    return int(value) if value.lstrip("-").isdigit() else None
+
+
+@dataclass(frozen=True)
+class ArcRecord:
+    """A record as it stands in its file. ``opening`` marks the version block."""
+
+    fields: dict[str, str]
+    block: bytes
+    offset: int
+    opening: bool = False
+
+    def parts(self) -> tuple[str, bytes, bytes]:
+        """WARC type, HTTP header and payload."""
+        if self.opening:
+            return "warcinfo", b"", self.block
+        if self.block.startswith(HTTP_MARK):
+            return "response", *split_http(self.block)
+        return "resource", b"", self.block
 
 
 def arc_version_block(version: int) -> bytes:
@@ -78,7 +131,8 @@ def arc_version_block(version: int) -> bytes:
     )
     body = f"{version} 0 archive\n{names[version]}\n".encode()
     fields = {"url": "filedesc://pages.arc", "ip": "0.0.0.0", "date": ARCHIVED_AT, "type": "text/plain"}
-    return arc_line(version, fields, len(body)) + body + b"\n"
+    # The opening line has the five fields of version 1 whatever the version of the others.
+    return arc_line(1, fields, len(body)) + body
 
 
 def arc_line(version: int, fields: dict[str, str], length: int) -> bytes:
@@ -87,31 +141,42 @@ def arc_line(version: int, fields: dict[str, str], length: int) -> bytes:
     return line.replace("\n", "%0A").replace("\r", "%0D").encode() + b"\n"
 
 
-def parse_arc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields and payload of each record of an ARC file, by declared lengths."""
-    at, fields = 0, None
+def _arc_fields(line: bytes, names: tuple[str, ...]) -> dict[str, str]:
+    values = line.rstrip(b"\r").rsplit(b" ", len(names) - 1)
+    if len(values) != len(names) or not values[-1].isdigit():
+        raise ValueError(f"not a header line of {len(names)} fields: {line[:200]!r}")
+    url = urllib.parse.quote_from_bytes(values[0], safe="".join(map(chr, range(33, 127))))
+    return dict(zip(names, [url, *(value.decode("latin-1") for value in values[1:])], strict=True))
+
+
+def parse_arc(content: bytes) -> Iterator[ArcRecord]:
+    """The records of an ARC file, by declared lengths, the version block first."""
+    at, names = 0, None
     while at < len(content):
-        if content[at : at + 1] == b"\n":
+        if content[at : at + 1] in b"\r\n":
             at += 1
             continue
-        end = content.index(b"\n", at)
-        values = content[at:end].decode("utf-8", "replace").split(" ")
-        if fields is None:
-            length = int(values[-1])
-            body = content[end + 1 : end + 1 + length]
-            version = int(body.split(b" ", 1)[0])
-            if version not in ARC_FIELDS:
-                raise ValueError(f"ARC version {version} is not known")
-            fields = ARC_FIELDS[version]
+        end = content.find(b"\n", at)
+        end = len(content) if end < 0 else end
+        line = content[at:end]
+        if names is None:
+            # Archives of version 2 open with a line of either form.
+            found = ARC_FIELDS[2] if len(line.split(b" ")) >= len(ARC_FIELDS[2]) else ARC_FIELDS[1]
         else:
-            if len(values) != len(fields):
-                raise ValueError(f"header line has {len(values)} fields, not {len(fields)}")
-            length = int(values[-1])
-            body = content[end + 1 : end + 1 + length]
-            if len(body) != length:
-                raise ValueError(f"record of {length} bytes ends after {len(body)}")
-            yield dict(zip(fields, values, strict=True)), body
-        at = end + 1 + length
+            found = names
+        fields = _arc_fields(line, found)
+        block = content[end + 1 : end + 1 + int(fields["length"])]
+        if len(block) != int(fields["length"]):
+            raise ValueError(f"record of {fields['length']} bytes ends after {len(block)}")
+        if names is None:
+            version = block.split(b" ", 1)[0]
+            if not version.isdigit() or int(version) not in ARC_FIELDS:
+                raise ValueError(f"ARC version {version[:20].decode('latin-1')} is not known")
+            names = ARC_FIELDS[int(version)]
+            yield ArcRecord(fields, block, at, True)
+        else:
+            yield ArcRecord(fields, block, at)
+        at = end + 1 + len(block)
 
 
 def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -121,11 +186,10 @@ def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         if content[at : at + 2] == b"\r\n":
             at += 2
             continue
-        end = content.index(b"\r\n\r\n", at)
-        first, *lines = content[at:end].decode("utf-8", "replace").split("\r\n")
-        if not first.startswith("WARC/"):
+        end = content.find(b"\r\n\r\n", at)
+        if end < 0 or content[at : at + 5] != b"WARC/":
             raise ValueError("not at the start of a WARC record")
-        fields = {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
+        fields = fields_of(content[at:end])
         length = int(fields["content-length"])
         block = content[end + 4 : end + 4 + length]
         if len(block) != length:
@@ -135,7 +199,7 @@ def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def _files(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(folder).select("content")
+    return spark.read.format("binaryFile").load(folder).select("path", "content")
 
 
 def _content(file: pa.Scalar) -> bytes:
@@ -143,162 +207,209 @@ def _content(file: pa.Scalar) -> bytes:
     return gzip.decompress(content) if content[:2] == GZIP_MARK else content
 
 
-def _records_in_file(sizes: DataFrame) -> int:
-    """Number of records that have ``FILE_BYTES`` on average; ``sizes`` has one column."""
-    mean = sizes.agg(F.avg(sizes.columns[0])).first()[0] or 0
-    return max(1, int(FILE_BYTES // (mean + 512)))
+class _Pack:
+    """Records put together to contents of files of ``FILE_BYTES``."""
+
+    def __init__(self, separator: bytes, opening: bytes | None = None):
+        self.separator = separator
+        self.opening = [opening] if opening else []
+        self.records, self.size = [*self.opening], 0
 
+    def add(self, record: bytes) -> Iterator[pa.RecordBatch]:
+        self.records.append(record)
+        self.size += len(record)
+        if self.size >= FILE_BYTES:
+            yield from self.rest()
 
-def _write(records: DataFrame, folder: str, separator: str, in_file: int) -> None:
-    options = {"lineSep": separator, "compression": "gzip", "maxRecordsPerFile": in_file}
-    records.write.options(**options).text(folder)
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.size:
+            content = self.separator.join(self.records)
+            self.records, self.size = [*self.opening], 0
+            yield pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
+
+
+def _write(contents: DataFrame, folder: str, separator: str) -> None:
+    """A file for each row. A cast of bytes to text does not change them."""
+    options = {
+        "lineSep": separator, "compression": "gzip", "zlib.compress.level": "TWO", "maxRecordsPerFile": 1,
+    }
+    contents.select(F.col("content").cast("string")).write.options(**options).text(folder)
 
 
 def write_arc(pages: DataFrame, folder: str, version: int = 1) -> None:
     """``pages`` as ARC files: an HTTP response for each row."""
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), html.alias("html"))
-    in_file = _records_in_file(rows.select(F.octet_length("html")))
 
-    def records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opening = arc_version_block(version).decode()
-        count = 0
+    def contents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = _Pack(b"\n", arc_version_block(version))
         for batch in batches:
-            found = []
             ids, urls = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for page_id, url, html in zip(ids, urls, batch.column(2).cast(pa.binary()).to_pylist(), strict=True):
-                block = http_header("200 OK", page_id, "text/html", len(html)) + html
+            for page_id, url, value in zip(ids, urls, batch.column(2).cast(pa.binary()), strict=True):
+                payload = value.as_py()
+                block = http_header("200 OK", page_id, "text/html", len(payload)) + payload
                 fields = {"url": url or NO_URL, "ip": "0.0.0.0", "date": ARCHIVED_AT, "type": "text/html"}
-                # The writer begins a file with each ``in_file``-th record of a task.
-                head = opening if count % in_file == 0 else ""
-                found.append(head + (arc_line(version, fields, len(block)) + block).decode())
-                count += 1
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["record"])
+                yield from pack.add(arc_line(version, fields, len(block)) + block)
+        yield from pack.rest()
+
+    _write(rows.mapInArrow(contents, "content binary"), folder, "\n")
+
 
-    _write(rows.mapInArrow(records, "record string"), folder, "\n", in_file)
+def record_id(path: str, offset: int) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{path}#{offset}')}>"
 
 
 def read_arc(spark: SparkSession, folder: str) -> DataFrame:
-    """Records of ARC files as ``page_id, url, date, mime, payload``."""
+    """Records of ARC files, without the version blocks."""
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
         for batch in batches:
-            for file in batch.column(0):
+            for path, file in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 found = []
-                for fields, block in parse_arc(_content(file)):
-                    header, body = parse_http(block)
-                    page = header.get(PAGE_HEADER.lower())
-                    found.append((page and int(page), fields["url"], fields["date"], fields["type"], body))
-                yield _batch(found, kinds, ARC_RECORD)
+                for record in parse_arc(_content(file)):
+                    kind, header, payload = record.parts()
+                    if not record.opening:
+                        f = record.fields
+                        found.append(
+                            (page_of(header), f["url"], f["ip"], f["date"], f["type"], kind, header, payload)
+                            + (record_id(path, record.offset),)
+                        )
+                yield _batch(found, ARC_RECORD)
 
     return _files(spark, folder).mapInArrow(rows, ARC_RECORD)
 
 
-def _batch(rows: list[tuple], kinds: list[pa.DataType], schema: str) -> pa.RecordBatch:
-    names = [part.split()[0] for part in schema.split(", ")]
+KINDS = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    names, kinds = zip(*(part.split() for part in schema.split(", ")), strict=True)
     columns = list(zip(*rows, strict=True)) or [()] * len(names)
     return pa.RecordBatch.from_arrays(
-        [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)], names
+        [pa.array(column, KINDS[kind]) for column, kind in zip(columns, kinds, strict=True)], list(names)
     )
 
 
-def record_id(page_id: int | None, url: str, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}|{url}|{digest}')}>"
+def warc_date(arc_date: str, other: str = ARCHIVED_AT) -> str:
+    """The date as WARC writes it; ``other`` where it is none."""
+    for date in (arc_date, other):
+        for form, digits in (("%Y%m%d%H%M%S", 14), ("%Y%m%d%H%M", 12), ("%Y%m%d", 8)):
+            if len(date) < digits or not date.isdigit():
+                continue
+            try:
+                return datetime.datetime.strptime(date[:digits], form).strftime("%Y-%m-%dT%H:%M:%SZ")
+            except ValueError:  # no such day or hour
+                continue
+    return "1970-01-01T00:00:00Z"
+
 
+RESPONSES = "path string, offset long, page_id long, digest string, record_id string"
+
+
+def _responses(min_bytes: int):
+    def responses(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, file in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found = []
+                for record in parse_arc(_content(file)):
+                    kind, header, payload = record.parts()
+                    if kind == "response" and len(payload) >= min_bytes:
+                        own = record_id(path, record.offset)
+                        found.append((path, record.offset, page_of(header), base32_sha1(payload), own))
+                yield _batch(found, RESPONSES)
 
-def warc_date(arc_date: str) -> str:
-    return datetime.datetime.strptime(arc_date[:14], "%Y%m%d%H%M%S").strftime("%Y-%m-%dT%H:%M:%SZ")
+    return responses
 
 
 def convert_arc(spark: SparkSession, arc_folder: str, warc_folder: str, min_bytes: int = MIN_REVISIT_BYTES) -> None:
     """Write the records of ``arc_folder`` as WARC files."""
-
-    def digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            *fields, payload = (column.to_pylist() for column in batch.columns)
-            found = [base32_sha1(value) for value in payload]
-            ids = [record_id(page, url, digest) for page, url, digest in zip(*fields[:2], found, strict=True)]
-            columns = [
-                *batch.columns[:4],
-                pa.array([zlib.compress(value, 1) for value in payload], pa.binary()),
-                pa.array([len(value) for value in payload], pa.int64()),
-                pa.array(found, pa.string()),
-                pa.array(ids, pa.string()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "length", "digest", "record_id"])
-
-    schema = f"{ARC_RECORD}, length long, digest string, record_id string"
-    read = read_arc(spark, arc_folder).mapInArrow(digests, schema)
+    files = _files(spark, arc_folder)
+    read = written(files.mapInArrow(_responses(min_bytes), RESPONSES), "responses")
     # The smallest page of each payload, a null id last, and its record.
     key = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "record_id")
-    firsts = read.groupBy("digest").agg(F.min(key).alias("first"), F.avg("length").alias("mean"))
-    firsts = written(firsts.select("digest", "first.record_id", "mean"), "responses")
-    firsts = firsts.withColumnRenamed("record_id", "first_id")
-    other = (F.col("length") >= min_bytes) & (F.col("first_id") != F.col("record_id"))
-    joined = read.join(firsts.drop("mean"), "digest").withColumn("revisits", F.when(other, F.col("first_id")))
-
-    def records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    firsts = read.groupBy("digest").agg(F.min(key).alias("first"), F.count("*").alias("number"))
+    firsts = firsts.where("number > 1").select("digest", F.col("first.record_id").alias("first_id"))
+    again = read.join(firsts, "digest").where("record_id <> first_id")
+    # A list for each file, no longer than its records.
+    again = again.groupBy("path").agg(F.collect_list(F.struct("offset", "first_id")).alias("revisits"))
+
+    def contents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = _Pack(b"\r\n\r\n")
         for batch in batches:
-            rows = [_warc_record(row) for row in batch.to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["record"])
-
-    payload = F.when(F.col("revisits").isNull(), F.col("payload")).alias("payload")
-    fields = ["page_id", "url", "date", "mime", "digest", "record_id", "revisits", "length"]
-    in_file = _records_in_file(firsts.select("mean"))
-    _write(joined.select(*fields, payload).mapInArrow(records, "record string"), warc_folder, "\r\n\r\n", in_file)
-
-
-def _warc_record(row: dict) -> str:
-    kind = "revisit" if row["revisits"] else "response"
-    head = http_header("200 OK", row["page_id"], row["mime"], row["length"])
-    block = head + (zlib.decompress(row["payload"]) if row["payload"] else b"")
-    fields = {
-        "WARC-Type": kind,
-        "WARC-Record-ID": row["record_id"],
-        "WARC-Date": warc_date(row["date"]),
-        "WARC-Target-URI": row["url"],
-        "WARC-Payload-Digest": f"sha1:{row['digest']}",
-    }
-    if row["revisits"]:
-        fields["WARC-Refers-To"] = row["revisits"]
-        fields["WARC-Profile"] = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+            paths, revisits = batch.column("path").to_pylist(), batch.column("revisits")
+            for path, file, pairs in zip(paths, batch.column("content"), revisits, strict=True):
+                first_of = {pair["offset"]: pair["first_id"] for pair in pairs.as_py() or ()}
+                opening = None
+                for record in parse_arc(_content(file)):
+                    opening = opening or record
+                    yield from pack.add(_warc_record(path, record, opening, first_of.get(record.offset)))
+        yield from pack.rest()
+
+    decided = files.join(again, "path", "left")
+    _write(decided.mapInArrow(contents, "content binary"), warc_folder, "\r\n\r\n")
+
+
+def _warc_record(path: str, record: ArcRecord, opening: ArcRecord, first_id: str | None) -> bytes:
+    kind, header, payload = record.parts()
+    kind = "revisit" if first_id else kind
+    date = warc_date(record.fields["date"], opening.fields["date"])
+    fields = {"WARC-Type": kind, "WARC-Record-ID": record_id(path, record.offset), "WARC-Date": date}
+    if kind == "warcinfo":
+        fields["WARC-Filename"] = urllib.parse.quote(path.rsplit("/", 1)[-1])
+        lines = [b"description: converted from ARC", b"arc-line: " + record.fields["url"].encode()]
+        lines += [b"arc-version-block: " + line for line in payload.splitlines()]
+        block, mime = b"".join(line + b"\r\n" for line in lines), "application/warc-fields"
     else:
-        fields["WARC-Block-Digest"] = f"sha1:{base32_sha1(block)}"
-    fields["Content-Type"] = "application/http;msgtype=response"
+        fields["WARC-Target-URI"] = record.fields["url"]
+        if record.fields["ip"] not in NO_ADDRESS:
+            fields["WARC-IP-Address"] = record.fields["ip"]
+        fields["WARC-Warcinfo-ID"] = record_id(path, opening.offset)
+        fields["WARC-Payload-Digest"] = f"sha1:{base32_sha1(payload)}"
+        mime = record.fields["type"] if kind == "resource" else "application/http;msgtype=response"
+        block = header if kind == "revisit" else header + payload
+    if kind == "revisit":
+        fields["WARC-Refers-To"] = first_id
+        fields["WARC-Profile"] = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+        fields[LENGTH_FIELD] = str(len(payload))
+    fields["Content-Type"] = mime
     fields["Content-Length"] = str(len(block))
     lines = "".join(f"{name}: {value}\r\n" for name, value in fields.items())
-    return f"WARC/1.1\r\n{lines}\r\n" + block.decode()
+    return f"WARC/1.1\r\n{lines}\r\n".encode() + block
+
+
+def _warc_row(fields: dict[str, str], block: bytes) -> tuple:
+    kind = fields["warc-type"]
+    http = kind == "revisit" or kind == "response" and block.startswith(HTTP_MARK)
+    header, payload = split_http(block) if http else (b"", block)
+    digest = fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
+    if kind != "revisit" and digest and base32_sha1(payload) != digest:
+        raise ValueError(f"payload of {fields['warc-record-id']} differs from its digest")
+    length = len(payload)
+    if kind == "revisit":  # not known of archives that others wrote
+        length = int(fields[LENGTH_FIELD.lower()]) if LENGTH_FIELD.lower() in fields else None
+    return (
+        page_of(header),
+        fields["warc-record-id"],
+        kind,
+        fields.get("warc-target-uri"),
+        fields.get("warc-ip-address"),
+        fields["warc-date"],
+        fields.get("content-type"),
+        digest,
+        length,
+        fields.get("warc-refers-to"),
+        header,
+        None if kind == "revisit" else payload,
+    )
 
 
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
-    """Records of WARC files; a response's payload is checked against its digest."""
+    """Records of WARC files; a payload is checked against its digest."""
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), *[pa.string()] * 5, pa.int64(), pa.string(), pa.binary()]
         for batch in batches:
-            for file in batch.column(0):
-                found = []
-                for fields, block in parse_warc(_content(file)):
-                    header, body = parse_http(block)
-                    kind, digest = fields["warc-type"], fields["warc-payload-digest"].removeprefix("sha1:")
-                    if kind == "response" and base32_sha1(body) != digest:
-                        raise ValueError(f"payload of {fields['warc-record-id']} differs from its digest")
-                    page = header.get(PAGE_HEADER.lower())
-                    found.append(
-                        (
-                            page and int(page),
-                            fields["warc-record-id"],
-                            kind,
-                            fields["warc-target-uri"],
-                            fields["warc-date"],
-                            digest,
-                            int(header["content-length"]),
-                            fields.get("warc-refers-to"),
-                            body if kind == "response" else None,
-                        )
-                    )
-                yield _batch(found, kinds, WARC_RECORD)
+            for file in batch.column("content"):
+                yield _batch([_warc_row(*record) for record in parse_warc(_content(file))], WARC_RECORD)
 
     return _files(spark, folder).mapInArrow(rows, WARC_RECORD)
 
@@ -307,14 +418,14 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     arc, warc = new_folder(spark, "arc"), new_folder(spark, "warc")
     write_arc(spark.read.parquet(f"{sf_dir}/pages.parquet"), arc)
     convert_arc(spark, arc, warc)
-    read = read_warc(spark, warc).drop("payload")
-    read = written(read, "read-back")
+    read = read_warc(spark, warc).where("record_type in ('response', 'revisit')")
+    read = written(read.drop("header", "payload", "target_uri", "ip", "date", "content_type"), "read-back")
     named = read.where("record_type = 'response'").select(
         F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to")
     )
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     # Responses refer to nothing; as nulls of a join they would meet in one task.
-    revisits = read.where("record_type = 'revisit'").join(named.distinct(), "refers_to_id", "left")
+    revisits = read.where("record_type = 'revisit'").join(named, "refers_to_id", "left")
     responses = read.where("record_type = 'response'").withColumn("refers_to", F.lit(None).cast("long"))
     return responses.select(*columns).union(revisits.select(*columns))
 
@@ -334,10 +445,12 @@ WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex
   FROM pages
 ), d AS (
-  SELECT *, {_base32("hex")} AS payload_digest, min(page_id) OVER (PARTITION BY hex) AS first FROM p
+  SELECT *, {_base32("hex")} AS payload_digest, min(page_id) OVER (PARTITION BY hex) AS first,
+    row_number() OVER (PARTITION BY hex ORDER BY page_id NULLS LAST) = 1 AS is_first
+  FROM p
 )
 SELECT page_id, payload_bytes, payload_digest,
-  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id <> first THEN first END AS refers_to
+  CASE WHEN is_first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN NOT is_first THEN first END AS refers_to
 FROM d
 """

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gzip
+from collections import Counter
+
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
@@ -217,19 +220,97 @@ def test_warc(spark):
         back = sorted(((r.page_id or 0), bytes(r.payload).decode()) for r in warc.read_arc(spark, arc).collect())
         assert back == sorted((i or 0, html or "") for i, _, html, _ in pages)
         warc.convert_arc(spark, arc, out)
-        rows = warc.read_warc(spark, out).collect()
+        rows = warc.read_warc(spark, out).where("record_type <> 'warcinfo'").collect()
         kinds = {(r.page_id, r.record_type, r.payload_bytes) for r in rows}
         assert kinds == {
             (1, "response", 9), (2, "revisit", 9), (3, "response", 0), (4, "revisit", 0), (None, "revisit", 9),
-            (5, "response", 15), (6, "response", 300_000),
+            (5, "response", 15), (5, "revisit", 15), (6, "response", 300_000),
         }
-        assert {r.date for r in rows} == {"2024-01-01T00:00:00Z"} and len(rows) == len(pages)
+        assert {r.date for r in rows} == {"2024-01-01T00:00:00Z"}
+        assert len({r.record_id for r in rows}) == len(rows) == len(pages)
+        named = {r.record_id: r for r in rows}
+        for row in rows:
+            if row.record_type == "revisit":
+                first = named[row.refers_to_id]
+                assert (first.record_type, first.payload_digest) == ("response", row.payload_digest)
     arc, out = new_folder(spark, "arc"), new_folder(spark, "warc")
     warc.write_arc(frame.limit(0), arc)
     warc.convert_arc(spark, arc, out)
     assert warc.read_warc(spark, out).collect() == []
 
 
+BINARY = bytes(range(256)) * 4
+ARC_RECORDS = [
+    ("http://a.example/gone", "192.0.2.7", "20010203040506", "text/html",
+     b"HTTP/1.0 404 Not Found\r\nServer: old/1.2\r\n\r\n<p>caf\xe9</p>"),
+    ("dns:a.example", "192.0.2.1", "20010203040507", "text/dns", b"20010203\na.example. 3600 IN A 192.0.2.7\n"),
+    ("http://a.example/\xef\xbb a b", "192.0.2.7", "200102030405", "image/png",
+     b"HTTP/1.1 200 OK\nContent-Type: image/png\n\n" + BINARY),
+    ("http://b.example/same", "-", "20010204", "image/png", b"HTTP/1.1 200 Fine\r\nX-A: 1\r\n\r\n" + BINARY),
+    ("http://b.example/empty", "0.0.0.0", "never", "no-type", b""),
+    ("http://b.example/head", "-", "20010203040506", "text/html", b"HTTP/1.1 204 No Content\r\n\r\n"),
+    ("ftp://b.example/f", "-", "20010203040506", "application/octet-stream", b"\r\n\r\nWARC/1.0\r\n" + BINARY),
+]
+
+
+def foreign_arc(version: int) -> bytes:
+    """An archive as other programs write it."""
+    body = f"{version} 0 Somebody\nURL IP-address Archive-date Content-type Archive-length\n\n".encode()
+    out = f"filedesc://old.arc 0.0.0.0 19990101000000 text/plain {len(body)}\n".encode() + body + b"\n"
+    for url, ip, date, mime, block in ARC_RECORDS:
+        between = "" if version == 1 else "404 - - 77 old.arc "
+        out += url.encode("latin-1") + f" {ip} {date} {mime} {between}{len(block)}\n".encode() + block + b"\n"
+    return out
+
+
+@pytest.mark.parametrize("version", [1, 2])
+@pytest.mark.parametrize("packed", [False, True])
+def test_archives_of_others_keep_their_bytes(spark, tmp_path, version, packed):
+    arc, out = tmp_path / "arc", new_folder(spark, "warc")
+    arc.mkdir()
+    content = foreign_arc(version)
+    (arc / "old.arc").write_bytes(gzip.compress(content) if packed else content)
+    warc.convert_arc(spark, f"file://{arc}", out)
+    rows = warc.read_warc(spark, out).collect()
+    assert Counter(r.record_type for r in rows) == {"warcinfo": 1, "response": 3, "revisit": 1, "resource": 3}
+    assert len({r.record_id for r in rows}) == len(rows)
+    found = {r.target_uri: r for r in rows}
+    info = found.pop(None)
+    assert b"Somebody" in bytes(info.payload) and info.date == "1999-01-01T00:00:00Z"
+    shown = [url.replace(" ", "%20").replace("\xef\xbb", "%EF%BB") for url, *_ in ARC_RECORDS]
+    assert set(found) == set(shown)
+    for url, (_, ip, _, mime, block) in zip(shown, ARC_RECORDS, strict=True):
+        row = found[url]
+        assert row.ip == (None if ip in warc.NO_ADDRESS else ip)
+        if row.record_type == "resource":
+            assert (bytes(row.payload), bytes(row.header), row.content_type) == (block, b"", mime)
+        elif row.record_type == "response":
+            assert bytes(row.header) + bytes(row.payload) == block
+        else:
+            assert block.startswith(bytes(row.header)) and row.payload_bytes == len(BINARY)
+    assert bytes(found[shown[0]].header).startswith(b"HTTP/1.0 404 Not Found\r\nServer: old/1.2")
+    # Without ids either of the two equal images may be the response.
+    images = {found[shown[2]].record_type, found[shown[3]].record_type}
+    assert images == {"response", "revisit"}
+    dates = [found[url].date for url in shown]
+    assert dates[:5] == ["2001-02-03T04:05:06Z", "2001-02-03T04:05:07Z", "2001-02-03T04:05:00Z",
+                         "2001-02-04T00:00:00Z", "1999-01-01T00:00:00Z"]
+
+
+def test_archives_are_closed_by_bytes(spark, monkeypatch):
+    pages = spark.range(60).selectExpr("id AS page_id", "'u' AS url", "repeat(cast(id AS string), 40000) AS html")
+    pack = warc._Pack(b"\n", b"opening")
+    monkeypatch.setattr(warc, "FILE_BYTES", 100)
+    contents = [batch.column(0)[0].as_py() for k in range(9) for batch in pack.add(b"x" * 30)]
+    contents += [batch.column(0)[0].as_py() for batch in pack.rest()]
+    assert [c.count(b"x") for c in contents] == [120, 120, 30] and all(c.startswith(b"opening\n") for c in contents)
+    arc, out = new_folder(spark, "arc"), new_folder(spark, "warc")
+    warc.write_arc(pages.repartition(2), arc)
+    warc.convert_arc(spark, arc, out)
+    rows = warc.read_warc(spark, out).where("record_type = 'response'").collect()
+    assert {(r.page_id, bytes(r.payload).decode()) for r in rows} == {(k, str(k) * 40000) for k in range(60)}
+
+
 def test_unknown_archives_are_refused():
     with pytest.raises(ValueError, match="version 3"):
         list(warc.parse_arc(b"filedesc://x 0.0.0.0 20240101000000 text/plain 6\n3 0 x\n"))
