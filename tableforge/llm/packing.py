@@ -17,6 +17,7 @@ packed one by one, and so are null ids. An empty table gives an empty table.
 
 from __future__ import annotations
 
+import functools
 import os
 import zlib
 from array import array
@@ -82,11 +83,13 @@ class LibraryCodec(Codec):
         return array("I", self.encode(text)).tobytes()
 
 
+@functools.cache
 def word_encoder(path: str) -> Callable[[bytes], bytes]:
     """Ids of a text as little-endian 32-bit numbers, by the tokenizers library.
 
     No token of this vocabulary spans white space, so each word is encoded once and the
-    ids of a text are those of its words.
+    ids of a text are those of its words. A worker keeps the encoder, and the words it
+    remembers, for the tasks to come.
     """
     known = Memory(LibraryCodec(path).word_ids, CACHE_WORDS)
     return lambda text: b"".join(map(known.__getitem__, text.split()))
