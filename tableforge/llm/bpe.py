@@ -15,6 +15,7 @@ table.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import unicodedata
@@ -191,15 +192,21 @@ class Codec:
         return " ".join([self.vocabulary.tokens[number] for number in ids])
 
 
-def _codes(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(read_vocabulary(path))
+@functools.cache
+def word_codes(path: str) -> Memory:
+    """Number of ids, ids and decoded text by word; a worker keeps it for the tasks to come."""
+    codec = Codec(read_vocabulary(path))
+
+    def code(word: bytes) -> tuple[int, str, str]:
+        ids = codec.encode(word.decode())
+        return len(ids), " ".join(map(str, ids)), codec.decode(ids)
 
-        def code(word: bytes) -> tuple[int, str, str]:
-            ids = codec.encode(word.decode())
-            return len(ids), " ".join(map(str, ids)), codec.decode(ids)
+    return Memory(code, CACHE_WORDS)
 
-        known = Memory(code, CACHE_WORDS)
+
+def _codes(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = word_codes(path)
         for batch in batches:
             rows = []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
