@@ -18,24 +18,27 @@ task, and its weights (two arrays of ``WIDTH`` numbers) go to the tasks that sco
 Documents whose id leaves remainder 0 by ``HELD_OUT`` are never in the sample, so that the
 labels of these measure it. All documents are scored, in place, without a shuffle.
 
-Null texts are empty; a text without words is rejected. Without any label the
-heuristics alone teach the scorer. Several labels of one id count as the worst of them.
+Null texts are empty; a text without words is rejected. Where no document has a label the
+heuristics alone teach the scorer, also if there are labels of other documents; where only
+held-out ids, or none, are left, the sample is drawn from these. Several labels of one id count as the worst of them.
 Null ids are scored like others and never sampled. An empty table gives an empty table;
 extra columns are kept, those named like a result column are replaced.
 """
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tableforge.llm.bpe import Memory
 from tableforge.llm.common import documents, whole_text, written
 
 SAMPLE = 12_000
@@ -50,7 +53,7 @@ SPARSENESS = {"quality": 16.0, "toxicity": 6.0}
 THRESHOLDS = {"quality": 0.5, "toxicity": 0.88}
 #: Words of a window whose toxicity is scored.
 WINDOW = 32
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 ROUNDS = 50
 SYMBOLS = b"#*$%&|<>{}[]~^=+\\@_"
 MARKS = ".,;:!?\"'()*%&$#|<>"
@@ -222,20 +225,40 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(KINDS), pa.array(weights, pa.binary())], ["kind", "weights"])
 
 
+def _drawn(number: int, *by: str) -> Column:
+    """About ``SAMPLE`` of ``number`` rows, by a hash of the id (and further columns)."""
+    draw = F.pmod(F.xxhash64("doc_id", *by), F.lit(1_000_000))
+    finer = F.pmod(F.xxhash64("doc_id", *by, F.lit(1)), F.lit(1_000_000_000)) / 1e9
+    return draw + finer < F.lit(1_000_000 * SAMPLE / max(1, number))
+
+
 def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts with the votes of ``labels``: a bounded number, drawn by hash of the id."""
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
+    """Texts with the votes of ``labels``: a bounded number, drawn by hash of the id.
+
+    Where no document has a label they are drawn from all but those held out, and where no
+    others are left, from these.
+    """
     usable = (F.col("doc_id") % HELD_OUT != 0) & F.col("doc_id").isNotNull()
     given = labels.where(usable).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    n_given = given.count()
-    texts = docs.where(usable).select("doc_id", whole_text(F.col("text")).alias("text"))
-    if not n_given:
-        nothing = F.lit(None).cast("int")
-        others = texts.where(share < 1_000_000 * SAMPLE // max(1, docs.count()))
-        return others.select("text", nothing.alias("quality"), nothing.alias("toxic"))
-    given = given.where(share < 1_000_000 * SAMPLE // n_given)
-    # About SAMPLE rows of three numbers: a bound that does not grow with the corpus.
-    return texts.join(F.broadcast(given), "doc_id").select("text", "quality", "toxic")
+    all_texts = docs.select("doc_id", whole_text(F.col("text")).alias("text"))
+    texts = all_texts.where(usable)
+    numbers = [given.count()]
+    while numbers[-1]:
+        # About SAMPLE rows of three numbers: a bound that does not grow with the corpus.
+        drawn = F.broadcast(given.where(_drawn(numbers[-1])))
+        sample = written(texts.join(drawn, "doc_id").select("text", "quality", "toxic"), "sample")
+        if len(numbers) == 2 or not sample.isEmpty():
+            return sample
+        # The labels drawn are of other documents: draw among those of these documents.
+        given = written(given.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), "given")
+        numbers.append(given.count())
+    nothing = F.lit(None).cast("int")
+    for rows in (texts, all_texts):
+        sample = rows.where(_drawn(rows.count(), "text"))
+        sample = sample.select("text", nothing.alias("quality"), nothing.alias("toxic"))
+        if not sample.isEmpty():
+            return sample.limit(4 * SAMPLE)  # also where most rows are alike
+    return all_texts.select("text", nothing.alias("quality"), nothing.alias("toxic")).limit(SAMPLE)
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame) -> dict[str, bytes]:
@@ -245,28 +268,29 @@ def fit_classifier(docs: DataFrame, labels: DataFrame) -> dict[str, bytes]:
     # The sample is bounded, so one task can hold it; sorted, it is fitted alike each time.
     one = sample.repartition(1).sortWithinPartitions(F.xxhash64("text"), "text", "quality", "toxic")
     fitted = written(one.mapInArrow(_train, "kind string, weights binary"), "weights")
-    nothing = {kind: np.zeros(WIDTH, "<f4").tobytes() for kind in KINDS}
-    return nothing | {row.kind: bytes(row.weights) for row in fitted.collect()}
+    weights = {row.kind: bytes(row.weights) for row in fitted.collect()}
+    if not weights and not docs.isEmpty():
+        raise ValueError("no document to fit the classifier on")
+    return weights or {kind: np.zeros(WIDTH, "<f4").tobytes() for kind in KINDS}
+
+
+@functools.lru_cache(maxsize=1)
+def word_scores(*weights: bytes) -> tuple[np.ndarray, Memory]:
+    """Weights of both kinds, and their sums by word; a worker keeps them for the tasks to come."""
+    by_kind = np.stack([np.frombuffer(one, "<f4") for one in weights]).astype(float)
+    return by_kind, Memory(lambda word: tuple(map(float, by_kind[:, word_places(word)].sum(axis=1))), CACHE_WORDS)
 
 
 def _score(weights: dict[str, bytes], at: int, keep: list[int]) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_kind = np.stack([np.frombuffer(weights[kind], "<f4") for kind in KINDS]).astype(float)
+        by_kind, known = word_scores(*(weights[kind] for kind in KINDS))
         always = by_kind[:, place("always")]
-        known: dict[str, tuple[float, float]] = {}
-
-        def learn(word: str) -> tuple[float, float]:
-            if len(known) >= CACHE_WORDS:
-                known.clear()
-            known[word] = found = tuple(map(float, by_kind[:, word_places(word)].sum(axis=1)))
-            return found
-
         for batch in batches:
             found = []
             for text in batch.column(at).to_pylist():
                 words = text.split()
                 quality = always[0] + by_kind[0, number_places(text_numbers(text, words))].sum()
-                sums = {word: known.get(word) or learn(word) for word in set(words)}
+                sums = {word: known[word] for word in set(words)}
                 quality += sum([one for one, _ in sums.values()])
                 toxic = {word: two for word, (_, two) in sums.items() if two}
                 toxicity = always[1] + min([sum([toxic[w] for w in toxic.keys() & part]) for part in windows(words)])

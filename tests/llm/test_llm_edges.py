@@ -239,6 +239,27 @@ def test_warc(spark):
     assert warc.read_warc(spark, out).collect() == []
 
 
+def test_classifier_without_labels_of_its_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    others = spark.range(1001, 1200).selectExpr("id * 1000 + 1 AS doc_id", "1 AS quality", "0 AS toxic")
+    kept = {r.doc_id for r in classifier.classify(docs, none, ["doc_id"]).where("kept").collect()}
+    assert 0.8 * docs.count() < len(kept) < docs.count()
+    assert {r.doc_id for r in classifier.classify(docs, others, ["doc_id"]).where("kept").collect()} == kept
+    held_out = docs.where(F.col("doc_id") % classifier.HELD_OUT == 0)
+    for labels in (none, others):
+        number = classifier.classify(held_out, labels, ["doc_id"]).where("kept").count()
+        assert 0.7 * held_out.count() < number
+    nameless = docs.withColumn("doc_id", F.lit(None).cast("long"))
+    assert classifier.classify(nameless, none, ["doc_id"]).where("kept").count() > 0.8 * docs.count()
+
+
+def test_classifier_draws_a_bounded_sample_at_any_size(spark):
+    ids = spark.range(200_000).withColumnRenamed("id", "doc_id")
+    share = [ids.where(classifier._drawn(number)).count() for number in (200_000, 24_000_000, 12 * 10**12)]
+    assert abs(share[0] - classifier.SAMPLE) < 600 and 50 < share[1] < 150 and share[2] == 0
+
+
 BINARY = bytes(range(256)) * 4
 ARC_RECORDS = [
     ("http://a.example/gone", "192.0.2.7", "20010203040506", "text/html",
