@@ -9,7 +9,7 @@ the mix is cut off where the next one would exceed the budget.
 
 A running total over shuffled or sorted rows never gathers a source, or the mix, in one
 task. Rows fall into ranges of about ``RANGE_WORDS`` words along the order; the sums of
-ranges are added up in two levels, and only the rows of one range are sorted together. All
+ranges are added up block by block, and only the rows of one range are sorted together. All
 of this handles ids, sizes and times alone: texts are read once, to be counted.
 
 Shuffled order is by a digest of the id and the size, so reruns agree. Rows alike in
@@ -32,8 +32,9 @@ from tableforge.llm.common import documents, word_count, written
 
 #: Words of a range of rows that are sorted together.
 RANGE_WORDS = 8192
-#: Ranges whose sums are added up together.
-FAN = 16384
+#: Ranges, or blocks of them, whose sums are added up together, and the levels of blocks.
+FAN = 256
+LEVELS = 2
 #: Copies of a row that one element of an array stands for.
 COPIES = 4096
 #: A digest is cut to so many hexadecimal digits.
@@ -69,20 +70,21 @@ class Mix:
 
 def range_bases(rows: DataFrame, within: Sequence[str], value: str) -> DataFrame:
     """``base`` of each ``range`` in each group: the sum of ``value`` over the ranges before it."""
-    sums = rows.groupBy(*within, "range").agg(F.sum(value).alias("sum"))
-    sums = sums.withColumn("block", F.expr(f"range div {FAN}"))
-    blocks = sums.groupBy(*within, "block").agg(F.sum("sum").alias("block_sum"))
-    earlier = (Window.unboundedPreceding, -1)
-    among_blocks = Window.partitionBy(*within).orderBy("block").rowsBetween(*earlier)
-    in_block = Window.partitionBy(*within, "block").orderBy("range").rowsBetween(*earlier)
-
-    def before(sum_column: str, window: Window) -> Column:
-        return F.coalesce(F.sum(sum_column).over(window), F.lit(0))
-
-    blocks = blocks.select(*within, "block", before("block_sum", among_blocks).alias("block_base"))
-    found = sums.join(blocks, [*within, "block"])
-    base = F.col("block_base") + before("sum", in_block)
-    return found.select(*within, "range", base.cast("long").alias("base"))
+    return _bases(rows.groupBy(*within, "range").agg(F.sum(value).alias("sum")), within, LEVELS)
+
+
+def _bases(sums: DataFrame, within: Sequence[str], above: int) -> DataFrame:
+    """Sums before each range: those of the blocks before its block, and before it in the block."""
+    keys = [*within, "block"] if above else [*within]
+    window = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    base = F.coalesce(F.sum("sum").over(window), F.lit(0))
+    if above:
+        sums = sums.withColumn("block", F.expr(f"range div {FAN}"))
+        blocks = sums.groupBy(*keys).agg(F.sum("sum").alias("sum")).withColumnRenamed("block", "range")
+        blocks = _bases(blocks, within, above - 1)
+        sums = sums.join(blocks.select(*within, F.col("range").alias("block"), F.col("base").alias("first")), keys)
+        base = base + F.col("first")
+    return sums.select(*within, "range", base.cast("long").alias("base"))
 
 
 def running_total(
