@@ -72,21 +72,52 @@ UNEVEN_LINE = "__uneven_line"
 EXTRA_VALUES = "extra_values"
 
 
+def _one_of(*chars: str) -> str:
+    """Pattern of one character of ``chars``, whatever they mean in a pattern."""
+    return "".join(f"\\x{{{ord(char):x}}}" for char in chars)
+
+
+def value_pattern(text_format: TextFormat) -> str:
+    """Pattern of a separator and the value after it, by the rules of the reader.
+
+    A quote opens a value only at its start. There the escape takes the next character with
+    it; after a closing quote the value goes on to the next separator. Every loop keeps
+    what it has taken, so a line is read once, however long it is.
+    """
+    sep = "".join(_one_of(char) for char in text_format.sep)
+    plain = f"[^{sep}]*+" if len(text_format.sep) == 1 else f"(?:(?!{sep}).)*+"
+    quote, escape = _one_of(*text_format.quote), _one_of(*text_format.escape)
+    if not quote:
+        return f"(?s){sep}({plain})"
+    inside = f"[^{quote}{escape}]*+"
+    if text_format.escape == text_format.quote:
+        inside += f"(?:{quote}{quote}{inside})*+"
+    elif escape:
+        inside += f"(?:{escape}.{inside})*+"
+    return f"(?s){sep}({quote}{inside}{quote}{plain}|{plain})"
+
+
 def values_beyond(line: Column, width: int, text_format: TextFormat) -> Column:
     """Array of the values of ``line`` after the first ``width``, without quotes.
 
-    Empty values count for nothing, as at a delimiter that ends the line.
+    Empty values count for nothing, as at a delimiter that ends the line. A line with
+    fewer delimiters than columns has none and is not taken apart.
     """
-    apart = "\\Q" + text_format.sep + "\\E"
-    if text_format.quote:
-        mark = "\\Q" + text_format.quote + "\\E"
-        # A delimiter separates where an even number of quotes follows it.
-        apart += f"(?=(?:(?:(?!{mark})[\\s\\S])*{mark}(?:(?!{mark})[\\s\\S])*{mark})*(?:(?!{mark})[\\s\\S])*$)"
-    values = F.split(line, apart, -1)
+    sep, quote = F.lit(text_format.sep), text_format.quote
+    values = F.regexp_extract_all(F.concat(sep, line), F.lit(value_pattern(text_format)), 1)
     beyond = F.slice(values, width + 1, F.greatest(F.size(values) - width, F.lit(0)))
-    if text_format.quote:
-        beyond = F.transform(beyond, lambda value: F.btrim(value, F.lit(text_format.quote)))
-    return F.filter(beyond, lambda value: F.length(F.btrim(value)) > 0)
+    if quote:
+        beyond = F.transform(
+            beyond,
+            lambda value: F.when(
+                value.startswith(quote) & value.endswith(quote) & (F.length(value) > 1),
+                F.substring(value, F.lit(2), F.length(value) - 2),
+            ).otherwise(value),
+        )
+    beyond = F.filter(beyond, lambda value: F.length(F.btrim(value)) > 0)
+    marks = F.length(line) - F.length(F.replace(line, sep, F.lit("")))
+    few = marks < F.lit(width * len(text_format.sep))
+    return F.when(few, F.array().cast("array<string>")).otherwise(beyond)
 
 
 def scan_text(

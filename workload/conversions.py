@@ -413,7 +413,34 @@ def convert_partitioned_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(convert_declared(spark, base, "lineitem", partition_keys=["l_linenumber"]))
 
 
+def convert_uneven_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts, quoted, in rows of two columns: some have a value more, some one less."""
+    one_line = F.translate(F.coalesce("text", F.lit("")), "\n\r\\", "  /")
+    quoted = F.concat(F.lit(',"'), F.replace(one_line, F.lit('"'), F.lit('\\"')), F.lit('"'))
+    more = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit(',"more, of '), "doc_id", F.lit('"')))
+    line = F.concat(
+        F.col("doc_id").cast("string"),
+        F.when(F.col("doc_id") % 5 == 1, "").otherwise(F.concat(quoted, F.coalesce(more, F.lit("")))),
+    )
+
+    def write(folder: str) -> None:
+        table(spark, sf_dir, "documents").select(line.alias("value")).write.text(f"{folder}/notes")
+
+    base = staged(spark, sf_dir, "uneven-texts", write)
+    database, columns = new_database(spark, "raw"), "doc_id bigint, note string"
+    declare_text_table(spark, f"{database}.notes", columns, f"{base}/notes", TextFormat())
+    options = ConversionOptions(extra_values="keep")
+    rows = converted(spark, base, "notes", columns, source_db=database, options=options)
+    return rows.select(
+        "doc_id",
+        F.length(F.coalesce("note", F.lit(""))).cast("long").alias("n_chars"),
+        F.md5(F.coalesce("note", F.lit("")).cast("binary")).alias("note_md5"),
+        F.array_join("extra_values", "; ").alias("extra"),
+    )
+
+
 QUERIES = {
+    "convert_uneven_texts": convert_uneven_texts,
     "convert_orders": convert_orders,
     "convert_orders_report": convert_orders_report,
     "convert_lineitem": convert_lineitem,
@@ -522,6 +549,13 @@ def _declared_oracle() -> str:
 
 
 ORACLES = {
+    "convert_uneven_texts": r"""
+        SELECT doc_id, length(note) AS n_chars, md5(note) AS note_md5,
+               CASE WHEN doc_id % 3 = 0 AND doc_id % 5 <> 1 THEN 'more, of ' || doc_id END AS extra
+        FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 1 THEN '' ELSE
+                translate(coalesce(text, ''), chr(10) || chr(13) || '\', '  /') END AS note
+              FROM documents)
+    """,
     "convert_declared_keys": LINEITEM_SQL,
     "convert_declared_types": _declared_oracle(),
     "convert_uneven_rows": """
