@@ -7,7 +7,7 @@ over the text. Without partition keys nothing is shuffled.
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -18,8 +18,15 @@ from pyspark.sql.types import StructType
 from tableforge.functions.casts import DATE_FORMAT, TIME_OF_DAY_FORMAT
 from tableforge.names import Columns, column
 from tableforge.operators.casting import cast_to_columns
-from tableforge.sinks.parquet import DEFAULT_CODEC, require_keys, split_keys, write_parquet
-from tableforge.sources.catalog import TableDescription, describe_table, list_datasets
+from tableforge.operators.ledger import DONE, STAGED, STARTED, RunLedger, fingerprint
+from tableforge.sinks.parquet import DEFAULT_CODEC, require_keys, split_keys, write_counted
+from tableforge.sinks.publish import is_whole, partitions_in, publish
+from tableforge.sources.catalog import (
+    TableDescription,
+    add_partitions,
+    describe_table,
+    list_datasets,
+)
 from tableforge.sources.datasets import TOO_MANY_VALUES, ExtraValues, scan_dataset
 from tableforge.sources.text import EXTRA_VALUES, TextFormat
 
@@ -80,11 +87,15 @@ def convert_dataset(
     target: Columns | None = None,
     partition_keys: str | Sequence[str] | None = None,
     options: ConversionOptions = ConversionOptions(),
+    staged_path: str | None = None,
 ) -> ConvertedDataset:
     """Convert ``in_path/<dataset>`` to Parquet in ``out_path/<dataset>``.
 
     The target columns are ``target``, or those of ``target_db.<dataset>``.
     Without either nothing is cast.
+
+    With ``staged_path`` the files are written whole to that folder first and not put in
+    place: ``put_in_place`` does that, once.
     """
     read_path, write_path = (f"{base.rstrip('/')}/{dataset}" for base in (in_path, out_path))
     table = None
@@ -110,8 +121,13 @@ def convert_dataset(
     )
     require_keys(keys, typed.columns, dataset)
     try:
-        count = write_parquet(
-            typed, write_path, options.compression, keys, options.mode, options.rebalance
+        done = write_counted(
+            typed,
+            staged_path or write_path,
+            options.compression,
+            keys,
+            "overwrite" if staged_path else options.mode,
+            options.rebalance,
         )
     except Exception as error:
         if TOO_MANY_VALUES not in str(error):
@@ -121,10 +137,10 @@ def convert_dataset(
         # All columns are read, as Spark compares the width with the columns it reads.
         counts = rows.agg(F.count(EXTRA_VALUES), *(F.count(column(name)) for name in rows.columns))
         raise ExtraValues(dataset, counts.first()[0]) from error
-    logger.info("%s: %d rows", dataset, count)
-    if table is not None:
-        _announce(spark, table)
-    return ConvertedDataset(dataset, count, write_path, typed.schema, spark)
+    logger.info("%s: %d rows", dataset, done.rows)
+    if table is not None and not staged_path:
+        announce(spark, table, done.partitions)
+    return ConvertedDataset(dataset, done.rows, staged_path or write_path, typed.schema, spark)
 
 
 def convert_database(
@@ -136,6 +152,7 @@ def convert_database(
     datasets: Sequence[str] | None = None,
     partition_keys: str | Sequence[str] | Mapping[str, str | Sequence[str]] | None = None,
     options: ConversionOptions = ConversionOptions(),
+    ledger_path: str | None = None,
 ) -> DataFrame:
     """Convert every table of ``source_db``, or the ``datasets`` named.
 
@@ -143,7 +160,14 @@ def convert_database(
     datasets, or to the ones a mapping names. Keys of catalog tables are checked
     before the first dataset is read. A failure raises ``ConversionFailed`` with the
     report so far; give the other ``datasets`` to go on without converting any twice.
+
+    With ``ledger_path`` the call is simply repeated after a failure. The ledger, a table for
+    this output, has the state of each dataset and its files. What is done is not done again,
+    unless the files have changed; what was written whole is only put in place; everything
+    else begins anew in a folder of its own. The report has all datasets.
     """
+    if ledger_path is not None and options.mode != "append":
+        raise ValueError(f"a run with a ledger appends, mode {options.mode!r} is not possible")
     names = list(datasets) if datasets is not None else list_datasets(spark, source_db)
     keys = {name: split_keys(_keys_of(partition_keys, name)) for name in names}
     for name in names:
@@ -152,26 +176,61 @@ def convert_database(
             require_keys(keys[name], [column_name for column_name, _ in source.columns], name)
         if keys[name]:
             keys_of_target(name, describe_table(spark, f"{target_db}.{name}"), keys[name])
+    ledger = None if ledger_path is None else RunLedger(spark, ledger_path)
+
+    def convert(name: str, staged_path: str | None = None) -> int:
+        return convert_dataset(
+            spark,
+            name,
+            in_path,
+            out_path,
+            source_db=source_db,
+            target_db=target_db,
+            partition_keys=keys[name],
+            options=options,
+            staged_path=staged_path,
+        ).rows_read
+
     report: list[tuple[str, int]] = []
     for name in names:
         try:
-            done = convert_dataset(
-                spark,
-                name,
-                in_path,
-                out_path,
-                source_db=source_db,
-                target_db=target_db,
-                partition_keys=keys[name],
-                options=options,
-            )
+            if ledger is None:
+                rows = convert(name)
+            else:
+                read_path, write_path = (f"{base.rstrip('/')}/{name}" for base in (in_path, out_path))
+                table = describe_table(spark, f"{target_db}.{name}")
+                rows = _once(spark, ledger, name, read_path, write_path, table, convert)
         except Exception as error:
             raise ConversionFailed(name, report) from error
-        report.append((done.dataset, done.rows_read))
+        report.append((name, rows))
     logger.info("%d datasets converted", len(report))
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 
+def _once(
+    spark: SparkSession,
+    ledger: RunLedger,
+    dataset: str,
+    read_path: str,
+    write_path: str,
+    table: TableDescription | None,
+    convert: Callable[[str, str], int],
+) -> int:
+    """Rows of ``dataset`` after the steps that the ledger does not have yet."""
+    mark = fingerprint(spark, read_path)
+    state, rows = ledger.state(dataset, mark)
+    if state == DONE:
+        return rows
+    staged = ledger.staged_path(dataset, mark)
+    if state != STAGED or not is_whole(spark, staged):
+        ledger.note(dataset, mark, STARTED, None)
+        rows = convert(dataset, staged)
+        ledger.note(dataset, mark, STAGED, rows)
+    put_in_place(spark, staged, write_path, table)
+    ledger.note(dataset, mark, DONE, rows)
+    return rows
+
+
 def find_target(spark: SparkSession, target_db: str, dataset: str) -> TableDescription | None:
     """The table whose types a dataset is cast to; None, with a warning, without one."""
     table = describe_table(spark, f"{target_db}.{dataset}")
@@ -209,8 +268,24 @@ def _require_known_order(
         raise ValueError(f"{dataset}: declare a raw table, its text has no header")
 
 
-def _announce(spark: SparkSession, table: TableDescription) -> None:
-    """Make new files visible through the declared table."""
-    if table.partition_columns:
-        spark.catalog.recoverPartitions(table.name)
+def announce(
+    spark: SparkSession, table: TableDescription, partitions: Iterable[Sequence[str | None]]
+) -> None:
+    """Make new files visible through the declared table: those of ``partitions`` are new."""
+    add_partitions(spark, table, partitions)
     spark.catalog.refreshTable(table.name)
+
+
+def put_in_place(
+    spark: SparkSession, staged_path: str, write_path: str, table: TableDescription | None
+) -> None:
+    """Move staged files to ``write_path`` and show them through ``table``.
+
+    Partitions are registered before files are moved, so that a repeated call, which finds
+    only the rest of the files, misses none.
+    """
+    if table is not None:
+        add_partitions(spark, table, partitions_in(spark, staged_path, table.partition_columns))
+    publish(spark, staged_path, write_path)
+    if table is not None:
+        spark.catalog.refreshTable(table.name)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -15,6 +16,10 @@ logger = logging.getLogger(__name__)
 # Codecs of the conversion.
 CODECS = ("snappy", "gzip", "none")
 DEFAULT_CODEC = "snappy"
+#: Hadoop setting: a folder gets a mark when a write into it has ended.
+MARK_FINISHED = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+#: Mode of a write that replaces the partitions it has rows for.
+REPLACE_PARTITIONS = "replace_partitions"
 
 
 def choose_codec(name: str) -> str:
@@ -47,27 +52,58 @@ def laid_out(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *map(column, keys)) if keys else df
 
 
-def write_parquet(
+@dataclass(frozen=True)
+class Written:
+    """Rows of a write, and the partitions it wrote to (values as text, None for null)."""
+
+    rows: int
+    partitions: tuple[tuple[str | None, ...], ...] = ()
+
+
+def write_counted(
     df: DataFrame,
     path: str,
     compression: str = DEFAULT_CODEC,
     partition_keys: str | Sequence[str] | None = None,
     mode: str = "append",
     rebalance: bool = True,
-) -> int:
-    """Write ``df`` and return the number of rows, counted by the write itself.
+) -> Written:
+    """Write ``df``; its rows and partitions are counted by the write itself.
 
     The count sits above the rebalance, in the writing stage. A lost executor
     repeats tasks of that stage, and Spark adds the counter of each task once.
+    With the mode "replace_partitions" the partitions written to lose what they had, and
+    others stay.
     """
     keys = split_keys(partition_keys)
     require_keys(keys, df.columns, path)
+    if mode == REPLACE_PARTITIONS and not keys:
+        raise ValueError(f"{path}: only a partitioned write can replace partitions")
     counter = Observation()
-    rows = (laid_out(df, keys) if rebalance else df).observe(
-        counter, F.count(F.lit(1)).alias("rows")
-    )
-    writer = rows.write.mode(mode).option("compression", choose_codec(compression))
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if keys:
+        values = [column(key).cast("string").alias(f"k{n}") for n, key in enumerate(keys)]
+        metrics.append(F.collect_set(F.struct(*values)).alias("partitions"))
+    rows = (laid_out(df, keys) if rebalance else df).observe(counter, *metrics)
+    writer = rows.write.option("compression", choose_codec(compression)).option(MARK_FINISHED, "true")
+    if mode == REPLACE_PARTITIONS:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode(mode).option("partitionOverwriteMode", "static")
     if keys:
         writer = writer.partitionBy(*keys)
     writer.parquet(path)
-    return counter.get["rows"]
+    found = counter.get
+    return Written(found["rows"], tuple(map(tuple, found.get("partitions") or ())))
+
+
+def write_parquet(
+    df: DataFrame,
+    path: str,
+    compression: str = DEFAULT_CODEC,
+    partition_keys: str | Sequence[str] | None = None,
+    mode: str = "append",
+    rebalance: bool = True,
+) -> int:
+    """Write ``df`` and return the number of rows."""
+    return write_counted(df, path, compression, partition_keys, mode, rebalance).rows

@@ -7,7 +7,7 @@ every file of the table first, which is slow for a large location.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -19,6 +19,8 @@ from tableforge.sources.text import RAW_TABLE_FORMAT, TextFormat
 
 # Types that stay text in a raw table.
 TYPES_KEPT_AS_TEXT = ("date", "timestamp")
+#: Partitions that one statement registers.
+PARTITIONS_AT_ONCE = 200
 
 
 @dataclass(frozen=True)
@@ -149,6 +151,23 @@ def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {quoted_path(table)}")
 
 
+def add_partitions(
+    spark: SparkSession, table: TableDescription, partitions: Iterable[Sequence[str | None]]
+) -> None:
+    """Register ``partitions`` (values as text, in the order of the keys), those that are new.
+
+    Nothing is listed, however many partitions the table has.
+    """
+    found = list(dict.fromkeys(tuple(value or None for value in values) for values in partitions))
+    keys = list(map(quoted, table.partition_columns))
+    for at in range(0, len(found), PARTITIONS_AT_ONCE):
+        specs = []
+        for values in found[at : at + PARTITIONS_AT_ONCE]:
+            shown = ["NULL" if value is None else literal(value) for value in values]
+            specs.append(f"PARTITION ({', '.join(f'{k} = {v}' for k, v in zip(keys, shown, strict=True))})")
+        spark.sql(f"ALTER TABLE {quoted_path(table.name)} ADD IF NOT EXISTS {' '.join(specs)}")
+
+
 @contextmanager
 def use_database(spark: SparkSession, database: str | None) -> Iterator[None]:
     """Make ``database`` the default for unqualified names, then go back."""

@@ -3,19 +3,31 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 from pyspark.sql.types import StringType
 
 from tableforge.names import Columns
 from tableforge.operators.casting import cast_to_columns
-from tableforge.operators.conversion import ConversionOptions, find_target, keys_of_target
-from tableforge.sinks.parquet import choose_codec, laid_out, require_keys, split_keys
-from tableforge.sources.catalog import describe_table
+from tableforge.operators.conversion import (
+    ConversionOptions,
+    find_target,
+    keys_of_target,
+    put_in_place,
+)
+from tableforge.sinks.parquet import (
+    choose_codec,
+    laid_out,
+    require_keys,
+    split_keys,
+    write_counted,
+)
+from tableforge.sinks.publish import is_whole
+from tableforge.sources.catalog import TableDescription, describe_table
 from tableforge.sources.datasets import (
     TOO_MANY_VALUES,
     ExtraValues,
@@ -53,11 +65,13 @@ def convert_new_files(
     The files have the format and columns of ``source_db.<dataset>``. The target
     columns are ``target``, or those of ``target_db.<dataset>``.
 
-    The checkpoint remembers files, and the sink's log makes each file appear
-    exactly once even after a failed run. Give incremental output a folder of
-    its own: readers of a folder with such a log see only the files in it.
-    ``max_bytes_per_batch`` bounds what a failure repeats. Files are always appended;
-    another ``options.mode`` is refused.
+    The checkpoint remembers files. A declared target table shows the rows after the call: each
+    batch is written whole beside the checkpoint, moved to the table's folder once, and the
+    partitions it wrote are registered (no others are listed). A batch that is repeated
+    after a failure goes on where it was. Without such a table the sink's log makes each
+    file appear exactly once; give that output a folder of its own, as readers of a folder
+    with such a log see only the files in it. ``max_bytes_per_batch`` bounds what a
+    failure repeats. Files are always appended; another ``options.mode`` is refused.
     """
     if options.mode != "append":
         raise ValueError(f"new files are appended, mode {options.mode!r} is not possible")
@@ -92,16 +106,12 @@ def convert_new_files(
         declared=table is not None,
     )
     require_keys(keys, typed.columns, dataset)
-    writer = (
-        (laid_out(typed, keys) if options.rebalance else typed)
-        .writeStream.format("parquet")
-        .option("path", write_path)
-        .option("checkpointLocation", checkpoint)
-        .option("compression", choose_codec(options.compression))
-        .trigger(availableNow=True)
-    )
-    if keys:
-        writer = writer.partitionBy(*keys)
+    if table is not None:
+        staged = f"{checkpoint.rstrip('/')}.staged"
+        writer = typed.writeStream.foreachBatch(_commit(table, keys, staged, write_path, options))
+        writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    else:
+        writer = _file_sink(typed, keys, write_path, checkpoint, options)
     counter = _RowCounter()
     spark.streams.addListener(counter)
     try:
@@ -114,9 +124,43 @@ def convert_new_files(
         raise
     finally:
         spark.streams.removeListener(counter)
+        if table is not None:
+            # Batches run in a session of their own, which keeps another list of files.
+            spark.catalog.refreshTable(table.name)
     return IncrementalRun(dataset, rows, write_path)
 
 
+def _file_sink(
+    typed: DataFrame, keys: Sequence[str], write_path: str, checkpoint: str, options: ConversionOptions
+) -> DataStreamWriter:
+    writer = (
+        (laid_out(typed, keys) if options.rebalance else typed)
+        .writeStream.format("parquet")
+        .option("path", write_path)
+        .option("checkpointLocation", checkpoint)
+        .option("compression", choose_codec(options.compression))
+        .trigger(availableNow=True)
+    )
+    return writer.partitionBy(*keys) if keys else writer
+
+
+def _commit(
+    table: TableDescription,
+    keys: Sequence[str],
+    staged_base: str,
+    write_path: str,
+    options: ConversionOptions,
+) -> Callable[[DataFrame, int], None]:
+    def commit(batch: DataFrame, number: int) -> None:
+        """Put the rows of a batch in place; a second call with its number changes nothing."""
+        staged = f"{staged_base}/{number}"
+        if not is_whole(batch.sparkSession, staged):
+            write_counted(batch, staged, options.compression, keys, "overwrite", options.rebalance)
+        put_in_place(batch.sparkSession, staged, write_path, table)
+
+    return commit
+
+
 class _RowCounter(StreamingQueryListener):
     """Rows read by each batch of each run; Spark itself keeps only the last batches."""
 

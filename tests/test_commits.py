@@ -1,0 +1,205 @@
+"""Output put in place once: incremental runs, repeated batches and resumed databases."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from conftest import plan_of, values, write_lines
+from pyspark.sql import functions as F
+
+from tableforge import (
+    ConversionFailed,
+    ConversionOptions,
+    convert_database,
+    convert_dataset,
+    convert_new_files,
+    declare_database,
+)
+from tableforge.operators import conversion
+from tableforge.operators.conversion import put_in_place
+from tableforge.operators.ledger import RunLedger, fingerprint
+from tableforge.sinks.parquet import write_counted
+from tableforge.sinks.publish import is_whole, partitions_in, publish
+from tableforge.sources.catalog import describe_table
+from tableforge.streaming.incremental import _commit
+
+SCHEMA = {"sales": "id INT, day DATE, note STRING"}
+
+
+@pytest.fixture
+def declared(spark, folder, database):
+    """Raw and typed databases over folders; typed tables are partitioned as asked."""
+    made = []
+
+    def declare(schemas=SCHEMA, partition_by=None):
+        typed = f"{database}_typed"
+        spark.sql(f"CREATE DATABASE {typed} LOCATION '{folder}/{typed}'")
+        declare_database(spark, "raw", database, schemas, f"{folder}/in")
+        declare_database(spark, "typed", typed, schemas, f"{folder}/out", partition_by=partition_by)
+        for name in schemas:
+            os.makedirs(f"{folder}/in/{name}")
+        made.append(typed)
+        return database, typed
+
+    return declare
+
+
+def shown(spark, table):
+    return sorted(values(spark.table(table).selectExpr("id", "CAST(day AS STRING)", "note")), key=str)
+
+
+@pytest.mark.parametrize("keys", [None, ["note"], ["day", "note"]])
+def test_readers_of_a_declared_table_see_each_run(spark, folder, declared, keys):
+    raw, typed = declared(partition_by={"sales": keys or []})
+    expected = []
+    for k, lines in enumerate((["1|2024-01-01|a/b", "2||"], ["3|2024-01-01|a/b", "4|2024-01-02|é = ü"], [], ["5|bad|%20"])):
+        write_lines(f"{folder}/in/sales", lines, f"part-{k}.txt") if lines else None
+        run = convert_new_files(spark, "sales", f"{folder}/in", f"{folder}/out", f"{folder}/log", raw, typed)
+        for line in lines:
+            i, day, note = line.split("|")
+            expected.append((int(i), day if day.startswith("20") else None, note or None))
+        assert run.rows_read == len(lines)
+        assert shown(spark, f"{typed}.sales") == sorted(expected, key=str)
+        other = spark.newSession()
+        assert other.table(f"{typed}.sales").count() == len(expected)
+    if keys:
+        listed = spark.sql(f"SHOW PARTITIONS {typed}.sales").count()
+        assert listed == len({row[2] if keys == ["note"] else row[1:] for row in expected})
+
+
+def test_a_repeated_batch_adds_nothing(spark, folder, declared):
+    raw, typed = declared(partition_by={"sales": ["note"]})
+    table = describe_table(spark, f"{typed}.sales")
+    batch = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, note string")
+    batch = batch.withColumn("day", F.lit("2024-01-01").cast("date"))
+    commit = _commit(table, ["note"], f"{folder}/staged", f"{folder}/out/sales", ConversionOptions())
+    for _ in range(3):
+        commit(batch, 0)
+        assert spark.table(f"{typed}.sales").count() == 3
+    commit(batch, 1)
+    assert spark.table(f"{typed}.sales").count() == 6
+
+
+def test_a_move_that_was_interrupted_goes_on(spark, folder, declared):
+    raw, typed = declared(partition_by={"sales": ["note"]})
+    table = describe_table(spark, f"{typed}.sales")
+    rows = spark.range(40).selectExpr("CAST(id AS INT) AS id", "DATE'2024-01-01' AS day", "CAST(id % 4 AS STRING) AS note")
+    staged, goal = f"{folder}/staged", f"{folder}/out/sales"
+    write_counted(rows, goal, partition_keys=["note"])
+    write_counted(rows, staged, partition_keys=["note"])
+    assert is_whole(spark, staged) and not is_whole(spark, f"{folder}/nothing")
+    assert sorted(partitions_in(spark, staged, ["note"])) == [("0",), ("1",), ("2",), ("3",)]
+    # As after a crash: one folder is gone from the staged files, one file moved by itself.
+    for name in os.listdir(f"{staged}/note=0"):
+        os.rename(f"{staged}/note=0/{name}", f"{goal}/note=0/{name}")
+    put_in_place(spark, staged, goal, table)
+    assert spark.table(f"{typed}.sales").count() == 80
+    publish(spark, staged, goal)
+    put_in_place(spark, staged, goal, table)
+    assert spark.table(f"{typed}.sales").count() == 80
+
+
+def test_only_new_partitions_are_registered(spark, folder, declared, monkeypatch):
+    raw, typed = declared(partition_by={"sales": ["note"]})
+    monkeypatch.setattr("tableforge.sources.catalog.PARTITIONS_AT_ONCE", 2)
+
+    def listed(*args):
+        raise AssertionError("the whole table was listed")
+
+    monkeypatch.setattr(type(spark.catalog), "recoverPartitions", listed)
+    write_lines(f"{folder}/in/sales", [f"{k}|2024-01-01|n{k}" for k in range(5)] + ["9|2024-01-01|"])
+    convert_dataset(spark, "sales", f"{folder}/in", f"{folder}/out", raw, typed)
+    assert spark.table(f"{typed}.sales").count() == 6
+    found = {row.partition for row in spark.sql(f"SHOW PARTITIONS {typed}.sales").collect()}
+    assert found == {*(f"note=n{k}" for k in range(5)), "note=__HIVE_DEFAULT_PARTITION__"}
+    assert values(spark.table(f"{typed}.sales").where("note IS NULL").select("id")) == [(9,)]
+
+
+def test_partitions_are_replaced_one_by_one(spark, folder, declared):
+    raw, typed = declared(partition_by={"sales": ["note"]})
+    write_lines(f"{folder}/in/sales", ["1|2024-01-01|a", "2|2024-01-01|b", "3|2024-01-01|"])
+    write_lines(f"{folder}/again/sales", ["7|2024-01-02|a", "8|2024-01-02|c"])
+    options = ConversionOptions(mode="replace_partitions")
+    convert_dataset(spark, "sales", f"{folder}/in", f"{folder}/out", raw, typed, options=options)
+    convert_dataset(spark, "sales", f"{folder}/again", f"{folder}/out", raw, typed, options=options)
+    assert [row[0] for row in shown(spark, f"{typed}.sales")] == [2, 3, 7, 8]
+    with pytest.raises(ValueError, match="partitioned write"):
+        convert_dataset(
+            spark, "sales", f"{folder}/again", f"{folder}/flat", raw, target=[("id", "int")], options=options
+        )
+
+
+SHOP = {name: "id INT, note STRING" for name in ("a", "b", "c", "d")}
+
+
+@pytest.fixture
+def shop(spark, folder, declared):
+    raw, typed = declared(SHOP, {"b": ["note"]})
+    for n, name in enumerate(SHOP, start=1):
+        write_lines(f"{folder}/in/{name}", [f"{k}|x{k % 2}" for k in range(n * 10)])
+
+    def run():
+        report = convert_database(
+            spark, raw, typed, f"{folder}/in", f"{folder}/out", ledger_path=f"{folder}/ledger"
+        )
+        return values(report)
+
+    def counts():
+        return [spark.table(f"{typed}.{name}").count() for name in SHOP]
+
+    return run, counts
+
+
+EXPECTED = [("a", 10), ("b", 20), ("c", 30), ("d", 40)]
+
+
+@pytest.mark.parametrize("step", ["convert_dataset", "put_in_place"])
+@pytest.mark.parametrize("after", [False, True])
+def test_a_run_that_failed_is_repeated_as_it_was(spark, shop, monkeypatch, step, after):
+    run, counts = shop
+    plain, calls = getattr(conversion, step), []
+
+    def broken(*args, **kwargs):
+        calls.append(1)
+        if len(calls) != 3:
+            return plain(*args, **kwargs)
+        if after:
+            plain(*args, **kwargs)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(conversion, step, broken)
+        with pytest.raises(ConversionFailed) as failed:
+            run()
+    assert (failed.value.dataset, failed.value.report) == ("c", EXPECTED[:2])
+    assert run() == EXPECTED and counts() == [10, 20, 30, 40]
+    # Nothing is left to do, and nothing is done.
+    monkeypatch.setattr(conversion, "convert_dataset", None)
+    assert run() == EXPECTED and counts() == [10, 20, 30, 40]
+
+
+def test_changed_files_are_converted_again(spark, folder, shop):
+    run, counts = shop
+    run()
+    before = fingerprint(spark, f"{folder}/in/a")
+    write_lines(f"{folder}/in/a", ["1|new"], "more.txt")
+    assert fingerprint(spark, f"{folder}/in/a") != before
+    assert run()[0] == ("a", 11) and counts()[0] == 21
+    ledger = RunLedger(spark, f"{folder}/ledger")
+    assert {state for state, _ in ledger.known.values()} == {"done"} and len(ledger.known) == 5
+
+
+def test_a_ledger_only_appends(spark, shop, folder):
+    with pytest.raises(ValueError, match="appends"):
+        convert_database(
+            spark, "x", "y", folder, folder, ["a"], ledger_path=folder, options=ConversionOptions(mode="overwrite")
+        )
+
+
+def test_partitions_are_counted_in_the_same_pass(spark, folder):
+    rows = spark.range(100).selectExpr("id", "id % 3 AS k", "IF(id % 7 = 0, NULL, 'v') AS l")
+    done = write_counted(rows, f"{folder}/out", partition_keys=["k", "l"])
+    assert done.rows == 100
+    assert sorted(done.partitions, key=str) == sorted([(str(k), v) for k in range(3) for v in (None, "v")], key=str)
+    assert "PartitionFilters" in plan_of(spark.read.parquet(f"{folder}/out").where("k = 1"))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import partial, reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableforge import (
     BatchOptions,
+    ConversionFailed,
     ConversionOptions,
     convert_database,
+    convert_dataset,
     convert_new_files,
     declare_database,
     declare_parquet_table,
@@ -160,6 +164,79 @@ def convert_incremental_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _declared_twice(spark: SparkSession, sf_dir: str, keys: list[str]) -> DataFrame:
+    """Rows of a declared table after two incremental runs, the table read in between."""
+    raw, typed, label = new_database(spark, "raw"), new_database(spark, "typed"), "orders"
+    landing, out, log = (new_folder(spark, name) for name in ("landing", "declared", "log"))
+    schemas = {label: TEXT_TABLES[label]}
+    declare_database(spark, "raw", raw, schemas, landing)
+    declare_database(spark, "typed", typed, schemas, out, partition_by={label: keys})
+    orders = as_text(table(spark, sf_dir, label))
+    finished = F.col("o_orderstatus").eqNullSafe("F")
+    seen = []
+    for arrival in (orders.filter(finished), orders.filter(~finished), None):
+        if arrival is not None:
+            write_text(arrival, f"{landing}/{label}", PLAIN)
+        convert_new_files(spark, label, landing, out, log, source_db=raw, target_db=typed)
+        seen.append(spark.table(f"{typed}.{label}").count())
+    names = [name for name, _ in columns_of(TEXT_TABLES[label])]
+    rows = comparable(spark.table(f"{typed}.{label}").select(*names))
+    return rows.select("*", *(F.lit(n).cast("bigint").alias(f"seen_{i}") for i, n in enumerate(seen, start=1)))
+
+
+def convert_incremental_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _declared_twice(spark, sf_dir, [])
+
+
+def convert_incremental_declared_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _declared_twice(spark, sf_dir, ["o_orderstatus", "o_orderpriority"])
+
+
+def convert_replaced_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second conversion that brings one key again, with other rows; other keys stay."""
+    raw, typed, label = new_database(spark, "raw"), new_database(spark, "typed"), "orders"
+    first, second, out = (new_folder(spark, name) for name in ("first", "second", "replaced"))
+    schemas = {label: TEXT_TABLES[label]}
+    declare_database(spark, "raw", raw, schemas, first)
+    declare_database(spark, "typed", typed, schemas, out, partition_by={label: ["o_orderstatus"]})
+    orders = as_text(table(spark, sf_dir, label))
+    write_text(orders, f"{first}/{label}", PLAIN)
+    again = orders.where("o_orderstatus = 'F'").withColumn("o_totalprice", F.lit("1.00"))
+    write_text(again.where("cast(o_orderkey as bigint) % 2 = 0"), f"{second}/{label}", PLAIN)
+    options = ConversionOptions(mode="replace_partitions")
+    for base in (first, second):
+        convert_dataset(spark, label, base, out, source_db=raw, target_db=typed, options=options)
+    return spark.table(f"{typed}.{label}").groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("order_count"), F.sum("o_totalprice").cast("string").alias("total")
+    )
+
+
+def convert_database_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that fails in its third dataset and is repeated as it was, twice."""
+    raw, typed = new_database(spark, "raw"), new_database(spark, "typed")
+    text, out, ledger = (new_folder(spark, name) for name in ("text", "resumed", "ledger"))
+    names = ["customer", "nation", "orders", "supplier"]
+    schemas = {name: TEXT_TABLES[name] for name in names}
+    declare_database(spark, "raw", raw, schemas, text)
+    declare_database(spark, "typed", typed, schemas, out, partition_by={"customer": ["c_mktsegment"]})
+    for name in names:
+        write_text(as_text(table(spark, sf_dir, name)), f"{text}/{name}", PLAIN)
+    too_wide = spark.createDataFrame([("9|9|F|1|1997-01-01|x|y|z",)], "value string")
+    too_wide.write.mode("append").text(f"{text}/orders")
+    run = partial(convert_database, spark, raw, typed, text, out, datasets=names, ledger_path=ledger)
+    before = -1
+    try:
+        run()
+    except ConversionFailed as failed:
+        before = len(failed.report)
+    write_text(as_text(table(spark, sf_dir, "orders")), f"{text}/orders", PLAIN, "overwrite")
+    run()
+    found = [run()]
+    for name in names:
+        found.append(spark.table(f"{typed}.{name}").agg(F.count(F.lit(1))).select(F.lit(f"rows of {name}"), "*"))
+    return reduce(DataFrame.union, found).withColumn("done_before", F.lit(before))
+
+
 QUERIES = {
     "external_text_table": external_text_table,
     "external_parquet_table": external_parquet_table,
@@ -169,6 +246,10 @@ QUERIES = {
     "insert_rows": insert_rows,
     "convert_incremental": convert_incremental,
     "convert_incremental_report": convert_incremental_report,
+    "convert_incremental_declared": convert_incremental_declared,
+    "convert_incremental_declared_partitions": convert_incremental_declared_partitions,
+    "convert_replaced_partitions": convert_replaced_partitions,
+    "convert_database_resumed": convert_database_resumed,
 }
 
 ORACLES = {
@@ -222,4 +303,27 @@ ORACLES = {
                CAST(0 AS BIGINT) AS run_3
         FROM orders GROUP BY o_orderstatus
     """,
+    **dict.fromkeys(
+        ["convert_incremental_declared", "convert_incremental_declared_partitions"],
+        """
+        SELECT o_orderkey, o_custkey, o_orderstatus,
+               CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS o_totalprice,
+               CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority,
+               'o_orderdate date, o_totalprice decimal(15,2)' AS types,
+               (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS seen_1,
+               (SELECT count(*) FROM orders) AS seen_2, (SELECT count(*) FROM orders) AS seen_3
+        FROM orders
+    """,
+    ),
+    "convert_replaced_partitions": """
+        SELECT o_orderstatus, count(*) AS order_count,
+               CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1.00 ELSE CAST(o_totalprice AS DECIMAL(15,2)) END) AS VARCHAR) AS total
+        FROM orders WHERE o_orderstatus <> 'F' OR o_orderkey % 2 = 0
+        GROUP BY o_orderstatus
+    """,
+    "convert_database_resumed": " UNION ALL ".join(
+        f"SELECT '{kind}{name}' AS dataset, count(*) AS rows_read, 2 AS done_before FROM {name}"
+        for name in ("customer", "nation", "orders", "supplier")
+        for kind in ("", "rows of ")
+    ),
 }

@@ -47,8 +47,10 @@ def as_text(df: DataFrame) -> DataFrame:
     )
 
 
-def write_text(df: DataFrame, path: str, text_format: TextFormat = RAW_TABLE_FORMAT) -> None:
-    df.write.mode("append").options(
+def write_text(
+    df: DataFrame, path: str, text_format: TextFormat = RAW_TABLE_FORMAT, mode: str = "append"
+) -> None:
+    df.write.mode(mode).options(
         **text_format.options(),
         emptyValue="",
         ignoreLeadingWhiteSpace=False,
