@@ -1,12 +1,13 @@
-"""Exact line deduplication: hashes are shuffled, texts are not.
+"""Exact line deduplication by range-partitioned hashes.
 
 Lines of at least ``min_chars`` code points become rows of hash, document and
-position. The hashes are range-partitioned with the document as a secondary key, so
-the rows of a hash that fills a third of the corpus lie in many tasks. Hash aggregates
-stand in for streaming sorted runs: Spark removes the sort below ``distinct``. Each task
-groups its rows by hash and document, then by hash, and sends on one row per hash: how many
-documents it saw and the last of them. The result goes back as a bitmap for each
-document, in words of 64 lines of which those without a dropped line are left out.
+position. These are range-partitioned by hash and document, so the rows of a hash that
+fills a third of the corpus lie in many tasks, and each task sorts its rows by hash, document
+and position. The first row of each run of a document is its first occurrence of the line;
+these are streamed into a count of documents and the last of them by hash, a row for each
+hash and task. The result goes back as a bitmap for each document, in words of 64 lines
+of which those without a dropped line are left out. The rows of lines hold no text; texts are
+shuffled once, with the other columns, to meet their bitmaps.
 
 Null and empty texts are one empty line. Documents are told apart by ``doc_id`` (null is
 one document too); rows that share an id count once and are each filtered by their own
@@ -15,7 +16,7 @@ lines. Extra columns are kept; a helper column never takes a name that is there.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tableforge.llm.common import BLANKS, UPPER, ascii_lower, documents, whole_text, written
@@ -45,10 +46,11 @@ def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
 def repeated_lines(occurrences: DataFrame, min_documents: int) -> DataFrame:
     """Keys found in at least ``min_documents`` documents, with the largest ``doc_id``."""
     keys = ["key", "key2"]
-    ranged = occurrences.select(*keys, "doc_id").repartitionByRange(*keys, "doc_id")
-    # A range of (key, document) holds all rows of a pair: no further shuffle here.
-    pairs = ranged.sortWithinPartitions(*keys, "doc_id").distinct()
-    runs = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("owner"))
+    ranged = occurrences.select(*keys, "doc_id", "pos").repartitionByRange(*keys, "doc_id")
+    # A range of (key, document) holds all rows of a pair: one sort, no further shuffle here.
+    run = Window.partitionBy(*keys, "doc_id").orderBy("pos")
+    firsts = ranged.withColumn("nth", F.row_number().over(run)).where("nth = 1")
+    runs = firsts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("owner"))
     return runs.where(F.col("n") >= min_documents).select(*keys, "owner")
 
 

@@ -6,7 +6,7 @@ import gzip
 from collections import Counter
 
 import pytest
-from conftest import SMALL
+from conftest import SMALL, plan_of
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -239,6 +239,17 @@ def test_warc(spark):
     assert warc.read_warc(spark, out).collect() == []
 
 
+def test_first_occurrences_are_streamed_from_one_sort(spark):
+    rows = spark.range(1000).selectExpr("id % 7 AS key", "CAST(id % 7 AS INT) AS key2", "id % 50 AS doc_id", "CAST(id AS INT) AS pos")
+    done = line_dedup.repeated_lines(rows, 5)
+    assert sorted(map(tuple, done.collect())) == [(k, k, 49) for k in range(7)]
+    plan = plan_of(done, "simple").split("+- ")
+    steps = [step.split("(")[0].split(" [")[0].strip() for step in plan]
+    window, ranged = steps.index("Window"), next(k for k, step in enumerate(plan) if "rangepartitioning" in step)
+    between = [step for step in steps[window:ranged] if step in ("Sort", "Exchange")]
+    assert between == ["Sort"] and "pos" in plan[steps.index("Sort", window)]
+
+
 def test_classifier_without_labels_of_its_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
