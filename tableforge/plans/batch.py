@@ -3,15 +3,11 @@
 from __future__ import annotations
 
 import logging
-import re
-import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from tableforge.functions.script_text import PREVIEW_LENGTH
 from tableforge.plans.scripts import read_scripts, statement_table
@@ -22,56 +18,22 @@ logger = logging.getLogger(__name__)
 
 REPORT_SCHEMA = "statement_no int, preview string, has_results boolean, row_count bigint"
 DOUBLE_QUOTED_NAMES = "spark.sql.ansi.doubleQuotedIdentifiers"
-
-# What Spark's INSERT has before the query, and words where that query cannot be observed.
-_NAME = r'(?:`[^`]*`|"[^"]*"|\w+)'
-_TARGET = re.compile(
-    rf"insert\s+(?:into|overwrite)\s+(?:table\s+)?{_NAME}(?:\s*\.\s*{_NAME})*"
-    r"(?:\s+partition\s*\([^)]*\))?(?:\s+if\s+not\s+exists)?"
-    rf"(?:\s+by\s+name|\s*\(\s*(?!select\b|with\b|from\b|table\b|values\b){_NAME}(?:\s*,\s*{_NAME})*\s*\))?"
-    r"(?=[\s(])",
-    re.IGNORECASE,
-)
-# Blanks and comments; quoted text; brackets; words.
-_LEADING = re.compile(r"(?:\s+|--[^\n]*(?:\n|$)|/\*.*?\*/)*", re.DOTALL)
-_TOKEN = re.compile(
-    r"--[^\n]*|/\*.*?\*/|'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|[()]|\w+", re.DOTALL
-)
-
-
-def split_insert(statement: str) -> tuple[str, str] | None:
-    """What stands before the query of an INSERT, and the query; None for other statements.
-
-    A ``WITH`` before the INSERT belongs to the query.
-    """
-    text = statement[_LEADING.match(statement).end() :]
-    if re.match(r"with\b", text, re.IGNORECASE):
-        depth = 0
-        for token in _TOKEN.finditer(text):
-            depth += {"(": 1, ")": -1}.get(token[0], 0)
-            if not depth and token[0].lower() == "insert":
-                break
-        else:
-            return None
-        common, text = text[: token.start()], text[token.start() :]
-    else:
-        common = ""
-    target = _TARGET.match(text)
-    if target is None:
-        return None
-    query = text[target.end() :]
-    if common and re.match(r"\s*with\b", query, re.IGNORECASE):
-        return None
-    return target[0], common + query
+#: Names of the commands that an INSERT becomes (fixed values).
+WRITES_OF_INSERT = ("Execute Insert", "AppendData", "Overwrite")
 
 
 @dataclass(frozen=True)
 class BatchOptions:
-    """``double_quoted_names`` reads ``"x"`` as a name; it is then no string."""
+    """``double_quoted_names`` reads ``"x"`` as a name; it is then no string.
+
+    With ``quotes`` a script folder is taken apart with regard to quotes (see
+    ``functions.script_text``).
+    """
 
     database: str | None = None
     result_format: str = "csv"
     double_quoted_names: bool = False
+    quotes: bool = False
 
 
 class StatementFailed(RuntimeError):
@@ -119,7 +81,8 @@ def run_script_folder(
     options: BatchOptions = BatchOptions(),
 ) -> DataFrame:
     """Run the scripts below ``path``, by file name, as one batch."""
-    table = statement_table(read_scripts(spark, path)).orderBy("script_id", "statement_no")
+    found = statement_table(read_scripts(spark, path), quotes=options.quotes)
+    table = found.orderBy("script_id", "statement_no")
     rows: Iterator[Row] = table.toLocalIterator()
     return run_batch(spark, (row["statement"] for row in rows), output_path, options)
 
@@ -131,37 +94,48 @@ def _run(
     output_path: str | None,
     options: BatchOptions,
 ) -> tuple[bool, int | None]:
-    insert = split_insert(statement)
-    if insert is not None:
-        return False, _insert(spark, statement, *insert)
     result = spark.sql(statement)
     if not result.columns:
-        return False, None
+        return False, inserted_rows(result)
     if output_path is None:
         return True, result.count()
     path = f"{output_path.rstrip('/')}/{number}"
     return True, write_result(result, path, options.result_format)
 
 
-def _insert(spark: SparkSession, statement: str, target: str, query: str) -> int | None:
-    """Run an INSERT from an observed view of its query; returns the rows inserted.
+def inserted_rows(done: DataFrame) -> int | None:
+    """Rows that the INSERTs of a statement have written, by the count of each write itself.
 
-    A query that means something only inside the INSERT (``VALUES (DEFAULT)``)
-    runs as written, and its count is not known.
+    ``done`` is the result of ``spark.sql``, which has run the statement. None for a
+    statement without INSERT, and for a table whose connector does not count.
     """
-    try:
-        rows = spark.sql(query)
-    except AnalysisException:
-        spark.sql(statement)
-        logger.warning("Number of inserted rows not known: %s", preview(statement))
-        return None
-    counter, view = Observation(), f"inserted_{uuid.uuid4().hex}"
-    rows.observe(counter, F.count(F.lit(1)).alias("rows")).createTempView(view)
-    try:
-        spark.sql(f"{target} SELECT * FROM {view}")
-    finally:
-        spark.catalog.dropTempView(view)
-    return counter.get["rows"]
+    counts = [rows for rows in map(_rows_written, _commands(done)) if rows is not None]
+    return sum(counts) if counts else None
+
+
+def _commands(done: DataFrame) -> Iterator:
+    """The commands of an executed statement: one, or several below a union."""
+    todo = [done._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "CommandResultExec":
+            todo.append(node.commandPhysicalPlan())
+        elif kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind == "ResultQueryStageExec":
+            todo.append(node.plan())
+        elif kind == "UnionExec":
+            children = node.children()
+            todo += [children.apply(k) for k in range(children.size())]
+        else:
+            yield node
+
+
+def _rows_written(command) -> int | None:
+    rows = command.metrics().get("numOutputRows")
+    inserts = command.nodeName().startswith(WRITES_OF_INSERT)
+    return rows.get().value() if inserts and rows.isDefined() else None
 
 
 @contextmanager

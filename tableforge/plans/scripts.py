@@ -34,17 +34,18 @@ def statement_table(
     id_column: str = "script_id",
     text_column: str = "script",
     partitions: int | None = None,
+    quotes: bool = False,
 ) -> DataFrame:
     """One row ``(script_id, statement_no, statement)`` per statement, numbered from 1.
 
     A script is taken apart where it is read; nothing is shuffled. Only for few large
     files, read by fewer tasks than there are cores, give ``partitions`` to deal the
-    scripts out first.
+    scripts out first. With ``quotes`` separators and comment marks between quotes are text.
     """
     if partitions is not None:
         scripts = scripts.repartition(partitions)
     return scripts.select(
-        column(id_column).alias("script_id"), F.posexplode(statements(column(text_column)))
+        column(id_column).alias("script_id"), F.posexplode(statements(column(text_column), quotes))
     ).select(
         "script_id",
         (F.col("pos") + 1).alias("statement_no"),

@@ -47,9 +47,13 @@ def test_rows_inserted_by_each_form(spark, folder, database):
         (f"INSERT INTO {name} BY NAME SELECT 'f' AS k, 14 AS id", 1),
         (f" -- indented\n/* insert */ INSERT INTO {name} VALUES (15, 'f')", 1),
         (f"INSERT INTO {name} TABLE {database}.s", 2),
-        (f"INSERT INTO {name} VALUES (10, DEFAULT)", None),
+        (f"INSERT INTO {name} VALUES (10, DEFAULT)", 1),
         (f"INSERT OVERWRITE {name} PARTITION (k = 'a') VALUES (2), (3)", 2),
         (f"INSERT INTO {name} SELECT id, 'none' FROM range(3) WHERE id > 9", 0),
+        (f"FROM range(3) INSERT INTO {database}.s SELECT id, 'm' INSERT INTO {database}.s SELECT id, 'm' WHERE id > 0", 5),
+        (f"INSERT INTO {name} SELECT count(*), 'none' FROM range(9) WHERE id > 9 GROUP BY id", 0),
+        (f"INSERT INTO {database}.s SELECT max(id), 'm' FROM range(9) GROUP BY id % 3", 3),
+        (f"CREATE OR REPLACE VIEW {database}.v AS SELECT 'INSERT INTO x SELECT 1' AS w", None),
     ]
     report = run_batch(spark, [text for text, _ in forms])
     assert values(report.select("row_count")) == [(count,) for _, count in forms]
@@ -119,5 +123,17 @@ def test_scripts_of_a_folder_in_order(spark, folder, database):
     ]
 
 
+def test_scripts_with_regard_to_quotes(spark, folder, database):
+    scripts = Path(folder) / "scripts"
+    scripts.mkdir()
+    (scripts / "1.sql").write_text(
+        "CREATE TABLE t (a STRING) USING parquet; -- no ; here\n"
+        "INSERT INTO t VALUES ('x;--y'), ('it\\'s; /* so */'), (\"a;b\"); /* ; */ SELECT a FROM t WHERE a LIKE '%;%'"
+    )
+    report = run_script_folder(spark, str(scripts), f"{folder}/out", BatchOptions(database, "parquet", quotes=True))
+    assert values(report.select("row_count")) == [(None,), (3,), (3,)]
+    assert sorted(values(spark.read.parquet(f"{folder}/out/3"))) == [("a;b",), ("it's; /* so */",), ("x;--y",)]
+
+
 def test_empty_batch(spark):
     assert values(run_batch(spark, [])) == []

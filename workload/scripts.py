@@ -81,6 +81,30 @@ def script_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("script_id", "page_id")
 
 
+#: Whole texts between quotes of each kind and in a hint, with ``;`` and comment marks all over.
+QUOTED_TEXT = "replace(replace(text, chr(92), repeat(chr(92), 2)), chr(39), concat(chr(92), chr(39)))"
+QUOTED_PARTS = {
+    "single": f"concat('SELECT ', chr(39), {QUOTED_TEXT}, ';--', chr(39))",
+    "hint": "concat('SELECT /*+ ', replace(text, '*/', '* /'), ';*/ 1')",
+    "double": "concat('SELECT ', chr(34), replace(replace(text, chr(92), ''), chr(34), ''), ';/*', chr(34))",
+    "backtick": "concat('SELECT ', chr(96), replace(text, chr(96), ''), chr(92), chr(96), ' - 1 / 2')",
+}
+
+
+def script_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Separators and comment marks between quotes are text; comments go wherever they start."""
+    texts = table(spark, sf_dir, "documents").selectExpr(
+        "doc_id", "replace(coalesce(text, ''), chr(13), '') AS text"
+    )
+    comments = [
+        "concat('--', replace(text, chr(10), ' '), ';', chr(10))",
+        "concat('/* ', replace(text, '*/', '* /'), ';*/')",
+    ]
+    parts = [f"{part}, {comments[k % 2]}" for k, part in enumerate(QUOTED_PARTS.values())]
+    script = f"concat({', chr(59), '.join(parts)})"
+    return statement_table(texts.selectExpr("doc_id AS script_id", f"{script} AS script"), quotes=True)
+
+
 SAMPLE_SCRIPT = """;
 SELECT avg(p_retailprice) AS mean_price, max(p_size) AS largest FROM part_of_sample;
    -- segments and their balances, only named ones
@@ -148,6 +172,29 @@ def insert_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("form", F.col("row_count").cast("string").alias("told"), "stored")
 
 
+def insert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Default values, several targets of one query, and partitions replaced: the writes count."""
+    database = new_database(spark, "counts")
+    table(spark, sf_dir, "customer").createOrReplaceTempView("customer_in_counts")
+    few = "SELECT c_custkey, c_mktsegment FROM customer_in_counts WHERE c_acctbal < 0"
+    report = run_batch(
+        spark,
+        [
+            "CREATE TABLE all_of (id BIGINT, segment STRING DEFAULT 'none') USING parquet",
+            "CREATE TABLE by_segment (id BIGINT, segment STRING) USING parquet PARTITIONED BY (segment)",
+            "INSERT INTO all_of VALUES (-1, DEFAULT), (-2, 'x')",
+            "INSERT INTO all_of (id) SELECT c_custkey FROM customer_in_counts",
+            "FROM customer_in_counts INSERT INTO all_of SELECT c_custkey, c_mktsegment "
+            "INSERT INTO by_segment SELECT c_custkey, c_mktsegment WHERE c_acctbal < 0",
+            f"INSERT OVERWRITE by_segment PARTITION (segment = 'few') SELECT c_custkey FROM ({few})",
+            "SELECT segment FROM all_of WHERE segment = 'none'",
+            "SELECT id FROM by_segment",
+        ],
+        options=BatchOptions(database=database),
+    )
+    return _printed(report.select("statement_no", "has_results", "row_count"))
+
+
 def declare_between_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count with quoted names, declare a table over text, count that."""
     database, out = new_database(spark, "between"), new_folder(spark, "results")
@@ -246,8 +293,10 @@ QUERIES = {
     "script_comments": script_comments,
     "script_files": script_files,
     "script_previews": script_previews,
+    "script_quotes": script_quotes,
     "sample_script": sample_script,
     "insert_forms": insert_forms,
+    "insert_counts": insert_counts,
     "declare_between_counts": declare_between_counts,
     "sql_batch_report": sql_batch_report,
     "sql_batch_result": sql_batch_result,
@@ -307,6 +356,13 @@ ORACLES = {
                CAST(length(statement) AS INTEGER) AS statement_length
         FROM ({_statements_oracle("pages", "page_id", "script_id", PAGE_SCRIPT)})
     """,
+    "script_quotes": f"""
+        WITH texts AS (SELECT doc_id, replace(coalesce(text, ''), chr(13), '') AS text FROM documents)
+        {" UNION ALL ".join(
+            f"SELECT doc_id AS script_id, CAST({number} AS INTEGER) AS statement_no, {part} AS statement FROM texts"
+            for number, part in enumerate(QUOTED_PARTS.values(), start=1)
+        )}
+    """,
     "sample_script": """
         SELECT CAST(statement_no AS INTEGER) AS statement_no, true AS has_results,
                CAST(rows AS BIGINT) AS row_count, CAST(rows AS BIGINT) AS rows_written,
@@ -327,6 +383,13 @@ ORACLES = {
               UNION ALL SELECT unnest(['values', 'values']))
         GROUP BY form
     """,
+    "insert_counts": """
+        WITH n AS (SELECT count(*) AS everyone, count(*) FILTER (c_acctbal < 0) AS few FROM customer)
+        SELECT CAST(k AS INTEGER) AS statement_no, k > 6 AS has_results,
+               CAST(CASE k WHEN 3 THEN 2 WHEN 4 THEN everyone WHEN 5 THEN everyone + few WHEN 6 THEN few
+                    WHEN 7 THEN everyone + 1 WHEN 8 THEN 2 * few END AS VARCHAR) AS row_count
+        FROM n, range(1, 9) AS r(k)
+    """,
     "declare_between_counts": """
         SELECT CAST(1 AS INTEGER) AS statement_no, count(*) AS row_count FROM customer
         UNION ALL SELECT CAST(3 AS INTEGER), count(*) FROM orders
