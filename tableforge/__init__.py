@@ -24,6 +24,7 @@ from tableforge.sources.catalog import (
 )
 from tableforge.sources.datasets import ExtraValues, scan_catalog_table, scan_dataset
 from tableforge.sources.text import TextFormat, scan_text
+from tableforge.streaming.file_ledger import convert_changed_files
 from tableforge.streaming.incremental import IncrementalRun, convert_new_files
 
 __all__ = [
@@ -37,6 +38,7 @@ __all__ = [
     "TextFormat",
     "build_session",
     "cast_to_columns",
+    "convert_changed_files",
     "convert_database",
     "convert_dataset",
     "convert_new_files",

@@ -60,10 +60,10 @@ def with_extra_values(text: DataFrame, text_format: TextFormat, rule: str) -> Da
 def scan_catalog_table(
     spark: SparkSession,
     table: str | TableDescription,
-    path: str | None = None,
+    path: str | Sequence[str] | None = None,
     extra_values: str = "ignore",
 ) -> DataFrame:
-    """Rows of a catalog table under its declared types, read from ``path`` where given."""
+    """Rows of a catalog table under its declared types, read from ``path`` (or paths) where given."""
     entry = describe_table(spark, table) if isinstance(table, str) else table
     if entry is None:
         raise ValueError(f"no such table: {table}")

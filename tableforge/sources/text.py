@@ -122,7 +122,7 @@ def values_beyond(line: Column, width: int, text_format: TextFormat) -> Column:
 
 def scan_text(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     text_format: TextFormat = TextFormat(),
     names: Sequence[str] | None = None,
     uneven: bool = False,
@@ -136,6 +136,7 @@ def scan_text(
     values differs from the number of columns; such a scan reads all columns.
     """
     reader = spark.read.options(**text_format.options()).option("recursiveFileLookup", True)
+    path = path if isinstance(path, str) else list(path)
     if names is None:
         found = reader.csv(path)
         if text_format.header and not _has_equal_names(spark, path, text_format):

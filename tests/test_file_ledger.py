@@ -1,0 +1,121 @@
+"""Files found by path, length and time, and batches put in place once."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from conftest import values, write_lines
+
+from tableforge import ConversionOptions, ExtraValues, convert_changed_files, declare_database
+from tableforge.streaming import file_ledger
+from tableforge.streaming.file_ledger import FileLedger, exactly, list_files
+
+SCHEMA = {"sales": "id INT, day DATE"}
+
+
+@pytest.fixture
+def raw(spark, folder, database) -> str:
+    declare_database(spark, "raw", database, SCHEMA, f"{folder}/in")
+    declare_database(spark, "typed", f"{database}_typed", SCHEMA, f"{folder}/out", partition_by={"sales": ["day"]})
+    os.makedirs(f"{folder}/in/sales")
+    return database
+
+
+def run(spark, folder, raw, **kwargs):
+    base = (f"{folder}/in", f"{folder}/out", f"{folder}/ledger", raw, f"{raw}_typed")
+    return convert_changed_files(spark, "sales", *base, **kwargs).rows_read
+
+
+def ids(spark, raw):
+    return sorted(row[0] for row in values(spark.table(f"{raw}_typed.sales").select("id")))
+
+
+def test_new_and_changed_files(spark, folder, raw):
+    base = f"{folder}/in/sales"
+    assert run(spark, folder, raw) == 0
+    write_lines(base, ["1|2024-01-01", "2|"])
+    write_lines(f"{base}/deep", ["3|2024-01-01"], "a[1]{x,y}*?.txt")
+    assert run(spark, folder, raw) == 3
+    assert run(spark, folder, raw) == 0
+    # Longer under its old name; then another time with the same length.
+    write_lines(base, ["4|2024-01-01", "5|", "6|bad"])
+    assert run(spark, folder, raw) == 3
+    write_lines(base, ["7|2024-01-01", "8|", "9|bad"])
+    os.utime(f"{base}/part-0.txt", (1_000_000_000, 1_000_000_000))
+    assert run(spark, folder, raw) == 3
+    os.remove(f"{base}/part-0.txt")
+    assert run(spark, folder, raw) == 0
+    assert ids(spark, raw) == list(range(1, 10))
+    assert spark.newSession().table(f"{raw}_typed.sales").count() == 9
+    known = FileLedger(spark, f"{folder}/ledger/sales").known()
+    assert known.count() == 4 and known.select("path").distinct().count() == 2
+
+
+def test_batches_by_bytes_and_by_files(spark, folder, raw):
+    for k in range(7):
+        write_lines(f"{folder}/in/sales", [f"{k}|2024-01-0{k + 1}"] * (50 if k == 3 else 2), f"p{k}.txt")
+    assert run(spark, folder, raw, max_files_per_batch=2, max_bytes_per_batch=200) == 62
+    ledger = FileLedger(spark, f"{folder}/ledger/sales")
+    files = spark.read.schema(file_ledger.FILES_SCHEMA).parquet(f"{ledger.path}/files")
+    assert sorted(r["count"] for r in files.groupBy("batch").count().collect()) == [1, 1, 1, 2, 2]
+    assert ledger.done == 5 and ledger.waiting is None
+
+
+@pytest.mark.parametrize("step", ["plan", "write_counted", "staged", "put_in_place", "done"])
+def test_a_run_that_fails_at_any_step_is_repeated(spark, folder, raw, monkeypatch, step):
+    for k in range(3):
+        write_lines(f"{folder}/in/sales", [f"{k}|2024-01-01", f"{k + 10}|"], f"p{k}.txt")
+    calls = []
+
+    def failing(real, when):
+        def call(*args, **kwargs):
+            # What was called has happened in full; the run learns nothing of it.
+            done = real(*args, **kwargs)
+            if when(args):
+                calls.append(1)
+                if len(calls) == 2:
+                    raise OSError("lost")
+            return done
+
+        return call
+
+    with monkeypatch.context() as patch:
+        if step in ("write_counted", "put_in_place"):
+            patch.setattr(file_ledger, step, failing(getattr(file_ledger, step), lambda args: True))
+        elif step == "plan":
+            patch.setattr(FileLedger, "plan", failing(FileLedger.plan, lambda args: True))
+        else:
+            patch.setattr(FileLedger, "note", failing(FileLedger.note, lambda args: args[2] == step))
+        with pytest.raises(OSError, match="lost"):
+            run(spark, folder, raw, max_files_per_batch=1)
+    write_lines(f"{folder}/in/sales", ["7|"], "later.txt")
+    told = run(spark, folder, raw)
+    assert ids(spark, raw) == [0, 1, 2, 7, 10, 11, 12]
+    assert told == (3 if step == "done" else 5)
+
+
+def test_a_mended_file_is_read_as_it_is_now(spark, folder, raw):
+    write_lines(f"{folder}/in/sales", ["1|2024-01-01|x"])
+    with pytest.raises(ExtraValues):
+        run(spark, folder, raw)
+    write_lines(f"{folder}/in/sales", ["1|2024-01-01"])
+    assert run(spark, folder, raw) == 1 and run(spark, folder, raw) == 0
+    assert ids(spark, raw) == [1]
+    with pytest.raises(ValueError, match="appended"):
+        run(spark, folder, raw, options=ConversionOptions(mode="overwrite"))
+
+
+def test_without_a_table_and_without_files(spark, folder, raw):
+    write_lines(f"{folder}/in/sales", ["1|2024-01-01"])
+    base = (f"{folder}/in", f"{folder}/plain", f"{folder}/other", raw)
+    assert convert_changed_files(spark, "sales", *base).rows_read == 1
+    assert values(spark.read.parquet(f"{folder}/plain/sales")) == [(1, "2024-01-01")]
+    with pytest.raises(ValueError, match="no such text table"):
+        convert_changed_files(spark, "nothing", *base)
+
+
+def test_listing_opens_no_file(spark, folder):
+    write_lines(f"{folder}/x", ["abc"], "a b.txt")
+    assert [(os.path.basename(p), n) for p, n, _ in values(list_files(spark, f"{folder}/x"))] == [("a b.txt", 4)]
+    assert exactly("/a[1]/b") == "/a\\[1\\]/b"
