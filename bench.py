@@ -50,6 +50,7 @@ HEADLINES = [
     "convert_gzip",
     "convert_partitioned_all",
     "convert_database",
+    "convert_database_at_once",
     "convert_incremental",
     "script_statements",
     "sql_batch_report",

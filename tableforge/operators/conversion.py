@@ -7,7 +7,9 @@ over the text. Without partition keys nothing is shuffled.
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -19,6 +21,7 @@ from tableforge.functions.casts import DATE_FORMAT, TIME_OF_DAY_FORMAT
 from tableforge.names import Columns, column
 from tableforge.operators.casting import cast_to_columns
 from tableforge.operators.ledger import DONE, STAGED, STARTED, RunLedger, fingerprint
+from tableforge.session import session_like
 from tableforge.sinks.parquet import DEFAULT_CODEC, require_keys, split_keys, write_counted
 from tableforge.sinks.publish import is_whole, partitions_in, publish
 from tableforge.sources.catalog import (
@@ -27,12 +30,13 @@ from tableforge.sources.catalog import (
     describe_table,
     list_datasets,
 )
-from tableforge.sources.datasets import TOO_MANY_VALUES, ExtraValues, scan_dataset
-from tableforge.sources.text import EXTRA_VALUES, TextFormat
+from tableforge.sources.datasets import TOO_MANY_VALUES, ExtraValues, lost_values, scan_dataset
+from tableforge.sources.text import EXTRA_VALUES, TEXT_THERE, TextFormat
 
 logger = logging.getLogger(__name__)
 
 REPORT_SCHEMA = "dataset string, rows_read bigint"
+LOST_SCHEMA = "lost map<string, bigint>"
 
 
 @dataclass(frozen=True)
@@ -41,7 +45,8 @@ class ConversionOptions:
 
     ``extra_values`` says what happens to values beyond the columns of a row: "error"
     writes nothing, "keep" adds a column ``extra_values`` with the list of them, "ignore"
-    does not look (and reads no more columns than it must).
+    does not look (and reads no more columns than it must). ``count_losses`` counts, in the same
+    pass, the values of each column that have text and end as NULL.
     """
 
     text_format: TextFormat = field(default_factory=TextFormat)
@@ -51,10 +56,11 @@ class ConversionOptions:
     timestamp_format: str = TIME_OF_DAY_FORMAT
     rebalance: bool = True
     extra_values: str = "error"
+    count_losses: bool = False
 
 
 class ConversionFailed(RuntimeError):
-    """A dataset failed. ``report`` has the rows of the datasets converted before it."""
+    """A dataset failed. ``report`` has the rows of the datasets that are converted."""
 
     def __init__(self, dataset: str, report: list[tuple[str, int]]):
         super().__init__(f"{dataset} failed after {len(report)} converted datasets")
@@ -68,6 +74,8 @@ class ConvertedDataset:
     rows_read: int
     path: str
     schema: StructType
+    #: Values lost in casts, by column, where ``count_losses`` asks for them; others are not named.
+    lost: Mapping[str, int] = field(default_factory=dict, kw_only=True)
     spark: SparkSession = field(repr=False, compare=False)
 
     @cached_property
@@ -109,7 +117,14 @@ def convert_dataset(
 
     def scan(extra_values: str) -> DataFrame:
         return scan_dataset(
-            spark, dataset, read_path, source_db, options.text_format, names, extra_values
+            spark,
+            dataset,
+            read_path,
+            source_db,
+            options.text_format,
+            names,
+            extra_values,
+            options.count_losses,
         )
 
     typed = cast_to_columns(
@@ -120,6 +135,7 @@ def convert_dataset(
         declared=table is not None,
     )
     require_keys(keys, typed.columns, dataset)
+    kept = [name for name in typed.columns if name not in (TEXT_THERE, EXTRA_VALUES)]
     try:
         done = write_counted(
             typed,
@@ -128,6 +144,8 @@ def convert_dataset(
             keys,
             "overwrite" if staged_path else options.mode,
             options.rebalance,
+            lost_values(kept) if options.count_losses else (),
+            TEXT_THERE if options.count_losses else None,
         )
     except Exception as error:
         if TOO_MANY_VALUES not in str(error):
@@ -140,7 +158,15 @@ def convert_dataset(
     logger.info("%s: %d rows", dataset, done.rows)
     if table is not None and not staged_path:
         announce(spark, table, done.partitions)
-    return ConvertedDataset(dataset, done.rows, staged_path or write_path, typed.schema, spark)
+    lost = {name: done.metrics.get(f"lost{k}") for k, name in enumerate(kept)}
+    return ConvertedDataset(
+        dataset,
+        done.rows,
+        staged_path or write_path,
+        typed.drop(TEXT_THERE).schema,
+        lost={name: number for name, number in lost.items() if number},
+        spark=spark,
+    )
 
 
 def convert_database(
@@ -153,6 +179,7 @@ def convert_database(
     partition_keys: str | Sequence[str] | Mapping[str, str | Sequence[str]] | None = None,
     options: ConversionOptions = ConversionOptions(),
     ledger_path: str | None = None,
+    at_once: int = 1,
 ) -> DataFrame:
     """Convert every table of ``source_db``, or the ``datasets`` named.
 
@@ -165,7 +192,14 @@ def convert_database(
     this output, has the state of each dataset and its files. What is done is not done again,
     unless the files have changed; what was written whole is only put in place; everything
     else begins anew in a folder of its own. The report has all datasets.
+
+    ``at_once`` datasets are converted side by side, each from a thread and a session of its own, in
+    a scheduler pool of its name. After a failure no further one begins, those that run are
+    finished, and the report has all that are converted. With ``options.count_losses`` the report has
+    a third column, ``lost``: values lost by column name (not with a ledger, which has no such count).
     """
+    if ledger_path is not None and options.count_losses:
+        raise ValueError("a run with a ledger does not count losses")
     if ledger_path is not None and options.mode != "append":
         raise ValueError(f"a run with a ledger appends, mode {options.mode!r} is not possible")
     names = list(datasets) if datasets is not None else list_datasets(spark, source_db)
@@ -178,9 +212,9 @@ def convert_database(
             keys_of_target(name, describe_table(spark, f"{target_db}.{name}"), keys[name])
     ledger = None if ledger_path is None else RunLedger(spark, ledger_path)
 
-    def convert(name: str, staged_path: str | None = None) -> int:
+    def convert(session: SparkSession, name: str, staged_path: str | None = None) -> ConvertedDataset:
         return convert_dataset(
-            spark,
+            session,
             name,
             in_path,
             out_path,
@@ -189,22 +223,63 @@ def convert_database(
             partition_keys=keys[name],
             options=options,
             staged_path=staged_path,
-        ).rows_read
+        )
 
-    report: list[tuple[str, int]] = []
-    for name in names:
-        try:
-            if ledger is None:
-                rows = convert(name)
-            else:
-                read_path, write_path = (f"{base.rstrip('/')}/{name}" for base in (in_path, out_path))
-                table = describe_table(spark, f"{target_db}.{name}")
-                rows = _once(spark, ledger, name, read_path, write_path, table, convert)
-        except Exception as error:
-            raise ConversionFailed(name, report) from error
-        report.append((name, rows))
+    def row(session: SparkSession, name: str) -> tuple:
+        if ledger is None:
+            done = convert(session, name)
+            return (name, done.rows_read, dict(done.lost))[: 3 if options.count_losses else 2]
+        read_path, write_path = (f"{base.rstrip('/')}/{name}" for base in (in_path, out_path))
+        table = describe_table(session, f"{target_db}.{name}")
+
+        def stage(staged_path: str) -> int:
+            return convert(session, name, staged_path).rows_read
+
+        return name, _once(session, ledger, name, read_path, write_path, table, stage)
+
+    if at_once > 1:
+        report = _side_by_side(spark, names, row, at_once)
+        for name in names:
+            # The sessions of the threads keep other lists of files than this one.
+            if spark.catalog.tableExists(f"{target_db}.{name}"):
+                spark.catalog.refreshTable(f"{target_db}.{name}")
+    else:
+        report = []
+        for name in names:
+            try:
+                report.append(row(spark, name))
+            except Exception as error:
+                raise ConversionFailed(name, report) from error
     logger.info("%d datasets converted", len(report))
-    return spark.createDataFrame(report, REPORT_SCHEMA)
+    schema = f"{REPORT_SCHEMA}, {LOST_SCHEMA}" if options.count_losses else REPORT_SCHEMA
+    return spark.createDataFrame(report, schema)
+
+
+def _side_by_side(
+    spark: SparkSession, names: Sequence[str], row: Callable[[SparkSession, str], tuple], at_once: int
+) -> list[tuple]:
+    """Report rows in the order of ``names``, from ``at_once`` threads."""
+    failed = threading.Event()
+
+    def work(name: str) -> tuple | None:
+        if failed.is_set():
+            return None
+        session = session_like(spark)
+        session.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            return row(session, name)
+        except Exception:
+            failed.set()
+            raise
+
+    with ThreadPoolExecutor(at_once, "conversion") as threads:
+        runs = [(name, threads.submit(work, name)) for name in names]
+    report = [run.result() for _, run in runs if run.exception() is None]
+    report = [found for found in report if found is not None]
+    for name, run in runs:
+        if run.exception() is not None:
+            raise ConversionFailed(name, report) from run.exception()
+    return report
 
 
 def _once(
@@ -214,7 +289,7 @@ def _once(
     read_path: str,
     write_path: str,
     table: TableDescription | None,
-    convert: Callable[[str, str], int],
+    stage: Callable[[str], int],
 ) -> int:
     """Rows of ``dataset`` after the steps that the ledger does not have yet."""
     mark = fingerprint(spark, read_path)
@@ -224,7 +299,7 @@ def _once(
     staged = ledger.staged_path(dataset, mark)
     if state != STAGED or not is_whole(spark, staged):
         ledger.note(dataset, mark, STARTED, None)
-        rows = convert(dataset, staged)
+        rows = stage(staged)
         ledger.note(dataset, mark, STAGED, rows)
     put_in_place(spark, staged, write_path, table)
     ledger.note(dataset, mark, DONE, rows)

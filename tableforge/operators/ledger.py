@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,8 @@ class RunLedger:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        # Two writes into one folder at a time would take each other's files away.
+        self._one_at_a_time = threading.Lock()
         self.spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(f"{self.path}/steps")
         steps = spark.read.schema(LEDGER_SCHEMA).parquet(f"{self.path}/steps")
         last = steps.groupBy("dataset", "files").agg(F.max_by(F.struct("state", "rows_read"), "step").alias("last"))
@@ -38,10 +42,11 @@ class RunLedger:
         return self.known.get((dataset, files), (None, None))
 
     def note(self, dataset: str, files: str, state: str, rows: int | None) -> None:
-        self.step += 1
-        row = [(self.step, dataset, files, state, rows)]
-        self.spark.createDataFrame(row, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.path}/steps")
-        self.known[dataset, files] = (state, rows)
+        with self._one_at_a_time:
+            self.step += 1
+            row = self.spark.createDataFrame([(self.step, dataset, files, state, rows)], LEDGER_SCHEMA)
+            row.coalesce(1).write.mode("append").parquet(f"{self.path}/steps")
+            self.known[dataset, files] = (state, rows)
 
     def staged_path(self, dataset: str, files: str) -> str:
         return f"{self.path}/staged/{dataset}-{files}"

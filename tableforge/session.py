@@ -63,3 +63,12 @@ def bad_casts_give_null(spark: SparkSession) -> Iterator[None]:
             yield
         finally:
             spark.conf.set(ANSI_MODE, before)
+
+
+def session_like(spark: SparkSession) -> SparkSession:
+    """A session of its own for another thread: the settings of ``spark``, without its views."""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key) and other.conf.get(key, None) != value:
+            other.conf.set(key, value)
+    return other

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tableforge.names import column
@@ -54,10 +54,11 @@ def laid_out(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Written:
-    """Rows of a write, and the partitions it wrote to (values as text, None for null)."""
+    """Rows of a write, the partitions it wrote to (values as text, None for null), and ``metrics``."""
 
     rows: int
     partitions: tuple[tuple[str | None, ...], ...] = ()
+    metrics: Mapping[str, int] = field(default_factory=dict)
 
 
 def write_counted(
@@ -67,13 +68,16 @@ def write_counted(
     partition_keys: str | Sequence[str] | None = None,
     mode: str = "append",
     rebalance: bool = True,
+    extra_metrics: Sequence[Column] = (),
+    helper: str | None = None,
 ) -> Written:
     """Write ``df``; its rows and partitions are counted by the write itself.
 
     The count sits above the rebalance, in the writing stage. A lost executor
     repeats tasks of that stage, and Spark adds the counter of each task once.
     With the mode "replace_partitions" the partitions written to lose what they had, and
-    others stay.
+    others stay. ``extra_metrics`` are aggregates counted with the rows; the column ``helper``, which
+    only they need, is not written.
     """
     keys = split_keys(partition_keys)
     require_keys(keys, df.columns, path)
@@ -84,7 +88,8 @@ def write_counted(
     if keys:
         values = [column(key).cast("string").alias(f"k{n}") for n, key in enumerate(keys)]
         metrics.append(F.collect_set(F.struct(*values)).alias("partitions"))
-    rows = (laid_out(df, keys) if rebalance else df).observe(counter, *metrics)
+    rows = (laid_out(df, keys) if rebalance else df).observe(counter, *metrics, *extra_metrics)
+    rows = rows.drop(helper) if helper else rows
     writer = rows.write.option("compression", choose_codec(compression)).option(MARK_FINISHED, "true")
     if mode == REPLACE_PARTITIONS:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -93,8 +98,9 @@ def write_counted(
     if keys:
         writer = writer.partitionBy(*keys)
     writer.parquet(path)
-    found = counter.get
-    return Written(found["rows"], tuple(map(tuple, found.get("partitions") or ())))
+    found = dict(counter.get)
+    written = found.pop("rows"), tuple(map(tuple, found.pop("partitions", None) or ()))
+    return Written(*written, found)
 
 
 def write_parquet(

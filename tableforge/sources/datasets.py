@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableforge.functions.casts import read_declared
@@ -14,6 +14,7 @@ from tableforge.session import bad_casts_give_null
 from tableforge.sources.catalog import TableDescription, describe_table
 from tableforge.sources.text import (
     EXTRA_VALUES,
+    TEXT_THERE,
     UNEVEN_LINE,
     TextFormat,
     scan_text,
@@ -57,30 +58,52 @@ def with_extra_values(text: DataFrame, text_format: TextFormat, rule: str) -> Da
     return text.where(F.when(fine, True).otherwise(stop)).drop(UNEVEN_LINE)
 
 
+def with_text_there(rows: DataFrame) -> DataFrame:
+    """``rows`` with a last column that says, column by column, where they have a value."""
+    there = [column(name).isNotNull() for name in rows.columns if name != EXTRA_VALUES]
+    return rows.withColumn(TEXT_THERE, F.array(*there))
+
+
+def lost_values(names: Sequence[str]) -> list[Column]:
+    """Aggregates of typed rows: how many values of each column the casts have lost."""
+    there = column(TEXT_THERE)
+    return [
+        F.count(F.when(there[k] & column(name).isNull(), True)).alias(f"lost{k}")
+        for k, name in enumerate(names)
+    ]
+
+
 def scan_catalog_table(
     spark: SparkSession,
     table: str | TableDescription,
     path: str | Sequence[str] | None = None,
     extra_values: str = "ignore",
+    text_there: bool = False,
 ) -> DataFrame:
-    """Rows of a catalog table under its declared types, read from ``path`` (or paths) where given."""
+    """Rows of a catalog table under its declared types, read from ``path`` (or paths) where given.
+
+    With ``text_there`` a last column tells where the text had a value, whatever its type made of it.
+    """
     entry = describe_table(spark, table) if isinstance(table, str) else table
     if entry is None:
         raise ValueError(f"no such table: {table}")
     location = path or entry.location
     if not entry.is_text:
         reader = spark.read.format(entry.provider).schema(column_list(entry.columns))
-        return reader.option("recursiveFileLookup", True).load(location)
+        found = reader.option("recursiveFileLookup", True).load(location)
+        return with_text_there(found) if text_there else found
     names = [name for name, _ in entry.columns]
     text = scan_text(spark, location, entry.text_format, names, extra_values != "ignore")
-    return declared_types(with_extra_values(text, entry.text_format, extra_values), entry)
+    text = with_extra_values(text, entry.text_format, extra_values)
+    return declared_types(with_text_there(text) if text_there else text, entry)
 
 
 def declared_types(text: DataFrame, entry: TableDescription) -> DataFrame:
     """Text columns of a raw table under the types the table declares."""
     casts = [read_declared(column(name), t).alias(name) for name, t in entry.columns]
-    if EXTRA_VALUES in text.columns and EXTRA_VALUES not in dict(entry.columns):
-        casts.append(column(EXTRA_VALUES))
+    for name in (EXTRA_VALUES, TEXT_THERE):
+        if name in text.columns and name not in dict(entry.columns):
+            casts.append(column(name))
     with bad_casts_give_null(text.sparkSession):
         return text.select(*casts)
 
@@ -93,6 +116,7 @@ def scan_dataset(
     text_format: TextFormat = TextFormat(),
     names: Sequence[str] | None = None,
     extra_values: str = "ignore",
+    text_there: bool = False,
 ) -> DataFrame:
     """The dataset's catalog table read from ``path``, or plain text without one.
 
@@ -102,11 +126,12 @@ def scan_dataset(
     if source_db is not None:
         entry = describe_table(spark, f"{source_db}.{dataset}")
         if entry is not None:
-            return scan_catalog_table(spark, entry, path, extra_values)
+            return scan_catalog_table(spark, entry, path, extra_values, text_there)
         logger.warning("No table %s.%s, reading %s as plain text", source_db, dataset, path)
     uneven = extra_values != "ignore"
     if names is not None and not text_format.header:
         text = scan_text_by_position(spark, path, names, text_format, uneven)
     else:
         text = scan_text(spark, path, text_format, uneven=uneven)
-    return with_extra_values(text, text_format, extra_values)
+    rows = with_extra_values(text, text_format, extra_values)
+    return with_text_there(rows) if text_there else rows

@@ -70,6 +70,8 @@ def text_schema(names: Sequence[str]) -> StructType:
 UNEVEN_LINE = "__uneven_line"
 #: Name of the column for values beyond the others, where they are kept.
 EXTRA_VALUES = "extra_values"
+#: Column that says which columns of the scan have text (or any value), in their order.
+TEXT_THERE = "__text_there"
 
 
 def _one_of(*chars: str) -> str:

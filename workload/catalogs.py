@@ -76,6 +76,16 @@ def convert_whole_database(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _converted_pair(spark, sf_dir)[1]
 
 
+def convert_database_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four datasets side by side: the report, and the rows that this session sees."""
+    typed, report = _converted_pair(spark, sf_dir, at_once=4)
+    seen = [
+        spark.table(f"{typed}.{name}").agg(F.count(F.lit(1))).select(F.lit(f"rows of {name}"), "*")
+        for name in TEXT_TABLES
+    ]
+    return reduce(DataFrame.union, seen, report)
+
+
 def convert_whole_database_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report by names of the typed database, after declare and convert."""
     typed, _ = _converted_pair(spark, sf_dir)
@@ -276,6 +286,7 @@ QUERIES = {
     "external_text_table": external_text_table,
     "external_parquet_table": external_parquet_table,
     "convert_database": convert_whole_database,
+    "convert_database_at_once": convert_database_at_once,
     "convert_database_query": convert_whole_database_query,
     "convert_listed_datasets": convert_listed_datasets,
     "insert_rows": insert_rows,
@@ -304,6 +315,11 @@ ORACLES = {
     "convert_database": " UNION ALL ".join(
         f"SELECT '{name}' AS dataset, count(*) AS rows_read FROM {name}" for name in TEXT_TABLES
     ),
+    "convert_database_at_once": " UNION ALL ".join(
+        f"SELECT '{kind}{name}' AS dataset, count(*) AS rows_read FROM {name}"
+        for name in TEXT_TABLES
+        for kind in ("", "rows of ")
+    ),
     "convert_database_query": """
         SELECT l_returnflag, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate,
                count(*) AS line_count,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tableforge import (
     ConversionOptions,
     TextFormat,
+    convert_database,
     convert_dataset,
     declare_database,
     declare_text_table,
@@ -88,6 +89,34 @@ def convert_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(convert_declared(spark, staged_tables(spark, sf_dir), "lineitem"))
 
 
+#: Text that does not fit its type in known rows: name and SQL over orders.
+LOSSY_TEXTS = {
+    "o_orderkey": "o_orderkey",
+    "number": "CASE WHEN o_orderkey % 7 = 0 THEN 'seven' WHEN o_orderkey % 5 = 0 THEN NULL "
+    "ELSE concat(CAST(o_custkey AS STRING), '.5') END",
+    "day": "CASE WHEN o_orderkey % 3 = 0 THEN '2024-1-5' ELSE '2024-01-05' END",
+    "price": "CASE WHEN o_orderpriority = '1-URGENT' THEN '12 EUR' ELSE '12' END",
+    "status": "o_orderstatus",
+}
+LOSSY_TYPES = "o_orderkey bigint, number int, day date, price decimal(15,2), status string"
+
+
+def convert_lost_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values lost in casts, by column: a declared partitioned database, and plain text."""
+    base = derived_text(spark, sf_dir, "lossy", "orders", LOSSY_TEXTS)
+    raw, typed, out = new_database(spark, "raw"), new_database(spark, "typed"), new_folder(spark, "lossy")
+    declare_database(spark, "raw", raw, {"lossy": LOSSY_TYPES}, base)
+    declare_database(spark, "typed", typed, {"lossy": LOSSY_TYPES}, out, partition_by={"lossy": ["status"]})
+    options = ConversionOptions(text_format=PLAIN, count_losses=True)
+    report = convert_database(spark, raw, typed, base, out, options=options)
+    told = report.select(F.lit("declared").alias("way"), "rows_read", F.explode("lost").alias("name", "lost"))
+    plain = convert_dataset(
+        spark, "lossy", base, new_folder(spark, "plain"), target=columns_of(LOSSY_TYPES), options=options
+    )
+    rows = [("plain", plain.rows_read, name, lost) for name, lost in plain.lost.items()]
+    return told.union(spark.createDataFrame(rows, told.schema))
+
+
 # Texts around the borders of the number rule: name and SQL over lineitem.
 NUMBER_TEXTS = {
     "plain": "CAST(l_orderkey AS STRING)",
@@ -440,6 +469,7 @@ def convert_uneven_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "convert_lost_values": convert_lost_values,
     "convert_uneven_texts": convert_uneven_texts,
     "convert_orders": convert_orders,
     "convert_orders_report": convert_orders_report,
@@ -549,6 +579,16 @@ def _declared_oracle() -> str:
 
 
 ORACLES = {
+    "convert_lost_values": """
+        WITH found AS (
+            SELECT count(*) AS rows_read, count(*) FILTER (o_orderkey % 7 = 0) AS number,
+                   count(*) FILTER (o_orderkey % 3 = 0) AS day,
+                   count(*) FILTER (o_orderpriority = '1-URGENT') AS price FROM orders
+        )
+        SELECT way, rows_read, name, lost
+        FROM (UNPIVOT found ON number, day, price INTO NAME name VALUE lost),
+             (VALUES ('declared'), ('plain')) AS ways(way)
+    """,
     "convert_uneven_texts": r"""
         SELECT doc_id, length(note) AS n_chars, md5(note) AS note_md5,
                CASE WHEN doc_id % 3 = 0 AND doc_id % 5 <> 1 THEN 'more, of ' || doc_id END AS extra
