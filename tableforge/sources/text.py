@@ -19,8 +19,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 class TextFormat:
     """How rows are written in text files. An empty ``quote`` turns quoting off.
 
-    With ``multi_line`` quoted values may hold line breaks; such files cannot be split
-    over tasks.
+    With ``multi_line`` quoted values may hold line breaks. Such files are read by one task each, unless
+    ``split_records`` says that they are well formed, see ``sources.records``.
     """
 
     sep: str = ","
@@ -29,6 +29,7 @@ class TextFormat:
     header: bool = False
     null_value: str | None = None
     multi_line: bool = False
+    split_records: bool = False
 
     def options(self) -> dict[str, str]:
         options = {
@@ -39,6 +40,8 @@ class TextFormat:
         }
         if self.multi_line:
             options["multiLine"] = "true"
+        if self.split_records:
+            options["splitRecords"] = "true"
         if self.null_value is not None:
             options["nullValue"] = self.null_value
         return options
@@ -55,6 +58,7 @@ class TextFormat:
             header=given.get("header", "false").lower() == "true",
             null_value=given.get("nullvalue") or given.get("serialization.null.format"),
             multi_line=given.get("multiline", "false").lower() == "true",
+            split_records=given.get("splitrecords", "false").lower() == "true",
         )
 
 
@@ -139,13 +143,20 @@ def scan_text(
     """
     reader = spark.read.options(**text_format.options()).option("recursiveFileLookup", True)
     path = path if isinstance(path, str) else list(path)
+    check_header = False
     if names is None:
         found = reader.csv(path)
-        if text_format.header and not _has_equal_names(spark, path, text_format):
+        split = text_format.multi_line and text_format.split_records
+        check_header = text_format.header and not _has_equal_names(spark, path, text_format)
+        if check_header:
             reader = reader.option("enforceSchema", False)
-        elif not uneven:
+        elif not uneven and not split:
             return found
         names = found.columns
+    if text_format.multi_line and text_format.split_records and text_format.quote:
+        from tableforge.sources.records import scan_split_records
+
+        return scan_split_records(spark, path, text_format, names, uneven, check_header)
     schema = text_schema(names)
     if uneven:
         schema = schema.add(UNEVEN_LINE, StringType())

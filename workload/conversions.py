@@ -34,6 +34,10 @@ from workload.staging import (
 PLAIN = RAW_TABLE_FORMAT
 WITH_HEADER = TextFormat(header=True)
 QUOTED = TextFormat(sep="|", multi_line=True)
+#: Texts with quotes, escapes and separators before, between and after lines.
+SPLIT_TEXT = (
+    "concat(chr(34), '|', text, chr(10), chr(10), source, chr(92), chr(34), chr(10), '|', text, chr(34), 'end')"
+)
 
 
 def converted(
@@ -298,6 +302,17 @@ def convert_quote_escape(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def convert_split_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with line breaks, quotes and escapes, from files that are read in splits."""
+    texts = table(spark, sf_dir, "documents").selectExpr(
+        "CAST(doc_id AS STRING) AS doc_id", f"replace({SPLIT_TEXT}, chr(13), '') AS text", "source"
+    )
+    base = staged_table(spark, sf_dir, "documents_split", texts, QUOTED)
+    split = TextFormat(sep="|", multi_line=True, split_records=True)
+    target = "doc_id bigint, text string, source string"
+    return converted(spark, base, "documents_split", target, options=ConversionOptions(text_format=split))
+
+
 def convert_uneven_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of three to seven values under two named columns; the others are kept as a list."""
 
@@ -469,6 +484,7 @@ def convert_uneven_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "convert_split_records": convert_split_records,
     "convert_lost_values": convert_lost_values,
     "convert_uneven_texts": convert_uneven_texts,
     "convert_orders": convert_orders,
@@ -579,6 +595,10 @@ def _declared_oracle() -> str:
 
 
 ORACLES = {
+    "convert_split_records": f"""
+        SELECT doc_id, replace({SPLIT_TEXT.replace("concat(", "", 1)[:-1].replace(", ", " || ")}, chr(13), '') AS text, source
+        FROM documents
+    """,
     "convert_lost_values": """
         WITH found AS (
             SELECT count(*) AS rows_read, count(*) FILTER (o_orderkey % 7 = 0) AS number,
