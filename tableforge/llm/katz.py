@@ -4,7 +4,8 @@ The texts are cut into chunks of bounded size, written once as word numbers of t
 A chunk asks for what it does not know in requests of sorted, packed keys, one for each
 range of key hashes, and gets the answers back in the same order, so a pair that stands a
 million times in a chunk is one key of six bytes or so, and no word, pair or document meets
-all its like in one task:
+all its like in one task. The number of ranges follows the number of tokens, so a range has a
+bounded number of keys however large the corpus is:
 
 1. words: counts of all chunks are added up for each key range and returned;
 2. pairs: likewise; one chunk that has a pair is made its owner;
@@ -41,6 +42,8 @@ from tableforge.llm.common import documents, whole_text, written
 
 FOLDS, HELD_OUT_FOLD = 7, 2
 CHUNK_BYTES = 8 << 20
+#: Keys that a range has on average at most, which bounds the memory of its task.
+KEYS_PER_RANGE = 1 << 21
 GOOD_TURING = 5
 #: Counts of counts that the discounts need.
 COUNTS_OF_COUNTS = GOOD_TURING + 1
@@ -50,7 +53,7 @@ END = 0
 #: Shares of 1 travel as whole numbers of this unit, which add up alike in any order.
 UNIT = 1 << 39
 
-CHUNKS = "chunk long, ids array<long>, sizes binary, held binary, hashes binary, tokens binary"
+CHUNKS = "chunk long, ids array<long>, sizes binary, held binary, hashes binary, tokens binary, n_tokens long"
 ASKED = "chunk long, range int, keys binary, values binary"
 ANSWERED = "chunk long, range int, values binary, counts array<long>"
 SCORES = (
@@ -118,6 +121,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.
                     pack(np.concatenate(tokens)),
                 )
             ),
+            pa.array([sum(sizes)], pa.int64()),
         ]
         return pa.RecordBatch.from_arrays(columns, [part.split()[0] for part in CHUNKS.split(", ")])
 
@@ -398,8 +402,16 @@ def _score_with_weights(key: tuple, scored: pa.Table, answers: pa.Table) -> pa.T
     )
 
 
-def _asked_and_answered(requests: DataFrame, answer: Callable, label: str) -> DataFrame:
-    return written(requests.groupBy("range").applyInArrow(answer, ANSWERED), label)
+def _asked_and_answered(requests: DataFrame, answer: Callable, ranges: int, label: str) -> DataFrame:
+    dealt = requests.repartition(ranges // 2, "range")  # two ranges a task on average, at any size
+    return written(dealt.groupBy("range").applyInArrow(answer, ANSWERED), label)
+
+
+def _number_of_ranges(chunks: DataFrame) -> int:
+    """Ranges by the number of tokens; no chunk asks for more keys than it has tokens."""
+    tokens = chunks.agg(F.sum("n_tokens")).first()[0] or 0
+    least = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return 2 * max(least, -(-tokens // (2 * KEYS_PER_RANGE)))
 
 
 def score_texts(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -407,8 +419,6 @@ def score_texts(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
 
     ``chunk_bytes`` bounds the memory of a task; a longer text is a chunk of its own.
     """
-    spark = docs.sparkSession
-    ranges = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     doc_id = F.col("doc_id").cast("long")
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
     rows = docs.select(
@@ -417,10 +427,11 @@ def score_texts(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         whole_text(F.col("text")).alias("text"),
     )
     chunks = written(rows.mapInArrow(partial(_chunks, chunk_bytes=chunk_bytes), CHUNKS), "chunks")
+    ranges = _number_of_ranges(chunks)
     answers = {}
     for kind in ("words", "pairs"):
         asked = chunks.mapInArrow(_count_requests(kind == "pairs", ranges), ASKED)
-        answers[kind] = _asked_and_answered(asked, _answer_counts, kind)
+        answers[kind] = _asked_and_answered(asked, _answer_counts, ranges, kind)
     words, pairs = _discounts(answers["words"]), _discounts(answers["pairs"])
     told = None
     for kind, table in answers.items():
@@ -429,7 +440,7 @@ def score_texts(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     both = chunks.groupBy("chunk").cogroup(told.groupBy("chunk"))
     scored = written(both.applyInArrow(_score_without_weights(words, pairs), PARTIAL), "partial")
     asked = scored.select("chunk", "keys", "taken", "backed").mapInArrow(_weight_requests(ranges), ASKED)
-    weights = _asked_and_answered(asked, _answer_weights, "weights")
+    weights = _asked_and_answered(asked, _answer_weights, ranges, "weights")
     small = scored.drop("keys", "taken", "backed")
     both = small.groupBy("chunk").cogroup(weights.select("chunk", "range", "values").groupBy("chunk"))
     scores = both.applyInArrow(_score_with_weights, SCORES)
