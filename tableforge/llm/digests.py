@@ -13,10 +13,11 @@ digests of different tables compare. A text in which no window qualifies has one
 the whole text; the empty text has none, is like itself and nothing else.
 
 A document's successor is the next smaller id; after the smallest comes the largest. The
-documents are dealt into ranges of ids, and each range gets a copy of the one document
-that follows it, so texts are shuffled once. Null texts are empty. A null id comes last.
-Rows that share an id follow each other by text. With one row, it follows itself. An empty
-table gives an empty table; extra columns are not looked at.
+documents are dealt into ranges of ids and text hashes, and each range gets a copy of the one
+document that follows it, so texts are shuffled once. Rows that share an id follow each other
+by text, so an id (or the null id) with many rows is dealt over many ranges, and so are equal
+rows, which may change places. Null texts are empty. A null id comes last. With one row, it
+follows itself. An empty table gives an empty table; extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -24,13 +25,15 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableforge.llm.common import documents, whole_text
+from tableforge.llm.common import documents, whole_text, written
 
 WINDOW = 16
 NEIGHBOURS = 16
@@ -120,7 +123,10 @@ def digest(text: bytes, places: np.ndarray | None = None) -> bytes:
 
 
 def likeness(one: bytes, other: bytes) -> float:
-    """Mean, over the filters of the shorter digest, of the best match in the other."""
+    """Mean, over the filters of the shorter digest, of the best match in the other.
+
+    Of equally long digests each is held against the other, and the two means are averaged.
+    """
     if one == other:
         return 1.0
     if not one or not other:
@@ -129,6 +135,12 @@ def likeness(one: bytes, other: bytes) -> float:
         np.frombuffer(part, np.uint64).reshape(-1, _FILTER_BYTES // 8)
         for part in sorted((one, other), key=len)
     )
+    if 1 < len(a) == len(b):
+        return (_best_matches(a, b) + _best_matches(b, a)) / 2
+    return _best_matches(a, b)
+
+
+def _best_matches(a: np.ndarray, b: np.ndarray) -> float:
     size_b = np.bitwise_count(b).sum(axis=1, dtype=np.int64)
     scores = []
     for row in a:  # a row at a time: the filters of two long texts are many pairs
@@ -212,47 +224,95 @@ def _results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@dataclass(frozen=True)
+class RangeHeads:
+    """The first keys of the ranges, in the order of the documents: falling id, nulls last, hash.
+
+    ``falling`` are the inverted ids of the first ``len(falling)`` heads; the others have null
+    ids. ``hashes`` are those of all heads. Equal heads are those of rows that are equal.
+    """
+
+    falling: np.ndarray
+    hashes: np.ndarray
+
+    @classmethod
+    def of(cls, keys: DataFrame, ranges: int) -> RangeHeads:
+        """From a sort of ids and hashes into ranges; a row of each range comes to the driver."""
+        tie = F.monotonically_increasing_id()  # parts rows that are equal
+        dealt = keys.repartitionByRange(ranges, F.col("doc_id").desc_nulls_last(), "text_hash", tie)
+        order = F.struct(F.col("doc_id").isNull(), F.bitwise_not(F.col("doc_id")), F.col("text_hash"))
+        parts = dealt.select(F.spark_partition_id().alias("part"), order.alias("key"))
+        heads = sorted(
+            (no_id, falling or 0, text_hash)
+            for no_id, falling, text_hash in (
+                row["head"] for row in parts.groupBy("part").agg(F.min("key").alias("head")).collect()
+            )
+        )
+        return cls(
+            np.array([head[1] for head in heads if not head[0]], np.int64),
+            np.array([head[2] for head in heads], np.int64),
+        )
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def key(self, k: int) -> tuple[int | None, int]:
+        """Id and hash of the first row of range ``k``."""
+        doc_id = ~int(self.falling[k]) if k < len(self.falling) else None
+        return doc_id, int(self.hashes[k])
+
+    def find(self, ids: np.ndarray, no_id: np.ndarray, hashes: np.ndarray, ties: np.ndarray) -> np.ndarray:
+        """Range of each row, by binary search; rows equal to several heads are dealt over them."""
+        falling = np.where(no_id, 0, ~ids)
+        low = np.where(no_id, len(self.falling), np.searchsorted(self.falling, falling, "left"))
+        high = np.where(no_id, len(self), np.searchsorted(self.falling, falling, "right"))
+        begin, end = low.copy(), low.copy()
+        # Only rows of an id that some head has look at hashes as well.
+        near = np.flatnonzero(low < high)
+        for first in np.unique(low[near]):
+            rows = near[low[near] == first]
+            heads = self.hashes[first : high[rows[0]]]
+            begin[rows] = first + np.searchsorted(heads, hashes[rows], "left")
+            end[rows] = first + np.searchsorted(heads, hashes[rows], "right")
+        equal = end - begin
+        dealt = begin + ties % np.maximum(equal, 1)
+        return np.where(equal > 0, dealt, np.maximum(begin - 1, 0))
+
+    def part(self, doc_id: Column, text_hash: Column) -> Column:
+        def found(ids: pd.Series, no_id: pd.Series, hashes: pd.Series, ties: pd.Series) -> pd.Series:
+            columns = (column.to_numpy() for column in (ids, no_id, hashes, ties))
+            return pd.Series(self.find(*columns), dtype="int32")
+
+        search = F.pandas_udf(found, "int")
+        return search(F.coalesce(doc_id, F.lit(0)), doc_id.isNull(), text_hash, F.monotonically_increasing_id())
+
+
 def with_successors(texts: DataFrame) -> DataFrame:
     """``part, borrowed, doc_id, text``: ranges in order, each with the row that follows it.
 
-    The order is falling ``doc_id``, nulls last, then the text's hash. Bounds of the ranges
-    come from quantiles of the ids, and the first row of each range from an aggregation;
-    both have a row for each range.
+    The order is falling ``doc_id``, nulls last, then the text's hash. Ids and hashes are
+    written once, and sorted into ranges; the texts find theirs by the ranges' first keys.
     """
     spark = texts.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = texts.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     # Several ranges for each task, so that tasks get like amounts.
-    shares = [k / (4 * parts) for k in range(1, 4 * parts)]
-    quantiles = F.percentile_approx("doc_id", shares, 400 * parts)
-    bounds = sorted(set(texts.agg(quantiles.alias("bounds")).first()[0] or []))
-    limits = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<bigint>")
-    above = F.size(F.filter(limits, lambda bound: bound >= F.col("doc_id")))
-    part = F.when(F.col("doc_id").isNull(), len(bounds) + 1).otherwise(above).cast("int")
-    order = F.struct(F.col("doc_id").isNull(), F.bitwise_not(F.col("doc_id")), F.col("text_hash"))
-    rows = texts.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).withColumn("part", part)
-    firsts = [
-        (row["part"], row["head"]) for row in rows.groupBy("part").agg(F.min(order).alias("head")).sort("part").collect()
-    ]
-    if not firsts:
-        return rows.select("part", F.lit(False).alias("borrowed"), "doc_id", "text")
-    heads = [
-        (
-            firsts[k - 1][0],
-            head[1] is None,
-            0 if head[1] is None else ~head[1],
-            head[2],
-        )
-        for k, (_, head) in enumerate(firsts)
-    ]
-    lent = spark.createDataFrame(heads, "to int, no_id boolean, id long, hash long")
+    heads = RangeHeads.of(written(rows.select("doc_id", "text_hash"), "keys"), 4 * parts)
+    if not len(heads):
+        return rows.select(F.lit(0).alias("part"), F.lit(False).alias("borrowed"), "doc_id", "text")
+    lent: dict[tuple[int | None, int], list[int]] = {}
+    for k in range(len(heads)):
+        lent.setdefault(heads.key((k + 1) % len(heads)), []).append(k)
+    firsts = spark.createDataFrame(
+        [(doc_id, text_hash, to) for (doc_id, text_hash), to in lent.items()], "id long, hash long, to array<int>"
+    )
     copies = rows.join(
-        F.broadcast(lent),  # a row for each range
-        (F.col("text_hash") == F.col("hash"))
-        & (F.col("doc_id").isNull() == F.col("no_id"))
-        & (F.coalesce("doc_id", F.lit(0)) == F.col("id")),
-    ).dropDuplicates(["to"])
-    own = rows.withColumn("borrowed", F.lit(False)).select("part", "borrowed", "doc_id", "text", "text_hash")
-    copies = copies.select(F.col("to").alias("part"), F.lit(True).alias("borrowed"), "doc_id", "text", "text_hash")
+        F.broadcast(firsts),  # at most a row for each range
+        (F.col("text_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id")),
+    ).dropDuplicates(["doc_id", "text_hash"])
+    copies = copies.select(F.explode("to").alias("part"), F.lit(True).alias("borrowed"), "doc_id", "text", "text_hash")
+    part = heads.part(F.col("doc_id"), F.col("text_hash"))
+    own = rows.select(part.alias("part"), F.lit(False).alias("borrowed"), "doc_id", "text", "text_hash")
     dealt = own.union(copies).repartition(parts, "part")
     ordered = dealt.sortWithinPartitions("part", "borrowed", F.col("doc_id").desc_nulls_last(), "text_hash")
     return ordered.select("part", "borrowed", "doc_id", "text")
