@@ -9,8 +9,9 @@ bounded number of keys however large the corpus is:
 
 1. words: counts of all chunks are added up for each key range and returned;
 2. pairs: likewise; one chunk that has a pair is made its owner;
-3. backoff weights: owners send what their pairs take away from each history; the sums
-   give the weight that makes the probabilities after the history add up to one.
+3. backoff weights: owners send what discounting their pairs has left to each history, and
+   what the paired words have alone; the sums, in double precision throughout, give the
+   weight that makes the probabilities after the history add up to one.
 
 The answers are tables in the shared folder, partitioned by key range. Scores follow the
 recursion: the discounted share of the pair where training texts have it, else the
@@ -50,8 +51,6 @@ COUNTS_OF_COUNTS = GOOD_TURING + 1
 #: Loss of a count where the counts of counts give none.
 PLAIN_LOSS = 0.5
 END = 0
-#: Shares of 1 travel as whole numbers of this unit, which add up alike in any order.
-UNIT = 1 << 39
 
 CHUNKS = "chunk long, ids array<long>, sizes binary, held binary, hashes binary, tokens binary, n_tokens long"
 ASKED = "chunk long, range int, keys binary, values binary"
@@ -188,12 +187,14 @@ class Chunk:
         return np.unique(self.hashes, return_index=True, return_inverse=True)
 
 
-def _requests(chunk: int, keys: np.ndarray, values: np.ndarray, ranges: int) -> Iterator[tuple]:
+def _requests(
+    chunk: int, keys: np.ndarray, values: np.ndarray, ranges: int, packed: Callable = pack
+) -> Iterator[tuple]:
     """Rows of sorted ``keys`` and their ``values``, one for each range."""
     bounds = np.searchsorted(ranges_of(keys, ranges), np.arange(ranges + 1))
     for k in np.flatnonzero(np.diff(bounds)):
         part = slice(bounds[k], bounds[k + 1])
-        yield chunk, int(k), pack_sorted(keys[part]), pack(values[part].ravel())
+        yield chunk, int(k), pack_sorted(keys[part]), packed(values[part])
 
 
 def _asked(rows: list[tuple]) -> pa.RecordBatch:
@@ -300,7 +301,7 @@ def _discounts(answers: DataFrame) -> Discounts:
 
 PARTIAL = (
     "chunk long, ids array<long>, held binary, sizes binary, known binary, base binary, partial binary, "
-    "waiting binary, history binary, keys binary, taken binary, backed binary"
+    "waiting binary, history binary, keys binary, left binary, backed binary"
 )
 
 
@@ -332,7 +333,9 @@ def _score_without_weights(words: Discounts, pairs: Discounts) -> Callable:
         doc = np.repeat(np.arange(len(chunk.sizes)), chunk.sizes)[waits]
         needed, needs = np.unique(chunk.previous[waits], return_inverse=True)
         takers = history[owned]
-        taken = np.bincount(takers, share[owned], len(counts))
+        # What discounting has left, rather than one less what is taken, which would lose digits.
+        lost = (pair_counts - pairs.of(pair_counts))[owned] / np.maximum(counts[takers], 1)
+        left = np.bincount(takers, lost, len(counts))
         backed = np.bincount(takers, own[word[owned]], len(counts))
         asked = np.union1d(np.unique(takers), needed)
         order = np.argsort(chunk.hashes[asked], kind="stable")
@@ -350,8 +353,8 @@ def _score_without_weights(words: Discounts, pairs: Discounts) -> Callable:
             "waiting": [pack(doc.astype(np.uint64))],
             "history": [pack(spot[needed[needs]].astype(np.uint64))],
             "keys": [pack_sorted(chunk.hashes[asked])],
-            "taken": [pack(np.rint(taken[asked] * UNIT).astype(np.uint64))],
-            "backed": [pack(np.rint(backed[asked] * UNIT).astype(np.uint64))],
+            "left": [left[asked].tobytes()],
+            "backed": [backed[asked].tobytes()],
         }
         kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 10]
         return pa.table({k: pa.array(v, kind) for (k, v), kind in zip(result.items(), kinds, strict=True)})
@@ -363,23 +366,27 @@ def _weight_requests(ranges: int) -> Callable:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                sums = np.stack([unpack(row["taken"]), unpack(row["backed"])], axis=1)
+                sums = np.stack([np.frombuffer(row[name]) for name in ("left", "backed")], axis=1)
                 keys = unpack_sorted(row["keys"])
-                yield _asked(list(_requests(row["chunk"], keys, sums, ranges)))
+                yield _asked(list(_requests(row["chunk"], keys, sums, ranges, np.ndarray.tobytes)))
 
     return ask
 
 
 def _answer_weights(table: pa.Table) -> pa.Table:
-    """Backoff weight of each history: what is left to new words, by what they have alone."""
+    """Backoff weight of each history: what is left to new words, by what they have alone.
+
+    Shares are added in the order of the chunks, so that a repeated task gives equal sums.
+    """
+    table = table.sort_by("chunk")
     keys = [unpack_sorted(value) for value in table.column("keys").to_pylist()]
-    sums = np.concatenate([unpack(value).reshape(-1, 2) for value in table.column("values").to_pylist()]) / UNIT
+    sums = np.concatenate([np.frombuffer(value).reshape(-1, 2) for value in table.column("values").to_pylist()])
     distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-    taken = np.bincount(place, sums[:, 0], len(distinct))
+    left = np.bincount(place, sums[:, 0], len(distinct))
     backed = np.bincount(place, sums[:, 1], len(distinct))
-    weight = np.log10(np.maximum(1 - taken, 1e-12) / np.maximum(1 - backed, 1e-12))
+    weight = np.log10(left / (1 - backed))
     parts = np.split(weight[place], np.cumsum([len(part) for part in keys])[:-1])
-    return _answered(table, [part.astype(np.float32).tobytes() for part in parts])
+    return _answered(table, [part.tobytes() for part in parts])
 
 
 def _score_with_weights(key: tuple, scored: pa.Table, answers: pa.Table) -> pa.Table:
@@ -387,7 +394,7 @@ def _score_with_weights(key: tuple, scored: pa.Table, answers: pa.Table) -> pa.T
     scores = np.frombuffer(row["partial"], float).copy()
     told = sorted(answers.to_pylist(), key=lambda r: r["range"])
     if told:
-        weights = np.concatenate([np.frombuffer(r["values"], np.float32) for r in told]).astype(float)
+        weights = np.concatenate([np.frombuffer(r["values"]) for r in told])
         doc, history = (unpack(row[name]).astype(np.int64) for name in ("waiting", "history"))
         scores += np.bincount(doc, weights[history], len(scores)) if len(doc) else 0.0
     return pa.table(
@@ -439,9 +446,9 @@ def score_texts(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         told = part if told is None else told.union(part)
     both = chunks.groupBy("chunk").cogroup(told.groupBy("chunk"))
     scored = written(both.applyInArrow(_score_without_weights(words, pairs), PARTIAL), "partial")
-    asked = scored.select("chunk", "keys", "taken", "backed").mapInArrow(_weight_requests(ranges), ASKED)
+    asked = scored.select("chunk", "keys", "left", "backed").mapInArrow(_weight_requests(ranges), ASKED)
     weights = _asked_and_answered(asked, _answer_weights, ranges, "weights")
-    small = scored.drop("keys", "taken", "backed")
+    small = scored.drop("keys", "left", "backed")
     both = small.groupBy("chunk").cogroup(weights.select("chunk", "range", "values").groupBy("chunk"))
     scores = both.applyInArrow(_score_with_weights, SCORES)
     return scores.withColumn("train_tokens", F.lit(words.total).cast("long"))
