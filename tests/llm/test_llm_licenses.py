@@ -30,7 +30,7 @@ def prose() -> list[str]:
 def changed(kind: str, passage: str, seed: int) -> str:
     """The passage with a fifth of its words dropped or replaced, or as many put in, at places by chance."""
     pick = random.Random(seed)
-    words = passage.split()
+    words = [word.decode() for word in licenses.words_of(passage.encode())]
     few = len(words) // 5
     places = sorted(pick.sample(range(1, len(words)), few), reverse=True)
     if kind == "middle":
