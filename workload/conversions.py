@@ -19,6 +19,7 @@ from tableforge.sources.catalog import raw_columns
 from tableforge.sources.text import RAW_TABLE_FORMAT
 from tableforge.workspace import new_folder
 from workload.staging import (
+    COMPRESSED,
     TEXT_TABLES,
     as_text,
     comparable,
@@ -72,7 +73,7 @@ def derived_text(spark: SparkSession, sf_dir: str, label: str, source: str, colu
     rows = table(spark, sf_dir, source).selectExpr(
         *(f"CAST({sql} AS STRING) AS {name}" for name, sql in columns.items())
     )
-    return staged_table(spark, sf_dir, label, rows, PLAIN)
+    return staged_table(spark, sf_dir, label, rows, PLAIN, **COMPRESSED)
 
 
 def convert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

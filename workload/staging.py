@@ -28,6 +28,14 @@ TEXT_TABLES = {
     "l_tax decimal(5,2), l_returnflag string, l_linestatus string, l_shipdate date",
 }
 
+#: Options of text that is staged to be read back: as plain text it is the most that a conversion
+#: moves. One task reads a compressed file, so files are bounded by rows.
+COMPRESSED = {
+    "compression": "gzip",
+    "zlib.compress.level": "BEST_SPEED",
+    "maxRecordsPerFile": 100_000,
+}
+
 _staged: dict[tuple[str, str, str], str] = {}
 
 
@@ -48,13 +56,18 @@ def as_text(df: DataFrame) -> DataFrame:
 
 
 def write_text(
-    df: DataFrame, path: str, text_format: TextFormat = RAW_TABLE_FORMAT, mode: str = "append"
+    df: DataFrame,
+    path: str,
+    text_format: TextFormat = RAW_TABLE_FORMAT,
+    mode: str = "append",
+    **options: str | int,
 ) -> None:
     df.write.mode(mode).options(
         **text_format.options(),
         emptyValue="",
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
+        **options,
     ).csv(path)
 
 
@@ -79,12 +92,19 @@ def staged_tables(spark: SparkSession, sf_dir: str) -> str:
 
 
 def staged_table(
-    spark: SparkSession, sf_dir: str, label: str, rows: DataFrame, text_format: TextFormat
+    spark: SparkSession,
+    sf_dir: str,
+    label: str,
+    rows: DataFrame,
+    text_format: TextFormat,
+    **options: str | int,
 ) -> str:
     """Folder with ``rows`` as the text of a dataset named ``label``."""
-    return staged(
-        spark, sf_dir, label, lambda folder: write_text(rows, f"{folder}/{label}", text_format)
-    )
+
+    def write(folder: str) -> None:
+        write_text(rows, f"{folder}/{label}", text_format, **options)
+
+    return staged(spark, sf_dir, label, write)
 
 
 def new_database(spark: SparkSession, label: str) -> str:
