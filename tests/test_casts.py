@@ -212,3 +212,57 @@ def test_dates_against_the_pattern_parser(spark, texts):
     typed = cast_to_columns(rows, [("text", "date")])
     expected = rows.select(F.try_to_date("text", "yyyy-MM-dd").cast("string"))
     assert values(typed.select(F.col("text").cast("string"))) == values(expected)
+
+
+NO_NUMBERS = ("x", "1,5", "1.5.1", ".", "", " ", "e5", "1e", "0x", "nano", "+-1", "1 2", "1_0", "١", "-", "1.5 d")
+NUMBERS = (
+    "1", " 1.5\t", "+.5", "-5.", "1e5", "1E-5", "1.5d", "2F", "nan", "NaN", " INF ", "-Infinity", "+inf", "-inf",
+    "infinity", "0x1.8p1", "-0X1P3f", "1e400", "\x011.5\x00", "00.10", "1.D", ".5e+3f",
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.one_of(
+            st.sampled_from(NUMBERS + NO_NUMBERS),
+            st.floats().map(str),
+            st.integers(-70000, 70000).map(str),
+            st.text(alphabet=" 0123456789+-.eEdDfFxXpPnNaAiI\t\n", max_size=8),
+            st.times().map(str),
+            st.text(alphabet="0123:", min_size=7, max_size=9),
+            st.sampled_from(["true", " T ", "yes", "N", "0", "off", "23:59:59\n", " 01:02:03", "24:00:00"]),
+        ),
+        min_size=40,
+        max_size=40,
+    )
+)
+def test_checked_texts_against_tried_casts(spark, texts):
+    """Checks before a cast change the price of a misfit and no value."""
+    rows = spark.createDataFrame([(t,) for t in list(NUMBERS + NO_NUMBERS) + texts], "text string")
+    kinds = ["double", "float", "smallint", "tinyint", "boolean", "timestamp"]
+    copies = rows.select(*(F.col("text").alias(kind) for kind in kinds))
+    typed = cast_to_columns(copies, [(kind, kind) for kind in kinds], declared=True)
+    text = F.col("text")
+    whole = cast_to_columns(rows.select(text, text.alias("whole")), [("whole", "int")])
+    tried = [
+        text.try_cast("double"),
+        text.try_cast("double").cast("float"),
+        F.col("whole").try_cast("smallint"),
+        F.col("whole").try_cast("tinyint"),
+        text.try_cast("boolean"),
+        F.try_to_timestamp(text, F.lit("HH:mm:ss")),
+    ]
+    expected = whole.select(*(value.cast("string") for value in tried))
+    assert values(typed.select(*(F.col(kind).cast("string") for kind in kinds))) == values(expected)
+
+
+def test_misfits_cost_no_exception(spark):
+    """Nothing is tried that raises inside for each misfit: the checks come first."""
+    kinds = ["double", "float", "smallint", "tinyint", "boolean", "timestamp"]
+    rows = spark.range(3).select(*(F.col("id").cast("string").alias(kind) for kind in kinds))
+    plan = plan_of(cast_to_columns(rows, [(kind, kind) for kind in kinds], declared=True), "extended").lower()
+    assert "gettimestamp" not in plan and "try_to_timestamp" not in plan
+    assert not any(f"try_cast({name}" in plan for name in ("boolean", "cast(", "case "))
+    # Numbers are read where the text has passed a check.
+    assert plan.count("case when rlike(double") > 0 and plan.count("case when rlike(float") > 0
