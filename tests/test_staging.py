@@ -27,3 +27,16 @@ def test_derived_text_is_compressed_in_bounded_files(spark, monkeypatch):
     assert len(files) >= rows.count() / 1000
     assert sum(file.stat().st_size for file in files) < sum(len(line) + 1 for (line,) in values(lines)) / 2
     assert sorted(line for (line,) in values(lines)) == sorted("|".join(row) for row in values(rows))
+
+
+def test_a_query_stages_the_tables_it_converts(spark, monkeypatch):
+    monkeypatch.setattr(staging, "_staged", {})
+    conversions.convert_headerless(spark, SMALL)
+    base = Path(staging.staged_tables(spark, SMALL, "customer"))
+    assert [folder.name for folder in base.iterdir()] == ["customer"]
+    first = files_of(str(base))
+    assert Path(staging.staged_tables(spark, SMALL, "customer", "nation")) == base
+    assert sorted(folder.name for folder in base.iterdir()) == ["customer", "nation"]
+    assert set(first) <= set(files_of(str(base)))
+    assert {file.suffix for file in files_of(str(base))} == {".gz"}
+    assert len(files_of(f"{base}/customer")) == len(first)

@@ -42,7 +42,7 @@ BY_FLAG = {"lineitem": ["l_returnflag"]}
 
 def external_text_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declare, drop and declare again: the files of an external table stay."""
-    location = f"{staged_tables(spark, sf_dir)}/orders"
+    location = f"{staged_tables(spark, sf_dir, 'orders')}/orders"
     database = new_database(spark, "text")
     columns = raw_columns(TEXT_TABLES["orders"])
     for _ in range(2):
@@ -103,7 +103,7 @@ def convert_whole_database_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def convert_listed_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A listed dataset without a raw table is read as plain text."""
-    base, out = staged_tables(spark, sf_dir), new_folder(spark, "parquet")
+    base, out = staged_tables(spark, sf_dir, "orders", "part"), new_folder(spark, "parquet")
     raw, typed = new_database(spark, "raw"), new_database(spark, "typed")
     declare_database(spark, "raw", raw, {"orders": TEXT_TABLES["orders"]}, base)
     declare_database(spark, "typed", typed, {"part": TEXT_TABLES["part"]}, out)

@@ -77,11 +77,11 @@ def derived_text(spark: SparkSession, sf_dir: str, label: str, source: str, colu
 
 
 def convert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(convert_declared(spark, staged_tables(spark, sf_dir), "orders"))
+    return comparable(convert_declared(spark, staged_tables(spark, sf_dir, "orders"), "orders"))
 
 
 def convert_orders_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = convert_declared(spark, staged_tables(spark, sf_dir), "orders")
+    orders = convert_declared(spark, staged_tables(spark, sf_dir, "orders"), "orders")
     totals = totals_by(orders, "o_orderpriority", "o_totalprice")
     return totals.select(
         "o_orderpriority",
@@ -91,7 +91,7 @@ def convert_orders_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def convert_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(convert_declared(spark, staged_tables(spark, sf_dir), "lineitem"))
+    return comparable(convert_declared(spark, staged_tables(spark, sf_dir, "lineitem"), "lineitem"))
 
 
 #: Text that does not fit its type in known rows: name and SQL over orders.
@@ -284,7 +284,8 @@ def convert_header(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def convert_headerless(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return converted(spark, staged_tables(spark, sf_dir), "customer", TEXT_TABLES["customer"])
+    base = staged_tables(spark, sf_dir, "customer")
+    return converted(spark, base, "customer", TEXT_TABLES["customer"])
 
 
 def convert_quote_escape(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,7 +335,7 @@ def convert_uneven_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def convert_declared_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Into a table that declares its partitions, without naming them, read through the catalog."""
-    base, out = staged_tables(spark, sf_dir), new_folder(spark, "parquet")
+    base, out = staged_tables(spark, sf_dir, "lineitem"), new_folder(spark, "parquet")
     raw, typed = new_database(spark, "raw"), new_database(spark, "typed")
     schemas = {"lineitem": TEXT_TABLES["lineitem"]}
     declare_database(spark, "raw", raw, schemas, base)
@@ -403,7 +404,7 @@ def convert_trailing_delimiter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _with_codec(spark: SparkSession, sf_dir: str, codec: str) -> DataFrame:
     """Order count and value, with the codec that the file names show."""
-    base, out = staged_tables(spark, sf_dir), new_folder(spark, "parquet")
+    base, out = staged_tables(spark, sf_dir, "orders"), new_folder(spark, "parquet")
     done = convert_dataset(
         spark,
         "orders",
@@ -446,7 +447,7 @@ def convert_bad_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def convert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = staged_tables(spark, sf_dir)
+    base = staged_tables(spark, sf_dir, "lineitem")
     rows = convert_declared(
         spark, base, "lineitem", partition_keys=" l_returnflag , l_linestatus,"
     )
@@ -454,7 +455,7 @@ def convert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def convert_partitioned_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = staged_tables(spark, sf_dir)
+    base = staged_tables(spark, sf_dir, "lineitem")
     return comparable(convert_declared(spark, base, "lineitem", partition_keys=["l_linenumber"]))
 
 

@@ -199,7 +199,7 @@ def declare_between_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count with quoted names, declare a table over text, count that."""
     database, out = new_database(spark, "between"), new_folder(spark, "results")
     columns = column_list(raw_columns(TEXT_TABLES["orders"]))
-    location = f"{staged_tables(spark, sf_dir)}/orders"
+    location = f"{staged_tables(spark, sf_dir, 'orders')}/orders"
     customers = f"{sf_dir}/customer.parquet"
     spark.catalog.createTable(f"{database}.customer", path=customers, source="parquet")
     run_batch(

@@ -81,14 +81,15 @@ def staged(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str],
     return _staged[key]
 
 
-def staged_tables(spark: SparkSession, sf_dir: str) -> str:
-    """The text tables, ``|``-delimited, one folder each."""
-
-    def write(folder: str) -> None:
-        for name in TEXT_TABLES:
-            write_text(as_text(table(spark, sf_dir, name)), f"{folder}/{name}")
-
-    return staged(spark, sf_dir, "tables", write)
+def staged_tables(spark: SparkSession, sf_dir: str, *names: str) -> str:
+    """The text tables, ``|``-delimited, one folder each: ``names`` are there, or all of them."""
+    base = staged(spark, sf_dir, "tables", lambda folder: None)
+    for name in names or TEXT_TABLES:
+        key = (spark.sparkContext.applicationId, sf_dir, f"tables/{name}")
+        if key not in _staged:
+            write_text(as_text(table(spark, sf_dir, name)), f"{base}/{name}", **COMPRESSED)
+            _staged[key] = f"{base}/{name}"
+    return base
 
 
 def staged_table(
