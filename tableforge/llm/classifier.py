@@ -27,19 +27,19 @@ extra columns are kept, those named like a result column are replaced.
 
 from __future__ import annotations
 
-import functools
 import zlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from tableforge.llm.bpe import Memory
-from tableforge.llm.common import documents, whole_text, written
+from tableforge.llm.common import documents, kept_by_worker, slices, whole_text, written
 
 SAMPLE = 12_000
 HELD_OUT = 5
@@ -152,9 +152,32 @@ def number_places(x: dict[str, float]) -> list[int]:
     return [place(part) for part in [*parts, f"words={int(x['words']).bit_length()}"]]
 
 
-def feature_row(places: list[int], words: list[str], known: dict[str, list[int]]) -> np.ndarray:
-    """``places`` and those of the distinct ``words``."""
-    return np.array([*places, *chain.from_iterable([known[word] for word in set(words)])], np.int32)
+@dataclass
+class Row:
+    """A text to learn from: places of its distinct words, each once, and what its windows hold.
+
+    ``words`` has the numbers of the distinct words of each window, one window after the
+    other. Windows overlap, so these take a third of the room of their places.
+    """
+
+    numbers: np.ndarray
+    places: np.ndarray
+    sizes: np.ndarray
+    words: np.ndarray
+    counts: np.ndarray
+
+
+def text_row(x: dict[str, float], words: list[str]) -> Row:
+    number = {word: k for k, word in enumerate(set(words))}
+    places = [word_places(word) for word in number]
+    parts = [[number[word] for word in set(part)] for part in windows(words)]
+    return Row(
+        np.array([place("always"), *number_places(x)], np.int32),
+        np.array([*chain.from_iterable(places)], np.int32),
+        np.array([len(one) for one in places], np.uint8),
+        np.array([*chain.from_iterable(parts)], np.min_scalar_type(len(number))),
+        np.array([len(part) for part in parts], np.uint8),
+    )
 
 
 def windows(words: list[str]) -> list[list[str]]:
@@ -163,26 +186,45 @@ def windows(words: list[str]) -> list[list[str]]:
     return [words[at : at + WINDOW] for at in range(0, max(1, len(words) - half), half)]
 
 
-def worst(row: list[np.ndarray], w: np.ndarray) -> np.ndarray:
-    """Of the places of each window, those of the window with the lowest score."""
-    if len(row) == 1:
-        return row[0]
-    starts = np.cumsum([0, *map(len, row[:-1])])
-    return row[int(np.add.reduceat(w[np.concatenate(row)], starts).argmin())]
+def whole(row: Row, w: np.ndarray) -> np.ndarray:
+    """Places of the whole text."""
+    return np.concatenate([row.numbers, row.places])
 
 
-def train_scorer(rows: list[list[np.ndarray]], fit: np.ndarray, l1: float, alpha: float = 0.5) -> np.ndarray:
+def worst(row: Row, w: np.ndarray) -> np.ndarray:
+    """Of the places of each window, those of the window with the lowest score."""
+    # A window begins with the place of all texts, which is put after those of the words.
+    places = np.append(row.places, row.numbers[0])
+    sizes = np.append(row.sizes, 1).astype(np.int64)
+    begins = np.cumsum(row.counts, dtype=np.int64) - row.counts
+    words = np.insert(row.words.astype(np.int64), begins, len(row.sizes))
+    long = sizes[words]
+    ends = np.cumsum(long)
+    at = np.repeat((np.cumsum(sizes) - sizes)[words] - (ends - long), long) + np.arange(ends[-1])
+    found = places[at]
+    firsts = begins + np.arange(len(begins))
+    starts = (ends - long)[firsts]
+    least = int(np.add.reduceat(w[found], starts).argmin())
+    return found[starts[least] : starts[least + 1] if least + 1 < len(starts) else None]
+
+
+#: What a kind is scored on.
+CHOSEN = {"quality": whole, "toxicity": worst}
+
+
+def train_scorer(kind: str, rows: list[Row], fit: np.ndarray, alpha: float = 0.5) -> np.ndarray:
     """Weights of a logistic scorer of ``fit`` (soft labels) over hashed places.
 
-    A row has the places of each window; its score is that of its worst window.
+    The score of a row is that of the whole text, or of its worst window.
     """
+    l1, choose = SPARSENESS[kind], CHOSEN[kind]
     z, n, w = np.zeros(WIDTH), np.zeros(WIDTH), np.zeros(WIDTH)
     beta, l2 = 1.0, 0.1
     order = np.random.default_rng(7).permutation(len(rows))
     for _ in range(EPOCHS):
         for at in range(0, len(order), 16):
             part = order[at : at + 16]
-            chosen = [worst(rows[k], w) for k in part]
+            chosen = [choose(rows[k], w) for k in part]
             sizes = np.array([len(one) for one in chosen])
             places = np.concatenate(chosen)
             owner = np.repeat(np.arange(len(part)), sizes)
@@ -203,8 +245,8 @@ def train_scorer(rows: list[list[np.ndarray]], fit: np.ndarray, l1: float, alpha
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of text and given votes in, one row of weights for each kind out."""
-    rows, votes = {kind: [] for kind in KINDS}, {kind: [] for kind in KINDS}
-    for batch in batches:
+    rows, votes = [], {kind: [] for kind in KINDS}
+    for batch in slices(batches):
         for text, quality, toxic in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
             words = text.split()
             x = text_numbers(text, words)
@@ -213,15 +255,13 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found["toxicity"]["given"] = 0 if toxic is None else -1 if toxic else 1
             for kind in KINDS:
                 votes[kind].append([found[kind][name] for name in LABELLERS[kind]])
-            known = {word: word_places(word) for word in set(words)}
-            rows["quality"].append([feature_row([place("always"), *number_places(x)], words, known)])
-            rows["toxicity"].append([feature_row([place("always")], part, known) for part in windows(words)])
+            rows.append(text_row(x, words))
     weights = []
-    if not rows["quality"]:
+    if not rows:
         return
     for kind in KINDS:
         _, _, fit = fit_labellers(kind, np.array(votes[kind]))
-        weights.append(train_scorer(rows[kind], fit, SPARSENESS[kind]).astype("<f4").tobytes())
+        weights.append(train_scorer(kind, rows, fit).astype("<f4").tobytes())
     yield pa.RecordBatch.from_arrays([pa.array(KINDS), pa.array(weights, pa.binary())], ["kind", "weights"])
 
 
@@ -274,20 +314,26 @@ def fit_classifier(docs: DataFrame, labels: DataFrame) -> dict[str, bytes]:
     return weights or {kind: np.zeros(WIDTH, "<f4").tobytes() for kind in KINDS}
 
 
-@functools.lru_cache(maxsize=1)
 def word_scores(*weights: bytes) -> tuple[np.ndarray, Memory]:
-    """Weights of both kinds, and their sums by word; a worker keeps them for the tasks to come."""
+    """Weights of both kinds, and their sums by word."""
     by_kind = np.stack([np.frombuffer(one, "<f4") for one in weights]).astype(float)
-    return by_kind, Memory(lambda word: tuple(map(float, by_kind[:, word_places(word)].sum(axis=1))), CACHE_WORDS)
+    nothing = (0.0, 0.0)
+
+    def sums(word: str) -> tuple[float, float]:
+        found = tuple(map(float, by_kind[:, word_places(word)].sum(axis=1)))
+        return found if any(found) else nothing  # most words have no weight: these share one pair
+
+    return by_kind, Memory(sums, CACHE_WORDS)
 
 
 def _score(weights: dict[str, bytes], at: int, keep: list[int]) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_kind, known = word_scores(*(weights[kind] for kind in KINDS))
+        by_kind, known = kept_by_worker(word_scores, *(weights[kind] for kind in KINDS))
         always = by_kind[:, place("always")]
-        for batch in batches:
+        for batch in slices(batches):
             found = []
             for text in batch.column(at).to_pylist():
+                text = text or ""
                 words = text.split()
                 quality = always[0] + by_kind[0, number_places(text_numbers(text, words))].sum()
                 sums = {word: known[word] for word in set(words)}
@@ -311,11 +357,15 @@ def classify(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
     results = ("quality_score", "toxic_score", "kept")
     keep = [name for name in keep if name.lower() not in results]
     weights = fit_classifier(docs, labels)
-    rows = docs.select(*keep, whole_text(F.col("text")).alias("__text"))
-    schema = StructType(rows.schema.fields[:-1])
+    rows = docs.select(*keep)
+    schema = StructType([*rows.schema.fields])
+    if "text" in keep and schema["text"].dataType == StringType():
+        at = keep.index("text")  # the text goes to the workers once
+    else:
+        at, rows = len(keep), docs.select(*keep, whole_text(F.col("text")).alias("__text"))
     for name, kind in zip(results, ("double", "double", "boolean"), strict=True):
         schema = schema.add(name, kind)
-    return rows.mapInArrow(_score(weights, len(keep), list(range(len(keep)))), schema)
+    return rows.mapInArrow(_score(weights, at, list(range(len(keep)))), schema)
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

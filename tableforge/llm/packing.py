@@ -17,12 +17,11 @@ packed one by one, and so are null ids. An empty table gives an empty table.
 
 from __future__ import annotations
 
-import functools
 import os
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import public_tokenizers
@@ -32,13 +31,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tableforge.llm.bpe import Codec, Memory, read_vocabulary
-from tableforge.llm.common import documents, whole_text, written
+from tableforge.llm.common import documents, kept_by_worker, slices, whole_text, written
 
 MAX_TOKENS = 2048
 CLOSING_ID = 0
 VOCABULARY = "word_bpe_49k.json"
-#: Words whose ids a Python worker remembers.
-CACHE_WORDS = 400_000
+#: Words, and pieces of words, whose ids a Python worker remembers; twice as many at most.
+CACHE_WORDS = 250_000
+CACHE_PIECES = 250_000
 
 PIECES = (
     "doc_id long, piece int, start long, length long, ids_crc32 long, task int, place long"
@@ -60,20 +60,27 @@ class Capacity:
 
 
 class LibraryCodec(Codec):
-    """Words taken apart as in ``bpe``; the merges are left to the tokenizers library."""
+    """Words taken apart as in ``bpe``; the merges are left to the tokenizers library.
+
+    Ids of pieces are tuples of numbers that all pieces share: a remembered piece takes half
+    the room of one with a list and numbers of its own.
+    """
 
     def __init__(self, path: str):
         # Spark runs a task on each core; threads of the library would only wait for each other.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__(read_vocabulary(path), CACHE_WORDS)
+        vocabulary = read_vocabulary(path)
+        self.numbers = {number: number for number in vocabulary.ids.values()}
+        # The tables of merges are the library's.
+        super().__init__(replace(vocabulary, tokens={}, ranks={}, results=[]), CACHE_PIECES)
         self.model = Tokenizer.from_file(path).model
 
-    def _encode_piece(self, piece: str) -> list[int]:
+    def _encode_piece(self, piece: str) -> tuple[int, ...]:
         if not (piece.isascii() and piece.isprintable()):
             piece = "".join([self.vocabulary.letters[byte] for byte in piece.encode()])
-        return [token.id for token in self.model.tokenize(piece)]
+        return tuple([self.numbers[token.id] for token in self.model.tokenize(piece)])
 
     def word_ids(self, word: bytes) -> bytes:
         """Ids of a word as little-endian 32-bit numbers."""
@@ -83,13 +90,11 @@ class LibraryCodec(Codec):
         return array("I", self.encode(text)).tobytes()
 
 
-@functools.cache
 def word_encoder(path: str) -> Callable[[bytes], bytes]:
     """Ids of a text as little-endian 32-bit numbers, by the tokenizers library.
 
     No token of this vocabulary spans white space, so each word is encoded once and the
-    ids of a text are those of its words. A worker keeps the encoder, and the words it
-    remembers, for the tasks to come.
+    ids of a text are those of its words.
     """
     known = Memory(LibraryCodec(path).word_ids, CACHE_WORDS)
     return lambda text: b"".join(map(known.__getitem__, text.split()))
@@ -97,11 +102,11 @@ def word_encoder(path: str) -> Callable[[bytes], bytes]:
 
 def _cut(path: str, max_tokens: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_encoder(path)
+        encode = kept_by_worker(word_encoder, path)
         task = TaskContext.get().partitionId()
         closing = np.array([CLOSING_ID], "<u4").tobytes()
         places = np.zeros(max_tokens + 1, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, text in zip(
                 batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True
