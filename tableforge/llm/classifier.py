@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from tableforge.llm.bpe import Memory
-from tableforge.llm.common import documents, kept_by_worker, slices, whole_text, written
+from tableforge.llm.common import documents, give_back, kept_by_worker, slices, whole_text, written
 
 SAMPLE = 12_000
 HELD_OUT = 5
@@ -262,6 +262,8 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for kind in KINDS:
         _, _, fit = fit_labellers(kind, np.array(votes[kind]))
         weights.append(train_scorer(kind, rows, fit).astype("<f4").tobytes())
+    del rows, votes
+    give_back()  # the worker goes on to other tasks
     yield pa.RecordBatch.from_arrays([pa.array(KINDS), pa.array(weights, pa.binary())], ["kind", "weights"])
 
 

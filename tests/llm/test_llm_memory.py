@@ -80,3 +80,22 @@ def test_a_worker_keeps_what_one_operator_remembers():
     assert first() is not None and kept_by_worker(Remembered) is first()
     kept_by_worker(list)
     assert first() is None
+
+
+def test_what_is_dropped_goes_back_to_the_system():
+    from tableforge.llm.common import kept_by_worker
+
+    def resident() -> int:
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4096 // 2**20
+
+    def many_blocks() -> list[np.ndarray]:
+        blocks = [np.ones(1000) for _ in range(20_000)]  # 160 MB, below the last block
+        pins.append(np.ones(1000))
+        return blocks
+
+    pins = []
+    kept_by_worker(many_blocks)
+    before = resident()
+    kept_by_worker(list)
+    assert before - resident() > 120
