@@ -38,7 +38,9 @@ CLOSING_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 #: Words, and pieces of words, whose ids a Python worker remembers; twice as many at most.
 CACHE_WORDS = 250_000
-CACHE_PIECES = 250_000
+CACHE_PIECES = 200_000
+#: Marks of words that were met, by hash.
+MET = 1 << 22
 
 PIECES = (
     "doc_id long, piece int, start long, length long, ids_crc32 long, task int, place long"
@@ -59,6 +61,24 @@ class Capacity:
     weights: tuple[float, float, float] = (1.0, 0.001, 0.001)
 
 
+class MetAgain(Memory):
+    """Remembers a word when it is met for the second time, as most words are met once."""
+
+    def __init__(self, make: Callable, size: int):
+        super().__init__(make, size)
+        self.met, self.number = bytearray(MET), 0
+
+    def __missing__(self, word):
+        at = hash(word) % MET
+        if self.met[at] or word in self.older:
+            return super().__missing__(word)
+        self.number += 1
+        if 2 * self.number > MET:
+            self.met, self.number = bytearray(MET), 0
+        self.met[at] = 1
+        return self.make(word)
+
+
 class LibraryCodec(Codec):
     """Words taken apart as in ``bpe``; the merges are left to the tokenizers library.
 
@@ -75,6 +95,7 @@ class LibraryCodec(Codec):
         self.numbers = {number: number for number in vocabulary.ids.values()}
         # The tables of merges are the library's.
         super().__init__(replace(vocabulary, tokens={}, ranks={}, results=[]), CACHE_PIECES)
+        self.pieces = MetAgain(self._encode_piece, CACHE_PIECES)
         self.model = Tokenizer.from_file(path).model
 
     def _encode_piece(self, piece: str) -> tuple[int, ...]:
@@ -96,7 +117,7 @@ def word_encoder(path: str) -> Callable[[bytes], bytes]:
     No token of this vocabulary spans white space, so each word is encoded once and the
     ids of a text are those of its words.
     """
-    known = Memory(LibraryCodec(path).word_ids, CACHE_WORDS)
+    known = MetAgain(LibraryCodec(path).word_ids, CACHE_WORDS)
     return lambda text: b"".join(map(known.__getitem__, text.split()))
 
 

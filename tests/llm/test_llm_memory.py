@@ -99,3 +99,10 @@ def test_what_is_dropped_goes_back_to_the_system():
     before = resident()
     kept_by_worker(list)
     assert before - resident() > 120
+
+
+def test_words_met_once_are_not_remembered():
+    made = []
+    known = packing.MetAgain(lambda word: made.append(word) or word, 10)
+    assert [known[word] for word in (b"a", b"b", b"a", b"a", b"a")] == [b"a", b"b", b"a", b"a", b"a"]
+    assert made == [b"a", b"b", b"a"] and list(known) == [b"a"]
